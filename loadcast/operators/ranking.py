@@ -75,12 +75,19 @@ def running_total(
     )
 
 
-def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, points: Sequence[float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, group: Sequence[str], value: str, points: Sequence[float], weight: str | None = None
+) -> DataFrame:
     """Linear-interpolated quantiles per group (at least one group column) as `(group…, point, quantile)`.
 
-    Equal values are counted before anything is ranked, so repeated values never pile up in one task.
+    Equal values are counted before anything is ranked, so repeated values never pile up in one task;
+    `weight` names the count column of a table that is already one row per value.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
+    counted = df.filter(F.col(value).isNotNull())
+    if weight is None:
+        counted = counted.groupBy(*group, value).agg(F.count("*").alias("_n"))
+    else:
+        counted = counted.select(*group, value, F.col(weight).alias("_n"))
     ranked = running_total(counted, group, [value], "_n")
     totals = ranked.groupBy(*group).agg(F.sum("_n").alias("_total"))
     wanted = (
