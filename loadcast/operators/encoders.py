@@ -164,7 +164,7 @@ def load_encoders(spark: SparkSession, path: str) -> list[Model]:
         columns = tuple(sorted(h.column for h in heads if h.step == step))
         if next(h.encoder for h in heads if h.step == step) == "One-Hot":
             rows = mine.select("column", "category", "index").collect()
-            found = {c: [r.category for r in sorted(rows, key=lambda r: r.index) if r.column == c] for c in columns}
+            found = {c: [r["category"] for r in sorted(rows, key=lambda r: r["index"]) if r["column"] == c] for c in columns}
             models.append(OneHotModel(columns, found))
         else:
             models.append(OrdinalModel(columns, mine.select("column", "category", "index")))

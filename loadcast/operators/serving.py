@@ -33,7 +33,8 @@ def parse_requests(requests: DataFrame, body: str = "body", content_type: str =
     ddl = ", ".join(f"{c} string" for c in REQUEST_COLUMNS)
     csv_rows = F.transform(lines, lambda line: _csv_row(line, ddl))
 
-    objects = F.from_json(text, "array<map<string,string>>")
+    listed = F.when(trimmed.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
+    objects = F.from_json(listed, "array<map<string,string>>")
     matrix = F.from_json(text, "struct<features: array<array<string>>>")["features"]
     outer_keys = F.json_object_keys(text)
     has_matrix = F.coalesce(F.array_contains(outer_keys, "features"), F.lit(False))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +14,8 @@ from loadcast.operators.features import make_features
 from loadcast.operators.merge import merge_daily
 from loadcast.operators.ranking import first_per_key
 from loadcast.schemas import FEATURES
+from loadcast.session import scratch_path
+from loadcast.sources.files import ENCODING, POWER_COLUMN, POWER_HEADER_LINE, WEATHER_COLUMNS
 
 # The weather text for each remainder of l_partkey / 17; the last one is missing.
 WEATHER_TEXTS = (
@@ -64,3 +71,101 @@ def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged days with a fixed linear predictor, so that metrics have a known answer."""
     guess = F.lit(4000.0) + 10 * F.col("max_temp") - 5 * F.col("min_temp")
     return merged(spark, sf_dir).withColumn("predicted", guess)
+
+
+def power_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as `(path, content)` ZIP archives of Shift-JIS day files, one archive per Arrow batch.
+
+    Events of type `error` go to files without the reading column, and each archive carries a text member
+    that is not a CSV file, so that both rules for bad input have work to do.
+    """
+    preamble = "\r\n".join(["電力使用状況,0"] * POWER_HEADER_LINE) + "\r\n"
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            buffer = io.BytesIO()
+            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("readme.txt", "not a day file")
+                for (day, broken), rows in batch.groupby(["day", "broken"]):
+                    column = "予備" if broken else POWER_COLUMN
+                    lines = [f"DATE,TIME,{column}"]
+                    lines += [f"{day},{at},{value!r}" for at, value in zip(rows["at"], rows["value"].tolist())]
+                    kind = "broken" if broken else "power"
+                    body = preamble + "\r\n".join(lines) + "\r\n"
+                    archive.writestr(f"{day}_{kind}_usage.csv", body.encode(ENCODING))
+            yield pd.DataFrame({"path": [f"batch-{batch['event_id'].min()}.zip"], "content": [buffer.getvalue()]})
+
+    events = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.date_format("ts", "yyyyMMdd").alias("day"),
+        F.date_format("ts", "HH:mm").alias("at"),
+        "value",
+        (F.col("event_type") == "error").alias("broken"),
+    )
+    return events.mapInPandas(pack, "path string, content binary")
+
+
+def write_weather_files(spark: SparkSession, sf_dir: str) -> str:
+    """All observations as Shift-JIS weather files with preamble and header, one file per task."""
+    path = scratch_path(spark, "weather-files")
+    names = [WEATHER_COLUMNS[c] for c in ("date", "max_temp", "max_temp", "min_temp", "weather")]
+    opening = ["地点", "", "東京", ",".join(names), "品質", "均質"]
+
+    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        head = [text.encode(ENCODING) for text in opening]
+        for batch in batches:
+            yield pd.DataFrame({"raw": head + [text.encode(ENCODING) for text in batch["line"]]})
+            head = []
+
+    # The second column of the same name must be ignored by the reader.
+    line = F.concat_ws(
+        ",",
+        F.date_format("date", "yyyy/M/d"),
+        F.col("max_temp").cast("string"),
+        F.lit("999"),
+        F.col("min_temp").cast("string"),
+        F.coalesce("weather", F.lit("")),
+    )
+    raw = obs(spark, sf_dir).select(line.alias("line")).mapInPandas(lines, "raw binary")
+    raw.select(F.col("raw").cast("string").alias("value")).write.text(path)
+    return path
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scoring request per day of weather, in each of the accepted shapes and some that are refused."""
+    days = weather_daily(spark, sf_dir)
+    day = F.date_format("date", "yyyy-MM-dd")
+    high, low = F.col("max_temp").cast("string"), F.col("min_temp").cast("string")
+    quoted = F.concat(F.lit('"'), F.coalesce("weather", F.lit("")), F.lit('"'))
+    word = F.when(F.col("weather").isNull(), "null").otherwise(quoted)
+    csv = F.concat_ws(",", day, high, low, F.coalesce("weather", F.lit("")))
+    item = F.concat(
+        F.lit('{"date": "'), day, F.lit('", "max_temp": '), high, F.lit(', "min_temp": "'), low,
+        F.lit('", "weather": '), word, F.lit("}"),
+    )
+    cells = F.concat(F.lit('["'), day, F.lit('", '), high, F.lit(", "), low, F.lit(", "), word, F.lit("]"))
+    shape = F.weekday("date")
+    body = (
+        F.when(shape == 0, F.concat(csv, F.lit("\n"), csv, F.lit("\n")))
+        .when(shape == 1, F.concat(F.lit("["), item, F.lit(", "), item, F.lit("]")))
+        .when(shape == 2, item)
+        .when(shape == 3, F.concat(F.lit('{"features": ['), cells, F.lit("]}")))
+        .when(shape == 4, "[]")
+        .when(shape == 5, csv)
+        .otherwise('{"date": "2024-05-21"}')
+    )
+    kind = F.when(shape == 0, "text/csv; charset=utf-8").when(shape == 5, "text/plain").otherwise("application/json")
+    return days.select(day.alias("request_id"), kind.alias("content_type"), body.alias("body"))
+
+
+def registry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders read as registry events: the customer is the model group, the order the version."""
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("group-"), F.col("o_custkey").cast("string")).alias("model_group"),
+        F.col("o_orderkey").alias("version"),
+        F.when(F.col("o_orderstatus") == "F", "Approved")
+        .when(F.col("o_orderstatus") == "O", "PendingManualApproval")
+        .otherwise("Rejected")
+        .alias("status"),
+        F.to_date("o_orderdate").alias("created"),
+    )

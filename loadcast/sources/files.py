@@ -1,7 +1,7 @@
 """Raw archives and Shift-JIS CSV files as DataFrames.
 
-Decoding bytes is the only step that runs in Python; splitting, column lookup and typing are native.
-Every parser returns an `error` column next to the data: `accept` keeps the good rows or fails on the
+Python opens archives, decodes Shift-JIS and reads the small day files; long files are split, numbered and
+typed with native expressions. Every parser returns an `error` column next to the data: `accept` keeps the good rows or fails on the
 first bad one, `bad_report` lists what was left out.
 """
 
@@ -14,6 +14,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadcast.functions.dates import coerce_number, coerce_slash_date, date_from_filename
 
@@ -37,7 +38,9 @@ MISSING_TEXTS = (
 LINE_END = r"\r\n|\r|\n"
 MEMBERS = "archive string, member string, content binary, error string"
 LINES = "source string, line_no long, line string, error string"
+READINGS = "source string, dt date, position int, value double, error string"
 FLUSH_BYTES = 32 * 1024 * 1024
+FLUSH_ROWS = 100_000
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -90,7 +93,10 @@ def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[part.split()[0] for part in schema.split(", ")], dtype=object)
 
 
-@F.pandas_udf("struct<text string, error string>")
+DECODED = T.StructType([T.StructField("text", T.StringType()), T.StructField("error", T.StringType())])
+
+
+@F.pandas_udf(DECODED)
 def _decoded(content: pd.Series) -> pd.DataFrame:
     texts, errors = [], []
     for raw in content:
@@ -125,32 +131,50 @@ def parse_power_csv(
     """`(source, dt, position, value, error)`: the readings of each file, found under the column's name.
 
     `files` holds `(source, dt, content)` and, from archives, an `error`. A file is small (one day), so
-    it is parsed inside its row. A file without the column or with a bad number yields one error row and
-    no reading, as the whole file is then left out.
+    it is read whole inside its task. A file without the column or with a bad number yields one error
+    row and no reading, as the whole file is then left out; an empty one yields a missing reading.
     """
     known = F.col("error") if "error" in files.columns else F.lit(None).cast("string")
-    text = files.select("source", "dt", known.alias("_known"), _decoded("content").alias("_d")).select(
-        "source", "dt", F.coalesce("_known", "_d.error").alias("_known"), F.split("_d.text", LINE_END).alias("_lines")
-    )
-    header = csv_fields(F.get("_lines", F.lit(skip)))
-    body = F.filter(F.slice("_lines", skip + 2, F.greatest(F.size("_lines"), F.lit(1))), lambda x: F.trim(x) != "")
-    located = text.select(
-        "source", "dt", "_known", F.array_position(header, column).alias("_at"), body.alias("_body")
-    )
-    texts = F.transform("_body", lambda line: _present(F.get(csv_fields(line), (F.col("_at") - 1).cast("int"))))
-    read = located.select("source", "dt", "_known", "_at", F.when(F.col("_at") > 0, texts).alias("_texts"))
-    bad = F.exists("_texts", lambda t: t.isNotNull() & coerce_number(t).isNull())
-    error = (
-        F.when(F.col("_known").isNotNull(), F.col("_known"))
-        .when(F.col("dt").isNull(), "no date in the file name")
-        .when(F.coalesce(F.col("_at"), F.lit(0)) == 0, "missing column")
-        .when(bad, "not a number")
-    )
-    checked = read.select("source", "dt", "_texts", error.alias("error"))
-    values = F.when(F.col("error").isNull(), F.transform("_texts", coerce_number))
-    parsed = checked.select("source", "dt", "error", F.posexplode_outer(values).alias("position", "value")).select(
-        "source", "dt", "position", "value", "error"
-    )
+    undated = F.when(F.col("dt").isNull(), "no date in the file name")
+    listed = files.select("source", "dt", "content", F.coalesce(known, undated).alias("error"))
+
+    def readings(content: bytes) -> pd.Series:
+        table = pd.read_csv(io.BytesIO(content), encoding=ENCODING, skiprows=skip, skipinitialspace=True)
+        if column not in table.columns:
+            raise ValueError("missing column")
+        try:
+            return pd.to_numeric(table[column])
+        except (ValueError, TypeError):
+            raise ValueError("not a number") from None
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            parts, held = [], 0
+            for source, day, content, error in batch.itertuples(index=False):
+                values = pd.Series([None], dtype=float)
+                if error is None:
+                    try:
+                        found = readings(content)
+                        values = found if len(found) else values
+                    except UnicodeDecodeError:
+                        error = "undecodable text"
+                    except (pd.errors.ParserError, pd.errors.EmptyDataError):
+                        error = "unreadable file"
+                    except ValueError as broken:
+                        error = str(broken)
+                position = range(len(values)) if error is None else [None]
+                parts.append(pd.DataFrame({
+                    "source": source, "dt": day, "position": pd.Series(position, dtype="Int32"),
+                    "value": values.astype(float).to_numpy(), "error": error,
+                }))
+                held += len(values)
+                if held > FLUSH_ROWS:
+                    yield pd.concat(parts)
+                    parts, held = [], 0
+            if parts:
+                yield pd.concat(parts)
+
+    parsed = listed.mapInPandas(parse, READINGS)
     return accept(parsed, strict=True) if strict else parsed
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from loadcast.session import scratch_path
 
+ROWS_PER_FILE = 5_000_000
+
 
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write a working table to the shared scratch folder and read it back: lineage ends there."""
@@ -24,22 +26,35 @@ def land_if_absent(new: DataFrame, landed: DataFrame, on: str | Sequence[str] =
     return new.join(landed.select(*names).distinct(), names, "left_anti")
 
 
+def _tasks(df: DataFrame) -> int:
+    """Writers per job. An explicit number, because tiny days would otherwise be merged into one slow writer."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def write_by_day(df: DataFrame, path: str, date_col: str = "date", mode: str = "append") -> None:
-    """One folder per day. Rebalancing gathers each day's rows and splits a day that is too large for a task."""
-    (
-        df.withColumn("dt", F.col(date_col))
-        .hint("rebalance", "dt")
-        .write.mode(mode)
-        .partitionBy("dt")
-        .parquet(path)
+    """One folder per day and one file in it, except that a day of more than `ROWS_PER_FILE` rows is cut.
+
+    The day sizes come first, from a pass over the day column alone, so a day that holds a third of all
+    rows is written by as many tasks as it needs.
+    """
+    dated = df.withColumn("dt", F.col(date_col))
+    cuts = dated.groupBy(F.col("dt").alias("_day")).agg(F.ceil(F.count("*") / ROWS_PER_FILE).alias("_cuts"))
+    sliced = dated.join(cuts, dated["dt"].eqNullSafe(cuts["_day"])).withColumn(
+        "_slice", F.floor(F.rand(5) * F.col("_cuts"))
     )
+    spread = sliced.repartition(_tasks(df), "dt", "_slice").select(*dated.columns)
+    spread.write.mode(mode).partitionBy("dt").parquet(path)
 
 
 def write_days(df: DataFrame, path: str, date_col: str = "date") -> None:
-    """Replace exactly the days present in `df`; other days stay as they are."""
+    """Replace exactly the days present in `df`, one row per day and area; other days stay as they are.
+
+    The days are hashed once more: a plain repartition by a column the input is already partitioned by
+    would be dropped by the planner, and with it the number of writers.
+    """
     (
         df.withColumn("dt", F.col(date_col))
-        .hint("rebalance", "dt")
+        .repartition(_tasks(df), F.xxhash64("dt"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt")
@@ -53,8 +68,8 @@ def read_merged(
     """All parts below `path` without the partition column; a date range prunes whole folders."""
     parts = T.StructType([*schema.fields, T.StructField("dt", T.DateType())])
     table = spark.read.schema(parts).parquet(path)
-    if not table.inputFiles():
-        raise ValueError(f"no Parquet files under {path}")
+    if table.isEmpty():
+        raise ValueError(f"no merged days under {path}")
     if start is not None:
         table = table.filter(F.col("dt") >= F.lit(start))
     if end is not None:
