@@ -8,14 +8,18 @@ from dataclasses import asdict, dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadcast.config import BoostingParams, Config, Thresholds
+from loadcast.functions.weather import missing_if_nan
 from loadcast.operators.encoders import Model, apply_encoders, load_encoders, save_encoders
 from loadcast.operators.features import make_features
 from loadcast.schemas import TARGET
+from loadcast.session import scratch_root
 
+# Trees here take no missing values, so a missing feature gets a value below all real ones and can be split off.
+MISSING_FEATURE = -1e9
 # Columns that identify a row rather than describe the day.
 KEY_COLUMNS = ("date", "record_id", "event_time", "latest", "split", TARGET)
 
@@ -43,9 +47,10 @@ def fit_gbt(
     df: DataFrame, features: Sequence[str], params: BoostingParams = BoostingParams(), target: str = TARGET
 ) -> PipelineModel:
     """Squared-error boosting; a depth of five allows about as many leaves as the usual leaf-wise default."""
-    # The assembler reads plain names only, so features get positional ones inside the model.
-    inputs = positions(len(features))
-    assemble = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
+    # A checkpoint folder lets boosting cut its growing lineage every few trees.
+    scratch_root(df.sparkSession)
+    assemble = VectorAssembler(inputCols=positions(len(features)), outputCol="features")
+    named = [column.alias(name) for name, column in model_inputs(features).items()]
     trees = GBTRegressor(
         featuresCol="features",
         labelCol=target,
@@ -56,16 +61,17 @@ def fit_gbt(
         maxDepth=params.depth,
         lossType="squared",
     )
-    return Pipeline(stages=[assemble, trees]).fit(positional(df, features, [target]))
+    return Pipeline(stages=[assemble, trees]).fit(df.select(target, *named))
 
 
 def positions(n: int) -> list[str]:
     return [f"f{i}" for i in range(n)]
 
 
-def positional(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    named = [F.col(f"`{c}`").cast("double").alias(p) for c, p in zip(features, positions(len(features)))]
-    return df.select(*keep, *named)
+def model_inputs(features: Sequence[str]) -> dict[str, Column]:
+    """The features under plain positional names: the assembler cannot read names with parentheses."""
+    filled = [F.coalesce(missing_if_nan(F.col(f"`{c}`")), F.lit(MISSING_FEATURE)) for c in features]
+    return dict(zip(positions(len(features)), filled))
 
 
 def predict(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -73,7 +79,7 @@ def predict(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> Dat
     lacking = [c for c in features if c not in df.columns]
     if lacking:
         raise ValueError(f"features missing from the input: {', '.join(lacking)}")
-    named = dict(zip(positions(len(features)), [F.col(f"`{c}`").cast("double") for c in features]))
+    named = model_inputs(features)
     scored = model.transform(df.withColumns(named))
     return scored.drop("features", *named)
 

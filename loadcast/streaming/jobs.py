@@ -30,7 +30,8 @@ def stream_parquet(
 
 def stream_archives(spark: SparkSession, path: str) -> DataFrame:
     """New `.zip` files below a folder, each delivered once per checkpoint."""
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.zip")
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.zip")
     return reader.option("recursiveFileLookup", "true").load(path).select("path", "content")
 
 
