@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ISO_DATE = r"\d{4}-\d{2}-\d{2}"
+SLASH_DATE = r"^\d{4}/\d{1,2}/\d{1,2}$"
+COMPACT_DATE = r"^\d{8}$"
 # What a text must look like to count as a number; Java's parser alone would also take "25d" or "1.5f".
 NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
 
@@ -26,8 +28,16 @@ def slash_date(text: Column) -> Column:
 
 
 def coerce_slash_date(text: Column) -> Column:
-    """`yyyy/M/d`, padded or not; other text becomes null."""
-    return F.try_to_date(text, "yyyy/M/d")
+    """`yyyy/M/d`, padded or not; other text becomes null.
+
+    A cast reads dashed dates several times faster than a pattern reads slashed ones.
+    """
+    return F.when(text.rlike(SLASH_DATE), F.replace(text, F.lit("/"), F.lit("-")).try_cast("date"))
+
+
+def _coerce_compact_date(text: Column) -> Column:
+    dashed = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    return F.when(text.rlike(COMPACT_DATE), dashed.try_cast("date"))
 
 
 def coerce_date(text: Column) -> Column:
@@ -35,8 +45,8 @@ def coerce_date(text: Column) -> Column:
     trimmed = F.trim(text)
     return F.coalesce(
         F.when(trimmed.rlike(r"^\d{4}-"), trimmed.try_cast("date")),
-        F.when(trimmed.rlike(r"^\d{4}/"), F.try_to_date(trimmed, "yyyy/M/d")),
-        F.when(trimmed.rlike(r"^\d{8}$"), F.try_to_date(trimmed, "yyyyMMdd")),
+        coerce_slash_date(trimmed),
+        _coerce_compact_date(trimmed),
     )
 
 
@@ -53,7 +63,7 @@ def date_in_key(key: Column) -> Column:
 
 def date_from_filename(name: Column) -> Column:
     """The leading `yyyyMMdd` of `yyyyMMdd_something` as `yyyy-MM-dd`; null when it is not a date."""
-    return F.try_to_date(F.split_part(name, F.lit("_"), F.lit(1)), "yyyyMMdd")
+    return _coerce_compact_date(F.split_part(name, F.lit("_"), F.lit(1)))
 
 
 def landing_key(prefix: str, date: Column, file_name: str) -> Column:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from loadcast.functions.dates import coerce_date, coerce_number
 from loadcast.schemas import REQUEST_COLUMNS
-from loadcast.sources.files import LINE_END, MISSING_TEXTS
+from loadcast.sources.files import MISSING_TEXTS
 
+LINE_END = r"\r\n|\r|\n"
 CSV_TYPE, JSON_TYPE = "text/csv", "application/json"
 TEXT_ROW = "struct<" + ", ".join(f"{c}: string" for c in REQUEST_COLUMNS) + ">"
 

@@ -1,12 +1,13 @@
 """Raw archives and Shift-JIS CSV files as DataFrames.
 
-Python opens archives, decodes Shift-JIS and reads the small day files; long files are split, numbered and
-typed with native expressions. Every parser returns an `error` column next to the data: `accept` keeps the good rows or fails on the
+Python opens archives, decodes Shift-JIS and cuts lines into fields; column lookup, dates, numbers and error
+rules over long files are native. Every parser returns an `error` column next to the data: `accept` keeps the good rows or fails on the
 first bad one, `bad_report` lists what was left out.
 """
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -14,7 +15,6 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loadcast.functions.dates import coerce_number, coerce_slash_date, date_from_filename
 
@@ -35,9 +35,8 @@ MISSING_TEXTS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
     "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
-LINE_END = r"\r\n|\r|\n"
 MEMBERS = "archive string, member string, content binary, error string"
-LINES = "source string, line_no long, line string, error string"
+LINES = "source string, line_no long, fields array<string>, error string"
 READINGS = "source string, dt date, position int, value double, error string"
 FLUSH_BYTES = 32 * 1024 * 1024
 FLUSH_ROWS = 100_000
@@ -93,33 +92,6 @@ def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[part.split()[0] for part in schema.split(", ")], dtype=object)
 
 
-DECODED = T.StructType([T.StructField("text", T.StringType()), T.StructField("error", T.StringType())])
-
-
-@F.pandas_udf(DECODED)
-def _decoded(content: pd.Series) -> pd.DataFrame:
-    texts, errors = [], []
-    for raw in content:
-        try:
-            texts.append(None if raw is None else bytes(raw).decode(ENCODING))
-            errors.append(None)
-        except UnicodeDecodeError:
-            texts.append(None)
-            errors.append("undecodable text")
-    return pd.DataFrame({"text": texts, "error": errors}, dtype=object)
-
-
-def csv_fields(line: Column) -> Column:
-    """The fields of one CSV line, quotes resolved."""
-    found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
-    return F.transform(
-        found,
-        lambda f: F.when(
-            f.startswith('"'), F.regexp_replace(F.regexp_replace(f, r'^"|"$', ""), '""', '"')
-        ).otherwise(f),
-    )
-
-
 def _present(field: Column) -> Column:
     """Null for the texts that mean missing."""
     return F.when(~F.trim(field).isin(*MISSING_TEXTS), field)
@@ -178,12 +150,19 @@ def parse_power_csv(
     return accept(parsed, strict=True) if strict else parsed
 
 
+def _fields(raw: bytes) -> tuple[list[str] | None, str | None]:
+    try:
+        return next(csv.reader([bytes(raw).decode(ENCODING)]), []), None
+    except UnicodeDecodeError:
+        return None, "undecodable text"
+
+
 def read_lines(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
-    """`(source, line_no, line, error)` of Shift-JIS text files of any size.
+    """`(source, line_no, fields, error)` of the non-blank lines of Shift-JIS CSV files of any size.
 
     Large files are split: no Shift-JIS character holds a line-end byte, so raw lines can be cut before
     they are decoded. Lines are numbered in the first block of a file, where the preamble lies; further
-    lines have no number.
+    lines have no number. A quoted field must end on its own line.
     """
     raw = (
         spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(path)
@@ -201,11 +180,9 @@ def read_lines(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFr
             for source, start, line in zip(batch["source"], batch["start"], batch["raw"]):
                 if (source, start) != current:
                     current, line_no = (source, start), 0
-                try:
-                    text, error = bytes(line).decode(ENCODING), None
-                except UnicodeDecodeError:
-                    text, error = None, "undecodable text"
-                rows.append((source, line_no if start == 0 else None, text, error))
+                fields, error = _fields(line)
+                if fields or error:
+                    rows.append((source, line_no if start == 0 else None, fields, error))
                 line_no += 1
             yield _frame(rows, LINES)
 
@@ -214,9 +191,15 @@ def read_lines(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFr
 
 def lines_of(files: DataFrame) -> DataFrame:
     """The same shape from `(source, content)` rows."""
-    text = files.select("source", _decoded("content").alias("_d"))
-    lines = text.select("source", F.posexplode_outer(F.split("_d.text", LINE_END)).alias("line_no", "line"), "_d.error")
-    return lines.select("source", F.col("line_no").cast("long"), "line", "error")
+
+    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for source, content in zip(batch["source"], batch["content"]):
+                split = [_fields(line) for line in bytes(content).splitlines()]
+                rows = [(source, i, fields, error) for i, (fields, error) in enumerate(split) if fields or error]
+                yield _frame(rows, LINES)
+
+    return files.select("source", "content").mapInPandas(numbered, LINES)
 
 
 def parse_weather_csv(
@@ -231,33 +214,38 @@ def parse_weather_csv(
     Columns are found by the header of their own file; of repeated names the first counts. The headers
     are one row per file, joined back without a hint, so a single huge file is still spread over tasks.
     """
-    spots = [F.array_position(csv_fields(F.col("line")), name).alias(f"_at_{key}") for key, name in columns.items()]
+    spots = [F.array_position("fields", name).cast("int").alias(f"_at_{key}") for key, name in columns.items()]
     headers = lines.filter(F.col("line_no") == header_line).select(F.col("source").alias("_file"), *spots)
-    dropped = F.col("line_no").isin(*skip, header_line)
-    body = lines.filter(
-        F.coalesce(~dropped, F.lit(True)) & (F.col("error").isNotNull() | (F.trim("line") != ""))
-    )
-    joined = body.join(headers, F.col("source") == F.col("_file"), "left").withColumn(
-        "_fields", csv_fields(F.col("line"))
+    dropped = F.coalesce(F.col("line_no").isin(*skip, header_line), F.lit(False))
+    joined = lines.filter(~dropped).join(headers, F.col("source") == F.col("_file"), "left")
+
+    # Texts, typed values and errors are three steps, so that no text is parsed more often than needed.
+    texts = joined.select(
+        "source",
+        "error",
+        (F.least(*[F.coalesce(F.col(f"_at_{k}"), F.lit(0)) for k in columns]) == 0).alias("_absent"),
+        *[F.when(F.col(f"_at_{k}") > 0, F.get("fields", F.col(f"_at_{k}") - 1)).alias(f"_{k}") for k in columns],
     )
+    typed = texts.withColumns({
+        "date": coerce_slash_date(F.col("_date")),
+        "max_temp": coerce_number(F.col("_max_temp")),
+        "min_temp": coerce_number(F.col("_min_temp")),
+    })
 
-    def field(key: str) -> Column:
-        return _present(F.when(F.col(f"_at_{key}") > 0, F.get("_fields", (F.col(f"_at_{key}") - 1).cast("int"))))
+    def unread(key: str) -> Column:
+        return F.col(key).isNull() & _present(F.col(f"_{key}")).isNotNull()
 
-    texts = joined.select("source", "error", *[F.col(f"_at_{k}") for k in columns], *[field(k).alias(k) for k in columns])
-    absent = F.greatest(*[(F.coalesce(F.col(f"_at_{k}"), F.lit(0)) == 0).cast("int") for k in columns]) == 1
-    date = coerce_slash_date(F.col("date"))
-    high, low = coerce_number(F.col("max_temp")), coerce_number(F.col("min_temp"))
-    unread = (F.col("max_temp").isNotNull() & high.isNull()) | (F.col("min_temp").isNotNull() & low.isNull())
     error = (
         F.when(F.col("error").isNotNull(), F.col("error"))
-        .when(absent, "missing column")
-        .when(date.isNull(), "bad date")
-        .when(unread, "not a number")
+        .when(F.col("_absent"), "missing column")
+        .when(F.col("date").isNull(), "bad date")
+        .when(unread("max_temp") | unread("min_temp"), "not a number")
     )
-    parsed = texts.select(
-        "source", date.alias("date"), high.alias("max_temp"), low.alias("min_temp"), "weather", error.alias("error")
+    row = F.struct(
+        "source", "date", "max_temp", "min_temp", _present(F.col("_weather")).alias("weather"), error.alias("error")
     )
+    # Through inline, a later filter on the error is not moved below the parsing and made to repeat it.
+    parsed = typed.select(F.inline(F.array(row)))
     return accept(parsed, strict=True) if strict else parsed
 
 
@@ -265,10 +253,8 @@ def accept(parsed: DataFrame, strict: bool = False) -> DataFrame:
     """Rows without an error; with `strict`, reading a row that has one fails."""
     error = F.col("error")
     if strict:
-        message = F.concat_ws(": ", F.col("source"), error)
-        return parsed.withColumn("error", F.when(error.isNotNull(), F.raise_error(message).cast("string"))).filter(
-            F.col("error").isNull()
-        )
+        fail = F.raise_error(F.concat_ws(": ", F.col("source"), error)).cast("boolean")
+        return parsed.filter(F.when(error.isNotNull(), fail).otherwise(True))
     return parsed.filter(error.isNull())
 
 

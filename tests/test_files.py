@@ -108,13 +108,6 @@ def test_lines_of_contents(spark):
     assert tuple(row)[1:] == (dt.date(2024, 4, 1), 1.0, 3.0, "雪", None)
 
 
-def test_csv_fields(spark):
-    lines = ["", "a", ",a,", '"x,1","say ""hi""",z', "a,,b"]
-    df = spark.createDataFrame([(t,) for t in lines], "t string")
-    got = [r[0] for r in df.select(files.csv_fields(F.col("t"))).collect()]
-    assert got == [[""], ["a"], ["", "a", ""], ["x,1", 'say "hi"', "z"], ["a", "", "b"]]
-
-
 def one(spark, text, fn):
     return spark.createDataFrame([(text,)], "t string").select(fn(F.col("t"))).first()[0]
 
