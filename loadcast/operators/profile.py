@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 
 from loadcast.functions.weather import missing_if_nan
 from loadcast.operators.ranking import exact_quantiles
-from loadcast.sources.tables import store
 
 GRID_POINTS = 200
+REACH = 9
 # A task hands its matrices over once it holds this many keys, so its memory stays bounded.
 MAX_HELD_KEYS = 1000
 
@@ -84,10 +84,10 @@ def _column_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> Da
     return wide.select(*keys, F.inline(F.array(*[F.col(f"_{i}") for i in range(len(cols))]))).filter("n > 0")
 
 
-def _auto_bins(counted: DataFrame, stats: DataFrame, group: list[str]) -> DataFrame:
+def _auto_bins(values: DataFrame, stats: DataFrame, group: list[str]) -> DataFrame:
     """Bin counts as the narrower of the Sturges and Freedman-Diaconis widths gives them."""
     quartiles = (
-        exact_quantiles(counted, group, "x", (0.25, 0.75), "_w")
+        exact_quantiles(values, group, "x", (0.25, 0.75))
         .groupBy(*group)
         .agg((F.max("quantile") - F.min("quantile")).alias("_iqr"))
     )
@@ -108,13 +108,9 @@ def histograms(
     """
     names = numeric_columns(df) if cols is None else list(cols)
     group = [*keys, "column"]
-    values = _long_form(df, names, keys).withColumn("_w", F.lit(1).cast("long"))
+    values = _long_form(df, names, keys)
     stats = _column_stats(df, names, keys)
-    if bins is None:
-        values = store(values.groupBy(*group, "x").agg(F.sum("_w").alias("_w")), "counted")
-        sized = _auto_bins(values, stats, group)
-    else:
-        sized = stats.withColumn("k", F.lit(bins).cast("long"))
+    sized = _auto_bins(values, stats, group) if bins is None else stats.withColumn("k", F.lit(bins).cast("long"))
     # A constant column gets one unit around its value, as the usual histogram rule has it.
     flat = F.col("lo") == F.col("hi")
     edges = sized.select(
@@ -128,7 +124,7 @@ def histograms(
     return (
         values.join(edges, group)
         .groupBy(*group, "k", "lo", "hi", slot.alias("bin"))
-        .agg(F.sum("_w").alias("n"))
+        .agg(F.count("*").alias("n"))
         .select(
             *group,
             "bin",
@@ -144,30 +140,40 @@ def kde(
 ) -> DataFrame:
     """`(keys…, column, point, x, density)`: a Gaussian density from the lowest to the highest value.
 
-    Scott's bandwidth. Equal values are counted first, so only distinct values meet the grid, and their
-    contributions fold into one partial sum per grid point and task before the shuffle. A column without
-    spread has no curve.
+    Scott's bandwidth. A value is laid only on the grid points within `REACH` bandwidths, beyond which its
+    share vanishes in double precision; as the bandwidth shrinks with the number of rows, a large table
+    touches few points per value. The shares fold into one partial sum per grid point and task before the
+    shuffle. A column without spread has no curve.
     """
     names = numeric_columns(df) if cols is None else list(cols)
     group = [*keys, "column"]
-    values = _long_form(df, names, keys)
     stats = _column_stats(df, names, keys).filter("sd > 0").select(
         *group,
-        F.col("n").alias("_n"),
         F.col("lo").alias("_lo"),
         ((F.col("hi") - F.col("lo")) / (grid - 1)).alias("_step"),
         (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("_h"),
+        F.col("n").alias("_n"),
     )
-    weighted = values.groupBy(*group, "x").agg(F.count("*").alias("_w")).join(stats, group)
-    at = F.col("_lo") + F.col("point") * F.col("_step")
-    z = (F.col("_value") - at) / F.col("_h")
+    spot = F.col("_lo") + F.col("point") * F.col("_step")
+    z = (F.col("x") - spot) / F.col("_h")
+    reach = REACH * F.col("_h")
+    first = F.greatest(F.ceil((F.col("x") - reach - F.col("_lo")) / F.col("_step")), F.lit(0))
+    last = F.least(F.floor((F.col("x") + reach - F.col("_lo")) / F.col("_step")), F.lit(grid - 1))
+    shares = (
+        _long_form(df, names, keys)
+        .join(stats, group)
+        .filter(first <= last)
+        .withColumn("point", F.explode(F.sequence(first, last)))
+        .groupBy(*group, "point")
+        .agg(F.sum(F.exp(z * z * -0.5)).alias("_mass"))
+    )
+    points = stats.withColumn("point", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(grid - 1).cast("long"))))
     scale = F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)
-    return (
-        weighted.withColumnRenamed("x", "_value")
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-        .groupBy(*group, "_n", "_lo", "_step", "_h", "point")
-        .agg(F.sum(F.col("_w") * F.exp(z * z * -0.5)).alias("_mass"))
-        .select(*group, "point", at.alias("x"), (F.col("_mass") / scale).alias("density"))
+    return points.join(shares, [*group, "point"], "left").select(
+        *group,
+        F.col("point").cast("int").alias("point"),
+        spot.alias("x"),
+        (F.coalesce("_mass", F.lit(0.0)) / scale).alias("density"),
     )
 
 

@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loadcast.session import materialize
 from loadcast.sources.tables import store
 
+COARSE_SLOTS = 4096
+
 
 def _matches(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     test = F.lit(True)
@@ -75,42 +78,46 @@ def running_total(
     )
 
 
-def exact_quantiles(
-    df: DataFrame, group: Sequence[str], value: str, points: Sequence[float], weight: str | None = None
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, points: Sequence[float]) -> DataFrame:
     """Linear-interpolated quantiles per group (at least one group column) as `(group…, point, quantile)`.
 
-    Equal values are counted before anything is ranked, so repeated values never pile up in one task;
-    `weight` names the count column of a table that is already one row per value.
+    A first pass counts values in `COARSE_SLOTS` equal slots per group, which tells in which slots the
+    wanted ranks fall. Only the values of those slots are then counted and ranked, so nothing but a few
+    thousandths of a smooth column is shuffled. Should one slot hold most values, the ranking still
+    spreads it: equal values are counted as one and the rest is cut into ranges.
     """
-    counted = df.filter(F.col(value).isNotNull())
-    if weight is None:
-        counted = counted.groupBy(*group, value).agg(F.count("*").alias("_n"))
-    else:
-        counted = counted.select(*group, value, F.col(weight).alias("_n"))
-    ranked = running_total(counted, group, [value], "_n")
-    totals = ranked.groupBy(*group).agg(F.sum("_n").alias("_total"))
-    wanted = (
-        totals.withColumn("point", F.explode(F.array(*[F.lit(float(p)) for p in points])))
-        .withColumn("_at", (F.col("_total") - 1) * F.col("point"))
-        .withColumn("_low", F.floor("_at"))
+    by, x = list(group), F.col(value)
+    there = df.filter(x.isNotNull())
+    spans = there.groupBy(*by).agg(F.count("*").alias("_total"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+    share = F.coalesce(F.try_divide(x - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
+    slot = F.least(F.floor(share * COARSE_SLOTS), F.lit(COARSE_SLOTS - 1)).alias("_slot")
+    placed = there.join(spans, by).select(*by, value, slot)
+
+    ahead = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = (
+        placed.groupBy(*by, "_slot")
+        .agg(F.count("*").alias("_in_slot"))
+        .withColumn("_ahead", F.coalesce(F.sum("_in_slot").over(ahead), F.lit(0)))
     )
-    # Each stored value covers the ranks [before, before + n); only the groups' few wanted ranks are joined.
-    hits = ranked.join(wanted, list(group))
-    low_hit = F.col("_low").between(F.col("before"), F.col("before") + F.col("_n") - 1)
-    next_rank = F.least(F.col("_low") + 1, F.col("_total") - 1)
-    high_hit = next_rank.between(F.col("before"), F.col("before") + F.col("_n") - 1)
-    return (
-        hits.filter(low_hit | high_hit)
-        .groupBy(*group, "point")
-        .agg(
-            F.max(F.when(low_hit, F.col(value))).alias("_lower"),
-            F.max(F.when(high_hit, F.col(value))).alias("_upper"),
-            F.max(F.col("_at") - F.col("_low")).alias("_share"),
-        )
-        .select(
-            *group,
-            "point",
-            (F.col("_lower") + F.col("_share") * (F.col("_upper") - F.col("_lower"))).alias("quantile"),
-        )
+    ranks = spans.select(*by, "_total", F.explode(F.array(*[F.lit(float(p)) for p in points])).alias("point")).withColumn(
+        "_at", (F.col("_total") - 1) * F.col("point")
+    )
+    low = F.floor("_at")
+    wanted = ranks.select(
+        *by, "point", (F.col("_at") - low).alias("_share"),
+        F.inline(F.array(
+            F.struct(F.lit(True).alias("_is_low"), low.alias("_rank")),
+            F.struct(F.lit(False).alias("_is_low"), F.least(low + 1, F.col("_total") - 1).alias("_rank")),
+        )),
     )
+    inside = (F.col("_rank") >= F.col("_ahead")) & (F.col("_rank") < F.col("_ahead") + F.col("_in_slot"))
+    located = materialize(wanted.join(slots, by).filter(inside).drop("_in_slot"))
+
+    needed = located.select(*by, "_slot").distinct()
+    counted = placed.join(needed, [*by, "_slot"], "left_semi").groupBy(*by, "_slot", value).agg(F.count("*").alias("_n"))
+    ranked = running_total(counted, [*by, "_slot"], [value], "_n")
+    start = F.col("_ahead") + F.col("before")
+    hit = (F.col("_rank") >= start) & (F.col("_rank") < start + F.col("_n"))
+    found = ranked.join(located, [*by, "_slot"]).filter(hit)
+    lower, upper = F.max(F.when(F.col("_is_low"), x)), F.max(F.when(~F.col("_is_low"), x))
+    return found.groupBy(*by, "point").agg((lower + F.max("_share") * (upper - lower)).alias("quantile"))

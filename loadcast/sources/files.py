@@ -211,13 +211,22 @@ def parse_weather_csv(
 ) -> DataFrame:
     """`(source, date, max_temp, min_temp, weather, error)` per data line.
 
-    Columns are found by the header of their own file; of repeated names the first counts. The headers
-    are one row per file, joined back without a hint, so a single huge file is still spread over tasks.
+    Columns are found by the header of their own file; of repeated names the first counts. Normally all
+    files have the same layout, and its positions are constants. Otherwise the headers, one row per file,
+    are joined back without a hint, so that a single huge file is still spread over tasks.
     """
-    spots = [F.array_position("fields", name).cast("int").alias(f"_at_{key}") for key, name in columns.items()]
+    spots = [
+        F.coalesce(F.array_position("fields", name).cast("int"), F.lit(0)).alias(f"_at_{key}")
+        for key, name in columns.items()
+    ]
     headers = lines.filter(F.col("line_no") == header_line).select(F.col("source").alias("_file"), *spots)
     dropped = F.coalesce(F.col("line_no").isin(*skip, header_line), F.lit(False))
-    joined = lines.filter(~dropped).join(headers, F.col("source") == F.col("_file"), "left")
+    body = lines.filter(~dropped)
+    layouts = headers.drop("_file").distinct().limit(2).collect()
+    if len(layouts) == 1:
+        joined = body.withColumns({name: F.lit(at) for name, at in layouts[0].asDict().items()})
+    else:
+        joined = body.join(headers, F.col("source") == F.col("_file"), "left")
 
     # Texts, typed values and errors are three steps, so that no text is parsed more often than needed.
     texts = joined.select(

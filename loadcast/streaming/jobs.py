@@ -56,13 +56,17 @@ def daily_peak_stream(
     """Daily peaks of closed days: a day is emitted once the watermark has passed its end.
 
     The state is one running maximum per open day and key; readings are reduced per task before they
-    reach it. Days are cut in UTC whatever the session zone, as local readings carry no zone.
+    reach it. Windows are cut in UTC, so the session's wall clock is read as UTC for the window and back
+    for the date: the days are the same as in the batch job.
     """
-    day = F.window("_at", "1 day")
-    timed = readings.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", delay)
-    peaks = timed.groupBy(*keys, day).agg(F.max(missing_if_nan(F.col(value))).alias("peak"))
+    zone = F.lit(readings.sparkSession.conf.get("spark.sql.session.timeZone"))
+    wall_clock = F.from_utc_timestamp(F.col(ts).cast("timestamp"), zone)
+    timed = readings.withColumn("_at", wall_clock).withWatermark("_at", delay)
+    peaks = timed.groupBy(*keys, F.window("_at", "1 day")).agg(F.max(missing_if_nan(F.col(value))).alias("peak"))
     return peaks.filter(F.col("peak").isNotNull()).select(
-        *keys, F.to_date("window.start").alias("date"), F.col("peak").cast("long").alias("max_power")
+        *keys,
+        F.to_date(F.to_utc_timestamp("window.start", zone)).alias("date"),
+        F.col("peak").cast("long").alias("max_power"),
     )
 
 

@@ -47,6 +47,25 @@ def test_peaks_of_closed_days(spark, tmp_path):
     assert got == sorted(map(tuple, daily_peak(readings).filter("date < '2024-01-03'").collect()))
 
 
+def test_peaks_follow_the_session_zone(spark, tmp_path):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        rows = [(f"2024-01-0{d} {h:02d}:00:00", 100.0 * d + h) for d in (1, 2, 3) for h in (0, 5, 23)]
+        texts = spark.createDataFrame(rows, "t string, value double")
+        for kind in ("timestamp", "timestamp_ntz"):
+            readings = texts.selectExpr(f"cast(t as {kind}) as ts", "value")
+            home = str(tmp_path / kind)
+            readings.write.parquet(f"{home}/in")
+            stream = jobs.daily_peak_stream(jobs.stream_parquet(spark, f"{home}/in", readings.schema))
+            jobs.run_available(stream, f"{home}/cp", f"{home}/out")
+            got = sorted(map(tuple, spark.read.parquet(f"{home}/out").collect()))
+            assert got == [(dt.date(2024, 1, 1), 123), (dt.date(2024, 1, 2), 223)]
+            assert got == sorted(map(tuple, daily_peak(readings).collect()))[:2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_streamed_features_equal_batch_and_skip_late_days(spark, sf_dir, tmp_path):
     merged = inputs.merged(spark, sf_dir)
     merged.repartition(3).write.parquet(str(tmp_path / "in"))
