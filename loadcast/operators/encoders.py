@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from loadcast.config import Config, EncoderSpec
 from loadcast.operators.ranking import running_total
+from loadcast.session import lookup
+from loadcast.sources.tables import store
 
 MAPPING = "encoder string, step int, column string, category string, index long"
 UNSEEN, MISSING = -1, -2
@@ -78,9 +80,9 @@ class OrdinalModel:
         """Codes replace the categories; -1 marks an unseen category, -2 a missing one not met in fitting."""
         result = df
         for column in self.columns:
-            codes = self.table.filter(F.col("column") == column).select(
+            codes = lookup(self.table.filter(F.col("column") == column).select(
                 F.col("category").alias("_category"), F.col("index").alias("_index")
-            )
+            ))
             text = result[column].cast("string")
             joined = result.join(codes, text.eqNullSafe(codes["_category"]), "left")
             fallback = F.when(F.col(column).isNull(), MISSING).otherwise(UNSEEN)
@@ -109,7 +111,7 @@ class Ordinal:
         for other in firsts[1:]:
             seen = seen.unionByName(other)
         ranked = running_total(seen, ["column"], ["_first", "category"])
-        table = ranked.select("column", "category", (F.col("before") + 1).alias("index"))
+        table = store(ranked.select("column", "category", (F.col("before") + 1).alias("index")), "codes")
         return OrdinalModel(tuple(self.columns), table)
 
 

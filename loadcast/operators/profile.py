@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from loadcast.functions.weather import missing_if_nan
 from loadcast.operators.ranking import exact_quantiles
+from loadcast.session import lookup
 
 GRID_POINTS = 200
 REACH = 9
@@ -122,7 +123,7 @@ def histograms(
     width = (F.col("hi") - F.col("lo")) / F.col("k")
     slot = F.least(F.floor((F.col("x") - F.col("lo")) / width), F.col("k") - 1)
     return (
-        values.join(edges, group)
+        values.join(lookup(edges), group)
         .groupBy(*group, "k", "lo", "hi", slot.alias("bin"))
         .agg(F.count("*").alias("n"))
         .select(
@@ -147,13 +148,13 @@ def kde(
     """
     names = numeric_columns(df) if cols is None else list(cols)
     group = [*keys, "column"]
-    stats = _column_stats(df, names, keys).filter("sd > 0").select(
+    stats = lookup(_column_stats(df, names, keys).filter("sd > 0").select(
         *group,
         F.col("lo").alias("_lo"),
         ((F.col("hi") - F.col("lo")) / (grid - 1)).alias("_step"),
         (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("_h"),
         F.col("n").alias("_n"),
-    )
+    ))
     spot = F.col("_lo") + F.col("point") * F.col("_step")
     z = (F.col("x") - spot) / F.col("_h")
     reach = REACH * F.col("_h")

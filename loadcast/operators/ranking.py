@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadcast.session import materialize
+from loadcast.session import lookup
 from loadcast.sources.tables import store
 
 COARSE_SLOTS = 4096
@@ -20,24 +20,21 @@ def _matches(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]
     return test
 
 
-def first_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: Sequence[str] = ()
-) -> DataFrame:
-    """One row per key by `order`; names in `descending` sort downwards and missing values sort last.
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = False) -> DataFrame:
+    """One row per key, the first by `order` and then by the other columns; missing values come last.
 
-    The leading order column is reduced by a hash aggregate over two narrow columns, and only the rows
-    that reach that extreme are sorted. A key with a third of all rows so costs one partial-aggregate
-    row per task instead of one enormous sort.
+    The smallest (or largest) row is an aggregate, so every task hands on one row per key whatever the
+    size of the key, and no rank is computed over all its rows.
     """
-    lead = order[0]
-    extreme = F.max(lead) if lead in descending else F.min(lead)
-    winners = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(extreme.alias("_lead"))
-    near = df.join(
-        winners, _matches(df, winners, [*((k, f"_key_{k}") for k in keys), (lead, "_lead")]), "left_semi"
-    )
-    sort = [F.col(c).desc_nulls_last() if c in descending else F.col(c).asc_nulls_last() for c in order]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*sort))
-    return near.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    rest = [c for c in df.columns if c not in {*keys, *order}]
+    ranked = [c for c in order if c not in keys]
+    payload = [*ranked, *rest]
+    if descending:
+        best = F.max(F.struct(*payload))
+    else:
+        # Structs put missing values first, so the ascending order compares a missing flag before each value.
+        best = F.min(F.struct(F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in payload]), F.struct(*payload).alias("row")))["row"]
+    return df.groupBy(*keys).agg(best.alias("_best")).select(*[F.col(c) if c in keys else F.col("_best")[c].alias(c) for c in df.columns])
 
 
 def running_total(
@@ -60,11 +57,11 @@ def running_total(
     amount = F.lit(1).cast("long") if weight is None else F.col(weight)
     slices = placed.groupBy(*group, "_slice").agg(F.sum(amount).alias("_slice_sum"))
     ahead = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(
+    offsets = lookup(slices.select(
         *[F.col(c).alias(f"_key_{c}") for c in group],
         F.col("_slice").alias("_key__slice"),
         F.coalesce(F.sum("_slice_sum").over(ahead), F.lit(0)).alias("_offset"),
-    )
+    ))
     inside = (
         Window.partitionBy(*group, "_slice")
         .orderBy(*[F.col(c).asc_nulls_last() for c in [*order, "_spread"]])
@@ -88,7 +85,7 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, points: Seq
     """
     by, x = list(group), F.col(value)
     there = df.filter(x.isNotNull())
-    spans = there.groupBy(*by).agg(F.count("*").alias("_total"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+    spans = lookup(there.groupBy(*by).agg(F.count("*").alias("_total"), F.min(x).alias("_lo"), F.max(x).alias("_hi")))
     share = F.coalesce(F.try_divide(x - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
     slot = F.least(F.floor(share * COARSE_SLOTS), F.lit(COARSE_SLOTS - 1)).alias("_slot")
     placed = there.join(spans, by).select(*by, value, slot)
@@ -111,9 +108,9 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, points: Seq
         )),
     )
     inside = (F.col("_rank") >= F.col("_ahead")) & (F.col("_rank") < F.col("_ahead") + F.col("_in_slot"))
-    located = materialize(wanted.join(slots, by).filter(inside).drop("_in_slot"))
+    located = lookup(wanted.join(slots, by).filter(inside).drop("_in_slot"))
 
-    needed = located.select(*by, "_slot").distinct()
+    needed = lookup(located.select(*by, "_slot").distinct())
     counted = placed.join(needed, [*by, "_slot"], "left_semi").groupBy(*by, "_slot", value).agg(F.count("*").alias("_n"))
     ranked = running_total(counted, [*by, "_slot"], [value], "_n")
     start = F.col("_ahead") + F.col("before")

@@ -15,4 +15,4 @@ def latest_approved(
 ) -> DataFrame:
     """The newest approved model version of every group."""
     approved = events.filter(F.col("status") == APPROVED)
-    return first_per_key(approved, [group], [created, version], descending=[created, version])
+    return first_per_key(approved, [group], [created, version], descending=True)

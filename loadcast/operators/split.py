@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadcast.operators.ranking import running_total
-from loadcast.session import materialize
+from loadcast.session import lookup
 
 TRAIN, TEST = "train", "test"
 
@@ -49,7 +49,7 @@ def _split_by_ratio(df: DataFrame, ratio: float, keys: list[str], date_col: str)
         .withColumn("_quota", F.greatest(F.lit(0), F.least("_rows", F.col("_train") - F.col("_before"))))
     )
     day_keys = [*keys, date_col]
-    quotas = materialize(days.select(*[F.col(c).alias(f"_day_{c}") for c in day_keys], "_rows", "_quota"))
+    quotas = lookup(days.select(*[F.col(c).alias(f"_day_{c}") for c in day_keys], "_rows", "_quota"))
     match = [df[c].eqNullSafe(quotas[f"_day_{c}"]) for c in day_keys]
     placed = df.join(quotas, match).drop(*[f"_day_{c}" for c in day_keys])
 

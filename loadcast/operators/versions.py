@@ -49,11 +49,5 @@ def latest_features(
         return df
 
     pool = in_range(versions) if key_is_date else versions
-    order, descending = list(version), list(version)
-    if dict(versions.dtypes)[version[0]] == "string":
-        # The same order as the text, but as a number, which a hash aggregate can reduce without sorting.
-        pool = pool.withColumn("_moment", F.col(version[0]).try_cast("timestamp"))
-        order, descending = ["_moment", *order], ["_moment", *descending]
-    rest = [c for c in versions.columns if c not in {*key, *version}]
-    chosen = first_per_key(pool, list(key), [*order, *rest], descending).select(*versions.columns)
+    chosen = first_per_key(pool, list(key), list(version), descending=True)
     return chosen if key_is_date else in_range(chosen)

@@ -19,7 +19,7 @@ from loadcast.operators.serving import format_predictions, parse_requests
 from loadcast.operators.split import chrono_split, parts
 from loadcast.operators.versions import append_versions, latest_features, stamp_versions
 from loadcast.schemas import FEATURE_VERSIONS, FEATURES, MERGED, TARGET, WATERMARK
-from loadcast.session import materialize
+from loadcast.session import lookup, materialize
 from loadcast.sources.tables import read_merged, store, write_days, write_matrix
 
 ETL_JOB = "etl_data"
@@ -42,7 +42,7 @@ def run_daily_merge(
     """
     control = spark.read.schema(WATERMARK).parquet(control_path)
     landed = readings.select(F.to_date("ts").alias("date")).distinct()
-    days = materialize(unprocessed_dates(landed, weather, read_watermark(control, job)))
+    days = lookup(unprocessed_dates(landed, weather, read_watermark(control, job)))
     if not needs_run(days):
         return None
     dated = readings.withColumn("_day", F.to_date("ts")).join(days.withColumnRenamed("date", "_day"), "_day", "left_semi")

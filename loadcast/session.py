@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A lookup side of a few narrow columns stays below some tens of megabytes up to this many rows.
+BROADCAST_ROWS = 200_000
 
 SETTINGS = {
     # Days are cut in UTC, so the answer does not depend on where a driver runs.
@@ -51,3 +55,13 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, which outlives a lost executor."""
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def lookup(df: DataFrame) -> DataFrame:
+    """A narrow side table, computed once and broadcast if its counted rows allow it.
+
+    The planner cannot foresee how far an aggregate shrinks a large table and would shuffle the other
+    side. A table beyond the limit is joined as the planner sees fit, with skew handling.
+    """
+    kept = materialize(df)
+    return F.broadcast(kept) if kept.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else kept

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadcast.functions.dates import coerce_number, coerce_slash_date, date_from_filename
+from loadcast.session import lookup
 
 ENCODING = "shift_jis"
 # Layout and column names of the published files. The dash in the weather column is U+301C.
@@ -213,7 +214,7 @@ def parse_weather_csv(
 
     Columns are found by the header of their own file; of repeated names the first counts. Normally all
     files have the same layout, and its positions are constants. Otherwise the headers, one row per file,
-    are joined back without a hint, so that a single huge file is still spread over tasks.
+    are looked up; a single huge file is spread over tasks either way.
     """
     spots = [
         F.coalesce(F.array_position("fields", name).cast("int"), F.lit(0)).alias(f"_at_{key}")
@@ -226,7 +227,7 @@ def parse_weather_csv(
     if len(layouts) == 1:
         joined = body.withColumns({name: F.lit(at) for name, at in layouts[0].asDict().items()})
     else:
-        joined = body.join(headers, F.col("source") == F.col("_file"), "left")
+        joined = body.join(lookup(headers), F.col("source") == F.col("_file"), "left")
 
     # Texts, typed values and errors are three steps, so that no text is parsed more often than needed.
     texts = joined.select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadcast.session import scratch_path
+from loadcast.session import lookup, scratch_path
 
 ROWS_PER_FILE = 5_000_000
 
@@ -23,7 +23,7 @@ def store(df: DataFrame, label: str) -> DataFrame:
 def land_if_absent(new: DataFrame, landed: DataFrame, on: str | Sequence[str] = "dt") -> DataFrame:
     """The rows whose day has not been landed before."""
     names = [on] if isinstance(on, str) else list(on)
-    return new.join(landed.select(*names).distinct(), names, "left_anti")
+    return new.join(lookup(landed.select(*names).distinct()), names, "left_anti")
 
 
 def _tasks(df: DataFrame) -> int:
@@ -38,7 +38,7 @@ def write_by_day(df: DataFrame, path: str, date_col: str = "date", mode: str = "
     rows is written by as many tasks as it needs.
     """
     dated = df.withColumn("dt", F.col(date_col))
-    cuts = dated.groupBy(F.col("dt").alias("_day")).agg(F.ceil(F.count("*") / ROWS_PER_FILE).alias("_cuts"))
+    cuts = lookup(dated.groupBy(F.col("dt").alias("_day")).agg(F.ceil(F.count("*") / ROWS_PER_FILE).alias("_cuts")))
     sliced = dated.join(cuts, dated["dt"].eqNullSafe(cuts["_day"])).withColumn(
         "_slice", F.floor(F.rand(5) * F.col("_cuts"))
     )

@@ -133,13 +133,13 @@ def test_latest_features_filters_after_the_choice(spark):
 def test_version_ties_are_deterministic(spark):
     rows = [("k", "v1", D(2024, 1, 1), x) for x in (3, 1, 2)]
     df = spark.createDataFrame(rows, "record_id string, event_time string, date date, x int").repartition(3)
-    assert [r.x for r in latest_features(df).collect()] == [1]
+    assert [r.x for r in latest_features(df).collect()] == [3]
 
 
 def test_first_per_key_sorts_missing_last(spark):
     df = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("b", None, 3), (None, 1, 4)], "k string, v int, x int")
     up = {r.k: r.x for r in first_per_key(df, ["k"], ["v", "x"]).collect()}
-    down = {r.k: r.x for r in first_per_key(df, ["k"], ["v", "x"], ["v"]).collect()}
+    down = {r.k: r.x for r in first_per_key(df, ["k"], ["v"], descending=True).collect()}
     assert up == down == {"a": 2, "b": 3, None: 4}
 
 
