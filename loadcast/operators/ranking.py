@@ -21,20 +21,16 @@ def _matches(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = False) -> DataFrame:
-    """One row per key, the first by `order` and then by the other columns; missing values come last.
+    """One row per key, the first by `order` and then by the other columns.
 
-    The smallest (or largest) row is an aggregate, so every task hands on one row per key whatever the
-    size of the key, and no rank is computed over all its rows.
+    Missing values sort as in SQL: first when ascending, last when descending. The smallest (or largest)
+    row is an aggregate, so every task hands on one row per key whatever the size of the key, and no rank
+    is computed over all its rows.
     """
-    rest = [c for c in df.columns if c not in {*keys, *order}]
-    ranked = [c for c in order if c not in keys]
-    payload = [*ranked, *rest]
-    if descending:
-        best = F.max(F.struct(*payload))
-    else:
-        # Structs put missing values first, so the ascending order compares a missing flag before each value.
-        best = F.min(F.struct(F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in payload]), F.struct(*payload).alias("row")))["row"]
-    return df.groupBy(*keys).agg(best.alias("_best")).select(*[F.col(c) if c in keys else F.col("_best")[c].alias(c) for c in df.columns])
+    named = {*keys, *order}
+    row = F.struct(*[c for c in order if c not in keys], *[c for c in df.columns if c not in named])
+    best = df.groupBy(*keys).agg((F.max(row) if descending else F.min(row)).alias("_best"))
+    return best.select(*[F.col(c) if c in keys else F.col("_best")[c].alias(c) for c in df.columns])
 
 
 def running_total(

