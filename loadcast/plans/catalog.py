@@ -105,8 +105,7 @@ def bad_file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_csv_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = files.read_lines(spark, inputs.write_weather_files(spark, sf_dir), "*.txt")
-    parsed = files.parse_weather_csv(lines, strict=True)
+    parsed = files.read_weather(spark, inputs.write_weather_files(spark, sf_dir), "*.txt", strict=True)
     return parsed.select("date", "max_temp", "min_temp", "weather")
 
 

@@ -11,8 +11,11 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,19 +154,47 @@ def parse_power_csv(
     return accept(parsed, strict=True) if strict else parsed
 
 
-def _fields(raw: bytes) -> tuple[list[str] | None, str | None]:
+def _cut(text: str) -> list[str]:
+    return next(csv.reader([text]), []) if '"' in text else text.split(",")
+
+
+def _fields(lines: list[bytes]) -> tuple[list[list[str] | None], list[str | None]]:
+    """Fields and errors per line; a batch is decoded at once unless one of its lines is broken."""
     try:
-        return next(csv.reader([bytes(raw).decode(ENCODING)]), []), None
+        texts = b"\n".join(lines).decode(ENCODING).split("\n") if lines else []
+        return [_cut(text) for text in texts], [None] * len(texts)
     except UnicodeDecodeError:
-        return None, "undecodable text"
+        fields, errors = [], []
+        for line in lines:
+            try:
+                fields.append(_cut(line.decode(ENCODING)))
+                errors.append(None)
+            except UnicodeDecodeError:
+                fields.append(None)
+                errors.append("undecodable text")
+        return fields, errors
+
+
+def _line_batch(sources: list[str], numbers: list[int | None], lines: list[bytes]) -> pa.RecordBatch:
+    fields, errors = _fields(lines)
+    table = pa.RecordBatch.from_arrays(
+        [
+            pa.array(sources, pa.string()), pa.array(numbers, pa.int64()),
+            pa.array(fields, pa.list_(pa.string())), pa.array(errors, pa.string()),
+        ],
+        ["source", "line_no", "fields", "error"],
+    )
+    blank = pa.array([f == [""] for f in fields], pa.bool_())
+    return table.filter(pc.invert(blank))
 
 
-def read_lines(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
+def read_lines(spark: SparkSession, path: str, pattern: str = "*.csv", head: int | None = None) -> DataFrame:
     """`(source, line_no, fields, error)` of the non-blank lines of Shift-JIS CSV files of any size.
 
     Large files are split: no Shift-JIS character holds a line-end byte, so raw lines can be cut before
     they are decoded. Lines are numbered in the first block of a file, where the preamble lies; further
-    lines have no number. A quoted field must end on its own line.
+    lines have no number. With `head` only that many lines of each file are decoded and returned. A
+    quoted field must end on its own line.
     """
     raw = (
         spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(path)
@@ -173,34 +204,44 @@ def read_lines(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFr
             F.col("value").cast("binary").alias("raw"),
         )
     )
+    if head is not None:
+        raw = raw.filter("start = 0")
 
-    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, line_no = None, 0
         for batch in batches:
-            rows = []
-            for source, start, line in zip(batch["source"], batch["start"], batch["raw"]):
-                if (source, start) != current:
-                    current, line_no = (source, start), 0
-                fields, error = _fields(line)
-                if fields or error:
-                    rows.append((source, line_no if start == 0 else None, fields, error))
-                line_no += 1
-            yield _frame(rows, LINES)
-
-    return raw.mapInPandas(numbered, LINES)
+            # A batch holds a few runs of lines, each from one block of one file.
+            blocks = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            for block, run in groupby(range(len(blocks)), blocks.__getitem__):
+                rows = list(run)
+                if block != current:
+                    current, line_no = block, 0
+                count = len(rows) if head is None else max(0, min(len(rows), head - line_no))
+                if count:
+                    lines = batch.column(2).slice(rows[0], count).to_pylist()
+                    numbers = range(line_no, line_no + count) if block[1] == 0 else [None] * count
+                    yield _line_batch([block[0]] * count, list(numbers), lines)
+                line_no += len(rows)
+
+    return raw.mapInArrow(numbered, LINES)
 
 
 def lines_of(files: DataFrame) -> DataFrame:
     """The same shape from `(source, content)` rows."""
 
-    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for source, content in zip(batch["source"], batch["content"]):
-                split = [_fields(line) for line in bytes(content).splitlines()]
-                rows = [(source, i, fields, error) for i, (fields, error) in enumerate(split) if fields or error]
-                yield _frame(rows, LINES)
+            for source, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                lines = content.splitlines()
+                yield _line_batch([source] * len(lines), list(range(len(lines))), lines)
+
+    return files.select("source", "content").mapInArrow(numbered, LINES)
+
 
-    return files.select("source", "content").mapInPandas(numbered, LINES)
+def read_weather(spark: SparkSession, path: str, pattern: str = "*.csv", strict: bool = False) -> DataFrame:
+    """The weather files below a folder, parsed; the headers come from a pass that decodes nothing else."""
+    heads = read_lines(spark, path, pattern, head=WEATHER_HEADER_LINE + 1)
+    return parse_weather_csv(read_lines(spark, path, pattern), strict=strict, heads=heads)
 
 
 def parse_weather_csv(
@@ -209,6 +250,7 @@ def parse_weather_csv(
     header_line: int = WEATHER_HEADER_LINE,
     columns: dict[str, str] = WEATHER_COLUMNS,
     strict: bool = False,
+    heads: DataFrame | None = None,
 ) -> DataFrame:
     """`(source, date, max_temp, min_temp, weather, error)` per data line.
 
@@ -220,7 +262,8 @@ def parse_weather_csv(
         F.coalesce(F.array_position("fields", name).cast("int"), F.lit(0)).alias(f"_at_{key}")
         for key, name in columns.items()
     ]
-    headers = lines.filter(F.col("line_no") == header_line).select(F.col("source").alias("_file"), *spots)
+    first = lines if heads is None else heads
+    headers = first.filter(F.col("line_no") == header_line).select(F.col("source").alias("_file"), *spots)
     dropped = F.coalesce(F.col("line_no").isin(*skip, header_line), F.lit(False))
     body = lines.filter(~dropped)
     layouts = headers.drop("_file").distinct().limit(2).collect()

@@ -78,11 +78,18 @@ def test_weather_csv(spark, tmp_path):
         '2024/4/1,20.5,99,10.0,"晴,のち曇"', "2024/04/02,NaN,99,,", "", "2024/13/45,1,1,1,雨", "2024/4/3,x,1,1,雨",
     ]))
     (tmp_path / "bad.csv").write_bytes(weather_csv(["2024/4/9,1"], header="年月日,別"))
-    parsed = files.parse_weather_csv(files.read_lines(spark, str(tmp_path)))
+    (tmp_path / "broken.csv").write_bytes(weather_csv(["2024/4/5,1,1,1,雨"]) + b"\n2024/4/6,1,1,1,\x81\n2024/4/7,1")
+    parsed = files.read_weather(spark, str(tmp_path))
     good = sorted(tuple(r)[1:5] for r in files.accept(parsed).collect())
-    assert good == [(dt.date(2024, 4, 1), 20.5, 10.0, "晴,のち曇"), (dt.date(2024, 4, 2), None, None, None)]
+    assert good == [
+        (dt.date(2024, 4, 1), 20.5, 10.0, "晴,のち曇"), (dt.date(2024, 4, 2), None, None, None),
+        (dt.date(2024, 4, 5), 1.0, 1.0, "雨"), (dt.date(2024, 4, 7), 1.0, None, None),
+    ]
     report = {(r.source[-5:], r.error): r.n for r in files.bad_report(parsed).collect()}
-    assert report == {("w.csv", "bad date"): 1, ("w.csv", "not a number"): 1, ("d.csv", "missing column"): 1}
+    assert report == {
+        ("w.csv", "bad date"): 1, ("w.csv", "not a number"): 1, ("d.csv", "missing column"): 1,
+        ("n.csv", "undecodable text"): 1,
+    }
     with pytest.raises(Exception, match="bad date|missing column|not a number"):
         files.parse_weather_csv(files.read_lines(spark, str(tmp_path)), strict=True).collect()
 
@@ -96,7 +103,7 @@ def test_a_split_weather_file_gives_every_line_once(spark, tmp_path):
     try:
         lines = files.read_lines(spark, str(tmp_path))
         assert lines.rdd.getNumPartitions() > 4
-        got = files.parse_weather_csv(lines, strict=True)
+        got = files.read_weather(spark, str(tmp_path), strict=True)
         assert sorted(r.max_temp for r in got.collect()) == list(range(40000))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
