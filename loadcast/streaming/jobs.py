@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,10 +112,12 @@ def landing_batch_writer(path: str, strict: bool = False) -> Callable[[DataFrame
 
 def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """The landing table, or None before its first batch."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return spark.read.schema(schema).parquet(path)
 
 
 def score_stream(requests: DataFrame, bundle: Bundle, holidays: DataFrame | None = None) -> DataFrame:

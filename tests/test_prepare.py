@@ -95,6 +95,19 @@ def test_split_through_a_hot_day(spark):
     assert last == min(r.date for r in labelled if r.split == "test") == D(2024, 1, 5)
 
 
+def test_lookups_beyond_the_limit_give_the_same_answers(spark, monkeypatch):
+    monkeypatch.setattr("loadcast.session.BROADCAST_ROWS", 0)
+    hot = [(D(2024, 1, 5), 7)] * 40
+    labelled = chrono_split(days(spark, 60, hot), ratio=0.8)
+    assert labelled.filter("split = 'train'").count() == 19 and labelled.count() == 100
+    assert "BroadcastHint" not in labelled._jdf.queryExecution().analyzed().toString()
+    frame = sample()
+    edges = np.histogram_bin_edges(frame["z"], "auto")
+    wanted, _ = np.histogram(frame["z"], edges)
+    rows = profile.histograms(spark.createDataFrame(frame), ["z"]).collect()
+    assert {r.bin: r.n for r in rows} == {i: n for i, n in enumerate(wanted) if n}
+
+
 def test_split_by_area(spark):
     df = days(spark, 10).withColumn("area", F.lit("a")).unionByName(days(spark, 5).withColumn("area", F.lit("b")))
     labelled = chrono_split(df, ratio=0.2, keys=["area"])
