@@ -124,6 +124,16 @@ def span_hash(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((running[ends] - running[starts]) * down[starts])
 
 
+def sliding_hash(running: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hashes of all spans of one width, from left to right."""
+    _, down = _powers(len(running))
+    values = running[width:] - running[:-width]
+    values *= down[:len(values)]
+    values ^= values >> np.uint64(32)
+    values *= np.uint64(0x94D049BB133111EB)
+    return values
+
+
 @lru_cache(maxsize=1)
 def _lines() -> np.ndarray:
     return ~byte_set((0x0A, 0x0A))
