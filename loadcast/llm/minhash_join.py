@@ -188,7 +188,8 @@ def _bucket_pairs(live: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """`(doc_id, n_shingles, component_id, kept)` per row; links have `100 * common >= percent * union`."""
+    """`(doc_id, n_shingles, component_id, kept, text_key)` per row, `text_key` being the hash of the text; links have
+    `100 * common >= percent * union`."""
     signed = store(sign_table(df, shingle), "signed")
     classes = store(
         signed.filter("n_shingles > 0").groupBy("node", "n_shingles").agg(
@@ -230,8 +231,21 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
     rooted = classes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least_id")
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = rooted.join(least, "root").select("node", "component_id")
-    out = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    out = signed.select("doc_id", "n_shingles", "text_key", "node").join(named, "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
+        "text_key",
     )
+
+
+def keep_one(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `df` without those whose group has a document with a smaller id. Rows that share an id are one
+    document and stay or go together with others of their text."""
+    gone = lookup(
+        near_duplicates(df, shingle, percent).filter(~F.col("kept")).select(
+            F.col("doc_id").alias("_doc"), F.col("text_key").alias("_text")
+        ).distinct()
+    )
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_text"))
+    return df.join(gone, same, "left_anti")

@@ -227,3 +227,19 @@ def judge(docs: DataFrame, trees: Trees | None, threshold: float = THRESHOLD) ->
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return judge(docs, fit_quality(docs, labels), threshold)
+
+
+def keep_good(docs: DataFrame, trees: Trees | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs` that pass the base rule and the trees, with all their columns."""
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, offsets in text_chunks(batch.column(names.index("text"))):
+                base, features = statistics(data, offsets)
+                good = (base[:, 0] >= MIN_WORDS) & (100 * base[:, 4] <= 50 * base[:, 0])
+                if trees is not None:
+                    good &= trees.score(features) >= threshold
+                yield batch.slice(first, end - first).filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)

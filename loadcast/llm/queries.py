@@ -1,13 +1,17 @@
-"""The registered queries of the operators and their SQL counterparts."""
+"""The registered queries of the operators. None can be put in SQL; `tests/llm` holds them against plain versions."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loadcast.llm import bpe, minhash_join, packing
-from loadcast.llm.common import table
+from loadcast.llm import (
+    bpe, collision_knn, html_text, license_scan, minhash_join, packing, ppm, quality, rollups, suffix_dedup,
+)
+from loadcast.llm.common import store, table
+from loadcast.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +20,35 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after a load, a second tokenizer version that adds an end token, deletion of documents without tokens,
+    a replay of the load, which adds nothing, naming of unnamed sources and languages, and a compaction."""
+    counts = store(bpe.count_table(table(spark, sf_dir, "documents"), ["source", "lang"]), "counts")
+    plain = counts.withColumn("tokenizer", F.lit("word_bpe_49k"))
+    ended = counts.withColumns({"tokenizer": F.lit("word_bpe_49k+end"), "n_tokens": F.col("n_tokens") + 1})
+    both = plain.unionByName(ended)
+    unnamed = both.filter("source IS NULL OR lang IS NULL")
+    empty = counts.filter("n_tokens = 0").withColumn("tokenizer", F.lit("word_bpe_49k"))
+    rollup = rollups.Rollup(spark, scratch_path(spark, "rollup"))
+    rollup.commit("load", rollups.inserted(plain))
+    rollup.commit("end token", rollups.inserted(ended))
+    rollup.commit("unnamed", rollups.revised(unnamed, unnamed.fillna("", ["source", "lang"])))
+    rollup.compact()
+    gone = empty.fillna("", ["source", "lang"])
+    gone = gone.unionByName(gone.withColumns({"tokenizer": F.lit("word_bpe_49k+end"), "n_tokens": F.lit(1)}))
+    rollup.commit("without tokens", rollups.deleted(gone))
+    rollup.commit("load", rollups.inserted(plain))
+    return rollup.totals()
+
+
+def op3_collision_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_knn.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
@@ -24,10 +57,28 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ppm.score_documents(docs, ppm.file_blocks(docs), ppm.held_out())
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(table(spark, sf_dir, "documents"))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
-    "op1_best_fit_packing": op1_best_fit_packing,
-    "op5_minhash_near_dedup": op5_minhash_near_dedup,
-    "op6_bpe": op6_bpe,
+    f.__name__: f for f in (
+        op1_best_fit_packing, op2_token_counts, op3_collision_knn, op4_suffix_dedup, op5_minhash_near_dedup, op6_bpe,
+        op7_ppm_scores, op8_quality_rules, op9_license_scan, op10_html_text,
+    )
 }
 
 ORACLE: dict[str, str] = {}
