@@ -27,7 +27,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +37,11 @@ from pyspark.sql import functions as F
 from loadcast.llm.common import prefix_hash, sliding_hash, span_hash, store, text_chunks
 from loadcast.session import materialize
 
-MATCH, ANCHOR = 100, 32
+MATCH, ANCHOR = 100, 48
 # A byte that no UTF-8 text holds: the symbol before a suffix that is not known yet.
 UNKNOWN = 0xFF
 # Bytes of segments per bucket, entries of the transform per step, and entries beyond which it is kept in files.
-BUCKET_BYTES, STEP, IN_MEMORY = 6 << 20, 1 << 21, 1 << 25
+BUCKET_BYTES, STEP, IN_MEMORY = 2 << 20, 1 << 21, 1 << 25
 # Different segments of one anchor beyond which its windows are grouped by digest.
 MANY_SEGMENTS = 5_000
 # Key rows that are broadcast at most; 16 bytes each, and more are joined by shuffling.
@@ -111,20 +111,20 @@ def segment_table(texts: DataFrame, match: int) -> DataFrame:
 class Columns:
     """The growing arrays of one collection, in memory or, beyond `IN_MEMORY` entries, in files of one folder."""
 
-    KINDS = {"symbol": np.uint8, "common": np.uint8, "owner": np.int32, "length": np.uint8}
+    KINDS = {"symbol": np.uint8, "start": np.int32, "common": np.uint8}
 
     def __init__(self, total: int, limit: int = IN_MEMORY):
         self.folder = tempfile.TemporaryDirectory(prefix="columns-") if total > limit else None
         self.turn = 0
 
-    def new(self, size: int) -> dict[str, np.ndarray]:
+    def new(self, size: int, names: Sequence[str]) -> dict[str, np.ndarray]:
         """Arrays for one round; the files of the round before the last are written over."""
         self.turn ^= 1
         if self.folder is None:
-            return {name: np.empty(size, kind) for name, kind in self.KINDS.items()}
+            return {name: np.empty(size, self.KINDS[name]) for name in names}
         return {
-            name: np.memmap(os.path.join(self.folder.name, f"{name}-{self.turn}"), kind, "w+", shape=size)
-            for name, kind in self.KINDS.items()
+            name: np.memmap(os.path.join(self.folder.name, f"{name}-{self.turn}"), self.KINDS[name], "w+", shape=size)
+            for name in names
         }
 
     def close(self) -> None:
@@ -139,13 +139,17 @@ def _ranks(symbol: np.ndarray, places: np.ndarray, step: int) -> np.ndarray:
     for a in range(0, len(symbol), step):
         part = np.asarray(symbol[a:a + step])
         order = np.argsort(part, kind="stable")
-        inverse = np.empty(len(part), np.int32)
-        inverse[order] = np.arange(len(part), dtype=np.int32)
         counts = np.bincount(part, minlength=256)
+        heads = np.cumsum(counts) - counts
         low, high = np.searchsorted(places, [a, a + len(part)])
         own = places[low:high] - a
         which = part[own]
-        within[low:high] = total[which] + inverse[own] - (np.cumsum(counts) - counts)[which]
+        by_symbol = np.argsort(which, kind="stable")
+        edges = np.searchsorted(which[by_symbol], np.arange(257))
+        for c in np.flatnonzero(np.diff(edges)).tolist():
+            mine = by_symbol[edges[c]:edges[c + 1]]
+            before = np.searchsorted(order[heads[c]:heads[c] + counts[c]], own[mine])
+            within[low + mine] = total[c] + before
         total += counts
     return within + (np.cumsum(total) - total)[np.asarray(symbol[places])]
 
@@ -153,42 +157,43 @@ def _ranks(symbol: np.ndarray, places: np.ndarray, step: int) -> np.ndarray:
 def sort_columns(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, match: int = MATCH, step: int = STEP,
     limit: int = IN_MEMORY,
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Suffix-sort a collection of strings of at most 255 bytes, and give its suffixes in order, by steps: the string
-    of each, its length, and its common prefix with the one before, up to `match`. Suffixes shorter than `match`
-    count as having none."""
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Suffix-sort a collection of strings that stand one after the other in `data`. Gives its suffixes in order, by
+    steps and without the empty ones: the place in `data` where each starts, and its common prefix with the one
+    before, up to `match`. Suffixes shorter than `match` count as having none."""
     sizes = ends - starts
-    count = len(sizes)
+    count, longest = len(sizes), int(sizes.max(initial=0))
     columns = Columns(int(sizes.sum()) + count, limit)
     try:
-        now = columns.new(count)
-        now["symbol"][:], now["common"][:], now["length"][:] = UNKNOWN, 0, 0
-        now["owner"][:] = np.arange(count)
+        now = columns.new(count, ("symbol", "start"))
+        now["symbol"][:], now["start"][:] = UNKNOWN, ends
         place = np.arange(count, dtype=np.int64)
-        for turn in range(1, int(sizes.max(initial=0)) + 1):
+        for turn in range(1, longest + 1):
             active = np.flatnonzero(sizes >= turn)
             active = active[np.argsort(place[active], kind="stable")]
             at = place[active]
             now["symbol"][at] = data[ends[active] - turn]
             fresh = count + _ranks(now["symbol"], at, step)
             by_place = np.argsort(fresh, kind="stable")
-            now = _insert(columns, now, fresh[by_place], active[by_place], turn, step)
+            # Shorter suffixes have no common prefix that counts.
+            now = _insert(columns, now, fresh[by_place], ends[active[by_place]] - turn, turn >= match, step)
             place[active] = fresh
             if turn >= match:
                 _update_common(now, np.sort(fresh), data, ends, match)
-        for a in range(0, len(now["owner"]), step):
-            yield tuple(np.array(now[name][a:a + step]) for name in ("owner", "length", "common"))
+        for a in range(count, len(now["start"]), step):
+            part = np.array(now["start"][a:a + step])
+            yield part, np.array(now["common"][a:a + step]) if "common" in now else np.zeros(len(part), np.uint8)
     finally:
         columns.close()
 
 
 def _insert(
-    columns: Columns, old: dict[str, np.ndarray], fresh: np.ndarray, owners: np.ndarray, turn: int, step: int
+    columns: Columns, old: dict[str, np.ndarray], fresh: np.ndarray, starts: np.ndarray, prefixes: bool, step: int
 ) -> dict[str, np.ndarray]:
-    """The arrays with a new suffix of each owner at the sorted places `fresh`; one pass over old and new."""
-    size = len(old["owner"]) + len(fresh)
-    new = columns.new(size)
-    values = {"symbol": UNKNOWN, "common": 0, "owner": owners, "length": turn}
+    """The arrays with the suffixes that start at `starts` put in at the sorted places `fresh`; one pass over both."""
+    size = len(old["start"]) + len(fresh)
+    new = columns.new(size, ("symbol", "start", "common") if prefixes else ("symbol", "start"))
+    values = {"symbol": UNKNOWN, "start": starts, "common": 0}
     used = 0
     for a in range(0, size, step):
         b = min(a + step, size)
@@ -196,10 +201,10 @@ def _insert(
         kept = np.ones(b - a, bool)
         kept[fresh[low:high] - a] = False
         take = b - a - (high - low)
-        for name, value in values.items():
+        for name in new:
             part = np.empty(b - a, new[name].dtype)
-            part[kept] = old[name][used:used + take]
-            part[~kept] = value[low:high] if name == "owner" else value
+            part[kept] = old[name][used:used + take] if name in old else 0
+            part[fresh[low:high] - a] = values[name][low:high] if name == "start" else values[name]
             new[name][a:b] = part
         used += take
     return new
@@ -210,17 +215,19 @@ def _update_common(
 ) -> None:
     """Common prefixes of the new suffixes with the ones before them, and of the ones behind with them."""
     at = np.unique(np.concatenate((fresh, fresh + 1)))
-    at = at[(at > 0) & (at < len(now["owner"]))]
+    at = at[(at > len(ends)) & (at < len(now["start"]))]
     for part in np.array_split(at, max(1, len(at) // 65536)):
-        here, before = now["length"][part].astype(np.int64), now["length"][part - 1].astype(np.int64)
-        long = (here >= match) & (before >= match)
+        here, before = now["start"][part].astype(np.int64), now["start"][part - 1].astype(np.int64)
+        long = (_left(ends, here) >= match) & (_left(ends, before) >= match)
         now["common"][part[~long]] = 0
-        part, here, before = part[long], here[long], before[long]
         reach = np.arange(match)
-        left = data[(ends[now["owner"][part]] - here)[:, None] + reach]
-        right = data[(ends[now["owner"][part - 1]] - before)[:, None] + reach]
-        differs = left != right
-        now["common"][part] = np.where(differs.any(1), differs.argmax(1), match)
+        differs = data[here[long][:, None] + reach] != data[before[long][:, None] + reach]
+        now["common"][part[long]] = np.where(differs.any(1), differs.argmax(1), match)
+
+
+def _left(ends: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Symbols from a place to the end of its string."""
+    return ends[np.searchsorted(ends, place, "right")] - place
 
 
 def repeated_windows(
@@ -228,10 +235,15 @@ def repeated_windows(
 ) -> tuple[np.ndarray, np.ndarray]:
     """String and window (0 is the first) of every window that equals an earlier one. `first` orders the windows: a
     number per string to which the window's number is added."""
-    owner, length, common = (np.concatenate(c) for c in zip(*sort_columns(data, starts, ends, match, **options)))
-    long = length >= match
+    steps = list(zip(*sort_columns(data, starts, ends, match, **options)))
+    if not steps:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    place, common = (np.concatenate(c) for c in steps)
+    owner = np.searchsorted(ends, place, "right")
+    long = ends[owner] - place >= match
     head = (common < match)[long]
-    owner, window = owner[long], (ends - starts)[owner[long]] - length[long]
+    owner = owner[long]
+    window = place[long] - starts[owner]
     if not len(owner):
         return owner, window
     heads = np.flatnonzero(head)
