@@ -7,8 +7,9 @@ found too unless all chunks differ twice: at a similarity of 0.8 one pair in 40,
 only after comparing the full sets.
 
 Documents with equal sets are one class and enter the search once. Small buckets are compared pair by pair; a large
-bucket is compared with a few of its members, classes that are in one component by then need no comparison, and only
-what is left apart is compared pair by pair, so a group of thousands of copies never turns into all its pairs.
+bucket is compared with its most central member first. Classes that are in one component by then need no comparison,
+and for the others the sets' overlap with that member bounds their overlap with each other, so only pairs that can
+still be links are compared, and a group of thousands of near copies never turns into all its pairs.
 
 Words are cut at ASCII white space and A-Z is lower-cased. A document with fewer words than a shingle has one shingle,
 its whole text; one without words, or with null text, has none and is linked with nothing. Equal rows are one class.
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadcast.llm.common import (
@@ -33,10 +34,10 @@ from loadcast.session import lookup, materialize
 
 CHUNKS, WIDTH, BITS = 8, 5, 16
 SYMBOLS = CHUNKS * WIDTH
-# Pairs whose signatures agree in fewer symbols are no candidates: 6 deviations below what 0.8 gives.
-LEAST_EQUAL = 16
-# Buckets up to this size are compared pair by pair at once; larger ones first with one member per slice.
-SMALL_BUCKET, SLICES, ROUNDS = 8, 4, 3
+# Pairs whose signatures agree in fewer symbols are no candidates: more than 4 deviations below what 0.8 gives.
+LEAST_EQUAL = 21
+# Buckets up to this size are compared pair by pair at once; larger ones first with one central member.
+SMALL_BUCKET = 8
 
 _RNG = np.random.default_rng(20240229)
 _FACTORS = _RNG.integers(0, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,7 +112,8 @@ def sign_table(df: DataFrame, shingle: int) -> DataFrame:
 
 
 def _chunk_keys(classes: DataFrame) -> DataFrame:
-    """Every chunk of a signature with any one of its symbols left open, as `(key, node)`."""
+    """Every chunk of a signature with any one of its symbols left open, as `(key, spot, node)`; `spot` is the place
+    of the open symbol."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64))
@@ -129,10 +131,12 @@ def _chunk_keys(classes: DataFrame) -> DataFrame:
                             total += (chunk[:, i] + np.uint64(1)) * _CHAIN[i]
                     keys[:, c * WIDTH + j] = mix(total)
             yield pa.RecordBatch.from_arrays([
-                pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), SYMBOLS)),
-            ], names=["key", "node"])
+                pa.array(keys.ravel().view(np.int64)),
+                pa.array(np.tile(np.arange(SYMBOLS, dtype=np.int32), len(keys))),
+                pa.array(np.repeat(batch.column(0).to_numpy(), SYMBOLS)),
+            ], names=["key", "spot", "node"])
 
-    return classes.select("node", "signature").mapInArrow(run, "key long, node long")
+    return classes.select("node", "signature").mapInArrow(run, "key long, spot int, node long")
 
 
 def shingle_sets(df: DataFrame, shingle: int) -> DataFrame:
@@ -156,35 +160,68 @@ def shingle_sets(df: DataFrame, shingle: int) -> DataFrame:
     return df.select("text").mapInArrow(run, "node long, shingles array<long>")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, df: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs `(a, b)` whose full sets reach the similarity, stored."""
-    side = classes.select("node", "n_shingles", "signature")
-    sized = pairs.join(side.toDF("a", "n_a", "signature_a"), "a").join(side.toDF("b", "n_b", "signature_b"), "b")
-    equal = F.aggregate(
-        F.zip_with("signature_a", "signature_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x
-    )
-    likely = sized.filter(
-        (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (equal >= LEAST_EQUAL)
-    )
-    likely = store(likely.select("a", "b", "n_a", "n_b"), "likely")
-    nodes = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
+def _compared(pairs: DataFrame, classes: DataFrame, df: DataFrame, shingle: int) -> DataFrame:
+    """`(a, b, n_a, n_b, common)`: the pairs with the sizes of their full sets and of what both hold, stored."""
+    pairs = store(pairs, "pairs")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     need = lookup(classes.join(nodes, "node", "left_semi").select("text_key", "first_id"))
     texts = df.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
     texts = texts.join(
         need, (texts["text_key"] == need["text_key"]) & texts["doc_id"].eqNullSafe(need["first_id"]), "left_semi"
     )
     sets = store(shingle_sets(texts, shingle), "sets").dropDuplicates(["node"])
-    both = likely.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    return store(
-        both.filter(common * 100 >= (F.col("n_a") + F.col("n_b") - common) * percent).select("a", "b"), "links"
+    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    return store(both.select(
+        "a", "b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"),
+        F.size(F.array_intersect("set_a", "set_b")).alias("common"),
+    ), "compared")
+
+
+def _linked(compared: DataFrame, percent: int) -> DataFrame:
+    return compared.filter(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent)
+
+
+def _candidate(percent: int) -> Column:
+    """Whether a pair of bucket rows, `x` and `y`, can be a link and meets here first: no earlier chunk has one symbol
+    at most that differs, and of a chunk without differences only the first key counts."""
+    def differs(place) -> Column:
+        return (F.get("x.signature", place) != F.get("y.signature", place)).cast("int")
+
+    chunk, spot = F.col("x.spot") / WIDTH, F.col("x.spot")
+    per_chunk = [sum((differs(F.lit(c * WIDTH + j)) for j in range(1, WIDTH)), differs(F.lit(c * WIDTH)))
+                 for c in range(CHUNKS)]
+    first = (spot % WIDTH == 0) | (differs(spot) == 1)
+    for c in range(CHUNKS - 1):
+        first = first & ((F.floor(chunk) <= c) | (per_chunk[c] > 1))
+    alike = SYMBOLS - sum(per_chunk[1:], per_chunk[0]) >= LEAST_EQUAL
+    sizes = F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * percent
+    return sizes & first & alike
+
+
+def _small_bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """All candidates among buckets of a few rows, each pair once."""
+    x, y = rows.alias("x"), rows.toDF(*rows.columns).alias("y")
+    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & _candidate(percent)
+    return x.join(y, met).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def _apart_pairs(live: DataFrame, percent: int) -> DataFrame:
+    """Candidates among the rows of large buckets that stand in different components. Every row knows what it shares
+    with the bucket's pivot, which bounds what two rows can share: all that the smaller one shares with the pivot,
+    and all that the smaller one has besides."""
+    live = store(live, "apart")
+    x, y = live.filter("root <> pivot_root").alias("x"), live.toDF(*live.columns).alias("y")
+    most = F.least("x.shared", "y.shared") + F.least(
+        F.col("x.n_shingles") - F.col("x.shared"), F.col("y.n_shingles") - F.col("y.shared")
     )
-
-
-def _bucket_pairs(live: DataFrame) -> DataFrame:
-    """All pairs of nodes in different components that share a bucket."""
-    left, right = live.toDF("key", "a", "root_a"), live.toDF("key", "b", "root_b")
-    return left.join(right, "key").filter("a < b AND root_a <> root_b").select("a", "b").distinct()
+    total = F.col("x.n_shingles") + F.col("y.n_shingles")
+    # Two rows that are both apart from the pivot meet twice.
+    once = (F.col("y.root") == F.col("y.pivot_root")) | (F.col("x.node") < F.col("y.node"))
+    met = (
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & once
+        & (most * 100 >= (total - most) * percent) & _candidate(percent)
+    )
+    return x.join(y, met).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -200,34 +237,36 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
     )
     keys = _chunk_keys(classes)
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    buckets = store(keys.join(shared, "key").select("key", "node", "n"), "buckets")
-    small = buckets.filter(F.col("n") <= SMALL_BUCKET).select("key", "node", F.col("node").alias("root"))
-    links = _confirmed(_bucket_pairs(small), classes, df, shingle, percent)
+    buckets = store(keys.join(shared, "key"), "buckets")
+    sides = classes.select("node", "n_shingles", "signature")
+    few = buckets.filter(F.col("n") <= SMALL_BUCKET).select("key", "spot", "node").join(sides, "node")
+    compared = _compared(_small_bucket_pairs(few, percent), classes, df, shingle)
+
+    # The pivot of a large bucket is the row that meets most others over all large buckets.
+    large = buckets.filter(F.col("n") > SMALL_BUCKET)
+    central = large.groupBy("node").agg(F.sum("n").alias("met"))
+    pivots = large.join(central, "node").groupBy("key").agg(F.max(F.struct("met", "node")).alias("pivot"))
+    large = store(large.join(pivots.select("key", F.col("pivot.node").alias("pivot")), "key"), "large")
+    stars = _compared(
+        large.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(),
+        classes, df, shingle,
+    )
+    links = store(_linked(compared, percent).union(_linked(stars, percent)).select("a", "b"), "links")
+    roots = materialize(components(links))
+    placed = large.select("key", "spot", "node", "pivot").join(roots, "node", "left").withColumnRenamed("root", "own")
+    placed = placed.join(roots.toDF("pivot", "pivot_own"), "pivot", "left").select(
+        "key", "spot", "node", "pivot", F.coalesce("own", "node").alias("root"),
+        F.coalesce("pivot_own", "pivot").alias("pivot_root"),
+    )
+    open_ = placed.filter("root <> pivot_root").select("key").distinct()
+    live = placed.join(open_, "key", "left_semi").join(sides, "node").join(
+        stars.select(F.col("a").alias("node"), F.col("b").alias("pivot"), F.col("common").alias("with_pivot")),
+        ["node", "pivot"], "left",
+    )
+    live = live.withColumn("shared", F.coalesce("with_pivot", "n_shingles")).drop("with_pivot", "pivot")
+    apart = _compared(_apart_pairs(live, percent), classes, df, shingle)
+    links = links.union(_linked(apart, percent).select("a", "b"))
     roots = materialize(components(links))
-    live = buckets.filter(F.col("n") > SMALL_BUCKET).select("key", "node")
-    for turn in range(ROUNDS + 1):
-        placed = live.join(roots, "node", "left").select(
-            "key", "node", F.coalesce("root", "node").alias("root")
-        )
-        apart = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        live = store(placed.join(apart.filter("low <> high").select("key"), "key", "left_semi"), "live")
-        if live.isEmpty():
-            break
-        if turn == ROUNDS:
-            pairs = _bucket_pairs(live)
-            live = live.limit(0)
-        else:
-            sliced = live.withColumn("slice", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(SLICES)))
-            pivots = sliced.groupBy("key", "slice").agg(F.min(F.struct("node", "root")).alias("pivot"))
-            pivots = pivots.select("key", "pivot.*").toDF("key", "pivot", "pivot_root")
-            pairs = live.join(pivots, "key").filter("root <> pivot_root").select(
-                F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
-            ).distinct()
-            live = live.join(
-                pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti"
-            ).select("key", "node")
-        links = store(links.union(_confirmed(pairs, classes, df, shingle, percent)), "links")
-        roots = materialize(components(links))
     rooted = classes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least_id")
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = rooted.join(least, "root").select("node", "component_id")
