@@ -32,11 +32,12 @@ from loadcast.llm.common import LOWER, WORD_BYTES, prefix_hash, span_hash, store
 ORDER = 5
 EDGE = 0xFF
 SYMBOLS = 256
-GRAM, TOKEN = 0, 1
-# Hash that stands for the end of a text among the words.
+# Keys of words are negative, keys of contexts with their symbols are not.
+TOKEN_BIT = np.uint64(1 << 63)
+# Key that stands for the end of a text among the words.
 END_TOKEN = -1
-# Text bytes per block.
-BLOCK_BYTES = 48 << 20
+# Text bytes per block, and keys that a task holds before it hands them on.
+BLOCK_BYTES, HELD_KEYS = 40 << 20, 2_000_000
 
 
 def grams(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -58,10 +59,10 @@ def grams(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[np
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all lower-cased words, and the n + 1 offsets of the rows; the ends are not among them."""
+    """Keys of all lower-cased words, and the n + 1 offsets of the rows; the ends are not among them."""
     low = LOWER[data]
     starts, ends, rows = word_spans(low, offsets, WORD_BYTES)
-    return span_hash(prefix_hash(low), starts, ends).view(np.int64), rows
+    return (span_hash(prefix_hash(low), starts, ends) | TOKEN_BIT).view(np.int64), rows
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,30 +70,24 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return distinct, np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64)
 
 
-def _counted(column: pa.Array, trained: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Kind, distinct keys and their counts in training rows, for chunks of rows."""
+def _counted(column: pa.Array, trained: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct keys and their counts in training rows, for chunks of rows."""
     for first, end, data, offsets in text_chunks(column):
         use = trained[first:end]
         packed, places = grams(data, offsets)
-        yield GRAM, *_summed(packed, np.repeat(use, np.diff(places)))
+        yield _summed(packed, np.repeat(use, np.diff(places)))
         words, rows = tokens(data, offsets)
-        yield TOKEN, *_summed(words, np.repeat(use, np.diff(rows)))
+        yield _summed(words, np.repeat(use, np.diff(rows)))
 
 
 def count_keys(rows: DataFrame) -> DataFrame:
-    """`(block, kind, key, n)`: every context and word of a block and how often training texts hold it. `rows` has
-    block, trained and text; a task keeps one block's keys at a time where rows of a block stand together."""
-    schema = "block long, kind integer, key long, n long"
-
-    def out(block: int, parts: list) -> Iterator[pa.RecordBatch]:
-        for kind in (GRAM, TOKEN):
-            own = [(k, n) for which, k, n in parts if which == kind]
-            if own:
-                keys, counts = _summed(np.concatenate([k for k, _ in own]), np.concatenate([n for _, n in own]))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(keys), block)), pa.array(np.full(len(keys), kind, np.int32)),
-                    pa.array(keys), pa.array(counts),
-                ], names=["block", "kind", "key", "n"])
+    """`(block, key, n)`: every context with its symbol and every word of a block, and how often training texts hold
+    it. `rows` has block, trained and text; a task keeps one block's keys at a time where its rows stand together."""
+
+    def out(block: int, parts: list) -> pa.RecordBatch:
+        keys, counts = _summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))
+        block = np.full(len(keys), block, np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(block), pa.array(keys), pa.array(counts)], ["block", "key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -101,17 +96,25 @@ def count_keys(rows: DataFrame) -> DataFrame:
             trained = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for block in np.unique(blocks).tolist():
                 at = np.flatnonzero(blocks == block)
-                whole = len(at) == len(blocks)
-                column = batch.column(2) if whole else batch.column(2).take(pa.array(at))
-                held.setdefault(block, []).extend(_counted(column, trained[at]))
-            for block in list(held):
-                parts = held[block]
-                if sum(len(k) for _, k, _ in parts) > 4_000_000 or block != blocks[-1]:
-                    yield from out(block, held.pop(block))
+                column = batch.column(2) if len(at) == len(blocks) else batch.column(2).take(pa.array(at))
+                parts = held.setdefault(block, [])
+                for part in _counted(column, trained[at]):
+                    parts.append(part)
+                    if sum(len(k) for k, _ in parts) > HELD_KEYS:
+                        merged = _summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))
+                        parts[:] = [merged]
+                        if len(merged[0]) > HELD_KEYS // 2:
+                            yield out(block, parts)
+                            parts.clear()
+            for block in [b for b in held if b != blocks[-1]]:
+                parts = held.pop(block)
+                if parts:
+                    yield out(block, parts)
         for block, parts in held.items():
-            yield from out(block, parts)
+            if parts:
+                yield out(block, parts)
 
-    return rows.select("block", "trained", "text").mapInArrow(run, schema)
+    return rows.select("block", "trained", "text").mapInArrow(run, "block int, key long, n long")
 
 
 class Contexts:
@@ -201,21 +204,16 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score
 
 
 def _score_block(docs: pa.Table, values: pa.Table, total: int, kinds: int) -> pa.Table:
-    kind, key = values.column("kind").to_numpy(), values.column("key").to_numpy()
-    value = values.column("value").to_numpy()
-
-    def sorted_side(which: int) -> tuple[np.ndarray, np.ndarray]:
-        own = kind == which
-        order = np.argsort(key[own])
-        return key[own][order], value[own][order]
-
-    gram_keys, gram_logs = sorted_side(GRAM)
-    word_keys, word_counts = sorted_side(TOKEN)
-    end_count = float(word_counts[word_keys == END_TOKEN][0]) if (word_keys == END_TOKEN).any() else 0.0
+    key = values.column("key").to_numpy()
+    order = np.argsort(key)
+    key, value = key[order], values.column("value").to_numpy()[order]
+    del values, order
+    words_end = int(np.searchsorted(key, 0))
+    word_keys, word_counts, gram_keys, gram_logs = key[:words_end], value[:words_end], key[words_end:], value[words_end:]
+    end_count = float(word_counts[-1]) if words_end and word_keys[-1] == END_TOKEN else 0.0
     scale = math.log10(total + kinds + 1)
     columns = {c: [] for c in ("n_tokens", "n_known", "base_score", "score")}
-    texts = docs.column("text").combine_chunks()
-    for text in texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]:
+    for text in docs.column("text").chunks:
         for _, _, data, offsets in text_chunks(text):
             packed, places = grams(data, offsets)
             logs = gram_logs[np.searchsorted(gram_keys, packed)]
@@ -245,30 +243,30 @@ def file_blocks(df: DataFrame, block_bytes: int = BLOCK_BYTES) -> Column:
     """Blocks of rows that stand together in the files of a table read from files, of about `block_bytes` text."""
     size = df.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
     rows = max(1, round(block_bytes * size.n / max(size.b or 1, 1)))
-    return F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows))
+    return F.hash("_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows))
 
 
 def score_documents(df: DataFrame, block: Column, out_of_fold: Column) -> DataFrame:
     """`SCORES` and `train_tokens` per row of `df` (doc_id, text). `block` must give a row the same value whenever it
     is read."""
     docs = df.select(
-        block.alias("block"), F.col("doc_id").cast("long").alias("doc_id"), out_of_fold.alias("held_out"), "text"
+        block.cast("int").alias("block"), F.col("doc_id").cast("long").alias("doc_id"), out_of_fold.alias("held_out"),
+        "text",
     )
     keys = store(count_keys(docs.select("block", (~F.col("held_out")).alias("trained"), "text")), "keys")
-    counts = store(keys.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+    counts = store(keys.groupBy("key").agg(F.sum("n").alias("n")), "counts")
     ends = docs.agg(F.count_if(~F.col("held_out"))).first()[0]
-    words = counts.filter((F.col("kind") == TOKEN) & (F.col("n") > 0)).agg(F.sum("n"), F.count("*")).first()
+    words = counts.filter((F.col("key") < 0) & (F.col("n") > 0)).agg(F.sum("n"), F.count("*")).first()
     total, kinds = (words[0] or 0) + ends, words[1] + (1 if ends else 0)
-    scored = gram_scores(counts.filter(F.col("kind") == GRAM).select("key", "n"))
-    values = scored.select(F.lit(GRAM).alias("kind"), "key", "value").union(
-        counts.filter(F.col("kind") == TOKEN).select("kind", "key", F.col("n").cast("double"))
+    values = gram_scores(counts.filter(F.col("key") >= 0)).union(
+        counts.filter(F.col("key") < 0).select("key", F.col("n").cast("double"))
     )
-    asked = keys.select("block", "kind", "key").join(store(values, "values"), ["kind", "key"])
+    # A key can come from a block more than once if several tasks read the block.
+    asked = keys.select("block", "key").join(store(values, "values"), "key").select("block", "key", "value")
     last = docs.select("block").distinct().select(
-        F.lit(TOKEN).alias("kind"), F.lit(END_TOKEN).cast("long").alias("key"), "block",
-        F.lit(float(ends)).alias("value"),
+        "block", F.lit(END_TOKEN).cast("long").alias("key"), F.lit(float(ends)).alias("value")
     )
-    asked = asked.union(last.select(*asked.columns))
+    asked = asked.union(last)
     result = docs.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
         lambda left, right: _score_block(left, right, total, kinds), SCORES
     )
