@@ -15,8 +15,6 @@ from loadcast.sources.tables import store
 
 MAPPING = "encoder string, step int, column string, category string, index long"
 UNSEEN, MISSING = -1, -2
-# A one-hot column per category must fit a table; beyond this the ordinal encoder is the right tool.
-MAX_ONE_HOT_COLUMNS = 10_000
 
 
 @dataclass(frozen=True)
@@ -57,13 +55,12 @@ class OneHot:
     columns: tuple[str, ...]
 
     def fit(self, df: DataFrame) -> OneHotModel:
-        """Distinct categories in code-point order, the missing one last; they become column names."""
+        """Distinct categories in code-point order, the missing one last. They become columns, so each is a name
+        in the plan; a column of very many categories is better encoded by `Ordinal`."""
         found: dict[str, list[str | None]] = {}
         for column in self.columns:
             distinct = df.select(F.col(column).cast("string").alias("category")).distinct()
-            values = [r.category for r in distinct.limit(MAX_ONE_HOT_COLUMNS + 1).collect()]
-            if len(values) > MAX_ONE_HOT_COLUMNS:
-                raise ValueError(f"{column} has over {MAX_ONE_HOT_COLUMNS} categories: use the ordinal encoder")
+            values = [r.category for r in distinct.collect()]
             found[column] = sorted(v for v in values if v is not None) + [None] * (None in values)
         return OneHotModel(tuple(self.columns), found)
 

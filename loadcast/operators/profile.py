@@ -16,14 +16,15 @@ from loadcast.operators.ranking import exact_quantiles
 from loadcast.session import lookup
 
 GRID_POINTS = 200
-REACH = 9
+MOMENTS = ("_n", "_mx", "_my", "_vx", "_vy", "_c", "_lx", "_ly", "_hx", "_hy")
 # A task hands its matrices over once it holds this many keys, so its memory stays bounded.
 MAX_HELD_KEYS = 1000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
-    """64-bit integers and doubles only; 32-bit integers and dates do not count as numeric here."""
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.LongType, T.DoubleType))]
+    """Integers and floating-point numbers of any width; dates, texts and flags are not numeric."""
+    kinds = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
 
 
 def date_extent(df: DataFrame, date_col: str = "date", keys: Sequence[str] = ()) -> DataFrame:
@@ -60,7 +61,7 @@ def table_profile(df: DataFrame) -> DataFrame:
 
 def _long_form(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """`(keys…, column, x)` without missing values."""
-    values = [missing_if_nan(F.col(f"`{c}`")).alias(c) for c in cols]
+    values = [missing_if_nan(F.col(f"`{c}`").cast("double")).alias(c) for c in cols]
     return (
         df.select(*keys, *values)
         .unpivot(list(keys), [f"`{c}`" for c in cols], "column", "x")
@@ -70,7 +71,7 @@ def _long_form(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataF
 
 def _column_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """`(keys…, column, n, lo, hi, sd)` of every column that has a value, from one pass over the columns."""
-    at = [missing_if_nan(F.col(f"`{c}`")) for c in cols]
+    at = [missing_if_nan(F.col(f"`{c}`").cast("double")) for c in cols]
     sums = [
         F.struct(
             F.lit(c).alias("column"),
@@ -103,7 +104,7 @@ def _auto_bins(values: DataFrame, stats: DataFrame, group: list[str]) -> DataFra
 def histograms(
     df: DataFrame, cols: Sequence[str] | None = None, bins: int | None = None, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """`(keys…, column, bin, lower, upper, n)` for every bin that holds a value.
+    """`(keys…, column, bin, lower, upper, n)` for every bin, empty ones included.
 
     Bins are equal in width from the lowest to the highest value; the highest belongs to the last bin.
     """
@@ -122,29 +123,51 @@ def histograms(
     )
     width = (F.col("hi") - F.col("lo")) / F.col("k")
     slot = F.least(F.floor((F.col("x") - F.col("lo")) / width), F.col("k") - 1)
-    return (
-        values.join(lookup(edges), group)
-        .groupBy(*group, "k", "lo", "hi", slot.alias("bin"))
-        .agg(F.count("*").alias("n"))
-        .select(
-            *group,
-            "bin",
-            (F.col("lo") + F.col("bin") * width).alias("lower"),
-            (F.col("lo") + (F.col("bin") + 1) * width).alias("upper"),
-            "n",
-        )
+    edges = lookup(edges)
+    filled = values.join(edges, group).groupBy(*group, slot.alias("bin")).agg(F.count("*").alias("_held"))
+    bins_of = edges.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
+    return bins_of.join(filled, [*group, "bin"], "left").select(
+        *group,
+        "bin",
+        (F.col("lo") + F.col("bin") * width).alias("lower"),
+        (F.col("lo") + (F.col("bin") + 1) * width).alias("upper"),
+        F.coalesce("_held", F.lit(0)).alias("n"),
     )
 
 
+def _grid_masses(batches: Iterator[pd.DataFrame], group: list[str], grid: int) -> Iterator[pd.DataFrame]:
+    """Per task and group: the kernel sums on the whole grid over the task's values."""
+    held: dict[tuple, np.ndarray] = {}
+    steps = np.arange(grid)
+
+    def drain() -> pd.DataFrame:
+        parts = []
+        for key, mass in held.items():
+            part = pd.DataFrame({"point": steps, "_mass": mass})
+            for name, value in zip(group, key):
+                part[name] = value
+            parts.append(part)
+        held.clear()
+        return pd.concat(parts)
+
+    for batch in batches:
+        for key, rows in batch.groupby(group, dropna=False):
+            spots = rows["_lo"].iat[0] + steps * rows["_step"].iat[0]
+            z = (rows["x"].to_numpy()[:, None] - spots) / rows["_h"].iat[0]
+            held[key] = held.get(key, 0.0) + np.exp(-0.5 * z * z).sum(axis=0)
+        if len(held) > MAX_HELD_KEYS:
+            yield drain()
+    if held:
+        yield drain()
+
+
 def kde(
     df: DataFrame, cols: Sequence[str] | None = None, grid: int = GRID_POINTS, keys: Sequence[str] = ()
 ) -> DataFrame:
     """`(keys…, column, point, x, density)`: a Gaussian density from the lowest to the highest value.
 
-    Scott's bandwidth. A value is laid only on the grid points within `REACH` bandwidths, beyond which its
-    share vanishes in double precision; as the bandwidth shrinks with the number of rows, a large table
-    touches few points per value. The shares fold into one partial sum per grid point and task before the
-    shuffle. A column without spread has no curve.
+    Scott's bandwidth. Every value is laid on every grid point; each task folds its values into one vector per
+    group before the shuffle. A column without spread has no curve.
     """
     names = numeric_columns(df) if cols is None else list(cols)
     group = [*keys, "column"]
@@ -156,17 +179,12 @@ def kde(
         F.col("n").alias("_n"),
     ))
     spot = F.col("_lo") + F.col("point") * F.col("_step")
-    z = (F.col("x") - spot) / F.col("_h")
-    reach = REACH * F.col("_h")
-    first = F.greatest(F.ceil((F.col("x") - reach - F.col("_lo")) / F.col("_step")), F.lit(0))
-    last = F.least(F.floor((F.col("x") + reach - F.col("_lo")) / F.col("_step")), F.lit(grid - 1))
+    laid = _long_form(df, names, keys).join(stats, group).select(*group, "x", "_lo", "_step", "_h")
+    fields = [laid.schema[name] for name in group]
+    masses = T.StructType([T.StructField("point", T.LongType()), T.StructField("_mass", T.DoubleType()), *fields])
     shares = (
-        _long_form(df, names, keys)
-        .join(stats, group)
-        .filter(first <= last)
-        .withColumn("point", F.explode(F.sequence(first, last)))
-        .groupBy(*group, "point")
-        .agg(F.sum(F.exp(z * z * -0.5)).alias("_mass"))
+        laid.mapInPandas(lambda it: _grid_masses(it, group, grid), masses)
+        .groupBy(*group, "point").agg(F.sum("_mass").alias("_mass"))
     )
     points = stats.withColumn("point", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(grid - 1).cast("long"))))
     scale = F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)
@@ -179,16 +197,17 @@ def kde(
 
 
 def _pair_moments(batches: Iterator[pd.DataFrame], keys: list[str], width: int) -> Iterator[pd.DataFrame]:
-    """Per task and key: the count, means and centred sums of every column pair over its complete rows."""
+    """Per task and key: the count, means, centred sums and extents of every column pair over its complete rows."""
     held: dict[tuple, list[np.ndarray]] = {}
     upper = np.triu_indices(width, 1)
 
     def drain() -> pd.DataFrame:
         rows = []
-        for key, (n, mean, spread, cross) in held.items():
+        for key, (n, mean, spread, cross, low, high) in held.items():
             part = pd.DataFrame({
                 "_i": upper[0], "_j": upper[1], "_n": n[upper], "_mx": mean[upper], "_my": mean.T[upper],
                 "_vx": spread[upper], "_vy": spread.T[upper], "_c": cross[upper],
+                "_lx": low[upper], "_ly": low.T[upper], "_hx": high[upper], "_hy": high.T[upper],
             })
             for name, value in zip(keys, key):
                 part[name] = value
@@ -201,15 +220,18 @@ def _pair_moments(batches: Iterator[pd.DataFrame], keys: list[str], width: int)
         for key, group in groups:
             x = np.vstack(group["_row"].to_numpy()).astype(float)
             there = ~np.isnan(x)
+            # Row i, column j: the extent of column i over the rows that also have column j.
+            low = np.stack([np.where(there & there[:, [j]], x, np.inf).min(axis=0) for j in range(width)], axis=1)
+            high = np.stack([np.where(there & there[:, [j]], x, -np.inf).max(axis=0) for j in range(width)], axis=1)
             # Moving each column to its own batch mean first keeps the sums free of cancellation.
             middle = np.where(there, x, 0).sum(axis=0) / np.maximum(there.sum(axis=0), 1)
             x = np.where(there, x - middle, 0)
             mask = there.astype(float)
             n = mask.T @ mask
             share = (x.T @ mask) / np.maximum(n, 1)
-            now = [n, middle[:, None] + share, (x * x).T @ mask - n * share**2, x.T @ x - n * share * share.T]
+            now = [n, middle[:, None] + share, (x * x).T @ mask - n * share**2, x.T @ x - n * share * share.T, low, high]
             if key in held:
-                n0, mean0, spread0, cross0 = held[key]
+                n0, mean0, spread0, cross0, low0, high0 = held[key]
                 total = np.maximum(n0 + n, 1)
                 step = np.where((n0 > 0) & (n > 0), now[1] - mean0, 0)
                 both = n0 * n / total
@@ -218,6 +240,8 @@ def _pair_moments(batches: Iterator[pd.DataFrame], keys: list[str], width: int)
                     (n0 * mean0 + n * now[1]) / total,
                     spread0 + now[2] + both * step**2,
                     cross0 + now[3] + both * step * step.T,
+                    np.minimum(low0, low),
+                    np.maximum(high0, high),
                 ]
             held[key] = now
         if len(held) > MAX_HELD_KEYS:
@@ -231,16 +255,17 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str] | None = None, keys: Se
 
     Every task reduces its rows to one small moment matrix with array arithmetic, several times faster
     than opening each row into its pairs; the matrices are then merged around the common means, which
-    stays accurate for values far from zero. A pair without spread on either side gives null.
+    stays accurate for values far from zero. A pair whose lowest and highest value agree on either side has no
+    spread and gives null; sums alone would leave rounding in its place.
     """
     names = numeric_columns(df) if cols is None else list(cols)
     by = list(keys)
-    row = F.array(*[missing_if_nan(F.col(f"`{c}`")) for c in names]).alias("_row")
+    row = F.array(*[missing_if_nan(F.col(f"`{c}`").cast("double")) for c in names]).alias("_row")
     fields = [*[f for f in df.schema.fields if f.name in by]]
     moments = T.StructType([
         T.StructField("_i", T.IntegerType()),
         T.StructField("_j", T.IntegerType()),
-        *[T.StructField(c, T.DoubleType()) for c in ("_n", "_mx", "_my", "_vx", "_vy", "_c")],
+        *[T.StructField(c, T.DoubleType()) for c in MOMENTS],
         *fields,
     ])
     partial = df.select(*by, row).mapInPandas(lambda it: _pair_moments(it, by, len(names)), moments)
@@ -255,6 +280,7 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str] | None = None, keys: Se
             F.sum(F.col("_c") + F.col("_n") * F.col("_dx") * F.col("_dy")).alias("_cross"),
             F.sum(F.col("_vx") + F.col("_n") * F.col("_dx") * F.col("_dx")).alias("_spread_x"),
             F.sum(F.col("_vy") + F.col("_n") * F.col("_dy") * F.col("_dy")).alias("_spread_y"),
+            ((F.min("_lx") < F.max("_hx")) & (F.min("_ly") < F.max("_hy"))).alias("_varies"),
         )
     )
     listed = F.array(*[F.lit(c) for c in names])
@@ -262,7 +288,9 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str] | None = None, keys: Se
         *by,
         F.get(listed, F.col("_i")).alias("x"),
         F.get(listed, F.col("_j")).alias("y"),
-        F.try_divide(F.col("_cross"), F.sqrt("_spread_x") * F.sqrt("_spread_y")).alias("r"),
+        F.when(
+            F.col("_varies"), F.try_divide(F.col("_cross"), F.sqrt("_spread_x") * F.sqrt("_spread_y"))
+        ).alias("r"),
     )
 
 

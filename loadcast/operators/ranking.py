@@ -39,13 +39,14 @@ def running_total(
     """Add `before`: the summed weight (or the number) of the rows ahead of this one in its group.
 
     Rows are range-partitioned on group and order, so one group may span many tasks. Each slice is
-    summed, the slice totals are accumulated, and every row adds its own slice's running sum. A random
-    last sort key lets equal rows spread over several slices. The placed rows are stored first because
+    summed, the slice totals are accumulated, and every row adds its own slice's running sum. A hash of the whole
+    row as last sort key lets rows of equal order spread over several slices, and is the same if a task runs
+    again. The placed rows are stored first because
     range bounds are sampled and must be the same for both readers.
     """
     placing = [*group, *order, "_spread"]
     placed = store(
-        df.withColumn("_spread", F.rand(11))
+        df.withColumn("_spread", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
         .repartitionByRange(*[F.col(c).asc_nulls_last() for c in placing])
         .withColumn("_slice", F.spark_partition_id()),
         "ranked",

@@ -165,8 +165,8 @@ def unprocessed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One job per supplier; suppliers with an odd key have run before, up to their customers' last order."""
-    ordered = inputs.table(spark, sf_dir, "orders").filter(F.col("o_custkey") % 2 == 1)
+    """One job per key: those of customers ran before, up to the last order; those of suppliers shipped since."""
+    ordered = inputs.table(spark, sf_dir, "orders")
     control = ordered.groupBy(F.col("o_custkey").cast("string").alias("job_name")).agg(
         F.max(F.to_date("o_orderdate")).alias("last_processed"),
         F.lit(dt.datetime(2002, 1, 1)).alias("updated_at"),
@@ -283,18 +283,18 @@ def distinct_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def correlation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All numeric features, plus a constant column whose pairs have no correlation."""
-    table = inputs.features(spark, sf_dir).withColumn("flat", F.lit(1.0))
+    """All numeric features, plus two constant columns, one of them not exact in binary, without correlation."""
+    table = inputs.features(spark, sf_dir).withColumns({"flat": F.lit(1.0), "tenth": F.lit(0.1)})
     return rounded(profile.correlation_pairs(table), ("r",))
 
 
 def feature_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    binned = profile.histograms(inputs.features(spark, sf_dir), PROFILED, bins=10)
+    binned = profile.histograms(inputs.features(spark, sf_dir), bins=10)
     return rounded(binned, ("lower", "upper"))
 
 
 def feature_kde(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curves = profile.kde(inputs.features(spark, sf_dir), PROFILED, grid=20)
+    curves = profile.kde(inputs.features(spark, sf_dir))
     return rounded(rounded(curves, ("x",)), ("density",), 9)
 
 
@@ -376,9 +376,10 @@ def prediction_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_daily_peak(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = inputs.table(spark, sf_dir, "events").schema
-    readings = jobs.stream_parquet(spark, sf_dir, schema, "events.parquet")
+    # The table's own path, a file or a folder of part files; as a pattern, since a stream takes no single file.
+    readings = jobs.stream_parquet(spark, f"{sf_dir}/events.parque[t]", schema)
     path = scratch_path(spark, "stream-peaks")
-    jobs.run_available(jobs.daily_peak_stream(readings), f"{path}/checkpoint", f"{path}/table")
+    jobs.run_available(jobs.daily_peak_stream(readings, "0 seconds"), f"{path}/checkpoint", f"{path}/table")
     return spark.read.schema(POWER_DAILY).parquet(f"{path}/table")
 
 
@@ -415,7 +416,6 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 METRICS = ("mse", "rmse", "mae", "r2")
-PROFILED = ("max_temp", "min_temp", "max_power", "avg", "rng", "cdd", "hdd")
 SPLIT_DATE = dt.date(2000, 10, 1)
 _BUNDLES: dict[tuple[str, str], str] = {}
 

@@ -153,7 +153,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape == 3, F.concat(F.lit('{"features": ['), cells, F.lit("]}")))
         .when(shape == 4, "[]")
         .when(shape == 5, csv)
-        .otherwise('{"date": "2024-05-21"}')
+        .otherwise('{"date": "2023-11-08"}')
     )
     kind = F.when(shape == 0, "text/csv; charset=utf-8").when(shape == 5, "text/plain").otherwise("application/json")
     return days.select(day.alias("request_id"), kind.alias("content_type"), body.alias("body"))

@@ -144,16 +144,18 @@ METRIC_SQL = """count(*) AS n, round(avg((y - p) * (y - p)), {d}) AS mse, round(
   round(avg(abs(y - p)), {d}) AS mae,
   round(CASE WHEN count(*) < 2 THEN NULL WHEN var_pop(y) > 0 THEN 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))
     WHEN avg(abs(y - p)) = 0 THEN 1.0 ELSE 0.0 END, {d}) AS r2"""
-PROFILED = ("max_temp", "min_temp", "max_power", "avg", "rng", "cdd", "hdd")
+INTEGERS = ("hot", "cold", "year", "month", "day", "dow")
+CYCLES = ("dow_sin", "dow_cos", "mon_sin", "mon_cos")
+PROFILED = (
+    "max_temp", "min_temp", "max_power", "avg", "rng", "cdd", "hdd", *INTEGERS, *CYCLES, "weekend", "holiday",
+)
 LONG = " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS x FROM features WHERE {c} IS NOT NULL" for c in PROFILED
+    f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS x FROM wide WHERE {c} IS NOT NULL" for c in PROFILED
 )
 STATS = """stats AS (
   SELECT "column", min(x) AS lo, max(x) AS hi, count(*) AS n, stddev_samp(x) AS sd FROM long GROUP BY "column"
 )"""
-NUMERIC_COLUMNS = (
-    "max_temp", "min_temp", "max_power", "avg", "rng", "cdd", "hdd", "dow_sin", "dow_cos", "mon_sin", "mon_cos", "flat",
-)
+NUMERIC_COLUMNS = (*PROFILED, "flat", "tenth")
 
 
 def _correlations() -> str:
@@ -162,15 +164,17 @@ def _correlations() -> str:
     for i, a in enumerate(NUMERIC_COLUMNS):
         for b in NUMERIC_COLUMNS[i + 1:]:
             r = f"corr({a}, {b})"
-            value = "CAST(NULL AS DOUBLE)" if "flat" in (a, b) else f"CASE WHEN isnan({r}) THEN NULL ELSE round({r}, 6) END"
+            flat = f"min({a}) = max({a}) OR min({b}) = max({b}) OR isnan({r})"
+            value = f"CASE WHEN {flat} THEN CAST(NULL AS DOUBLE) ELSE round({r}, 6) END"
             selects.append(f"SELECT '{a}' AS x, '{b}' AS y, {value} AS r FROM wide HAVING count(*) > 0")
     return " UNION ALL ".join(selects)
 
 
 WIDE = """wide AS (
-  SELECT max_temp, min_temp, max_power, avg, rng, cdd, hdd,
+  SELECT max_temp, min_temp, max_power, avg, rng, cdd, hdd, hot, cold, year, month, day, dow, weekend, holiday,
     sin(2 * pi() * dow / 7) AS dow_sin, cos(2 * pi() * dow / 7) AS dow_cos,
-    sin(2 * pi() * month / 12) AS mon_sin, cos(2 * pi() * month / 12) AS mon_cos, 1.0 AS flat
+    sin(2 * pi() * month / 12) AS mon_sin, cos(2 * pi() * month / 12) AS mon_cos, 1.0::DOUBLE AS flat,
+    0.1::DOUBLE AS tenth
   FROM features
 )"""
 AUTO = f"""{OBS},
@@ -252,7 +256,7 @@ ORACLE: dict[str, str] = {
     "watermark_advance": """
         WITH control AS (
           SELECT CAST(o_custkey AS VARCHAR) AS job_name, max(CAST(o_orderdate AS DATE)) AS old
-          FROM orders WHERE o_custkey % 2 = 1 GROUP BY o_custkey
+          FROM orders GROUP BY o_custkey
         ), batch AS (
           SELECT CAST(l_suppkey AS VARCHAR) AS job_name, max(CAST(l_shipdate AS DATE)) AS new
           FROM lineitem GROUP BY l_suppkey
@@ -301,18 +305,20 @@ ORACLE: dict[str, str] = {
     "category_counts": _with(FEATURES, "SELECT weather_category, count(*) AS n FROM features GROUP BY weather_category"),
     "distinct_weather": _with(MERGED, "SELECT DISTINCT weather FROM merged"),
     "correlation_pairs": _with(f"{FEATURES}, {WIDE}", _correlations()),
-    "feature_histogram": _with(f"{FEATURES}, long AS ({LONG}), {STATS}", """
-        SELECT "column", CAST(least(floor((x - lo) / ((hi - lo) / 10)), 9) AS BIGINT) AS bin,
-          round(min(lo) + CAST(least(floor((x - lo) / ((hi - lo) / 10)), 9) AS BIGINT) * (min(hi) - min(lo)) / 10, 6) AS lower,
-          round(min(lo) + (CAST(least(floor((x - lo) / ((hi - lo) / 10)), 9) AS BIGINT) + 1) * (min(hi) - min(lo)) / 10, 6) AS upper,
-          count(*) AS n
-        FROM long JOIN stats USING ("column") GROUP BY 1, 2, least(floor((x - lo) / ((hi - lo) / 10)), 9)"""),
+    "feature_histogram": _with(f"{FEATURES}, {WIDE}, long AS ({LONG}), {STATS}" + """, held AS (
+          SELECT "column", CAST(least(floor((x - lo) / ((hi - lo) / 10)), 9) AS BIGINT) AS bin, count(*) AS n
+          FROM long JOIN stats USING ("column") GROUP BY 1, 2
+        ), bins AS (SELECT "column", i AS bin, lo, (hi - lo) / 10 AS w FROM stats, generate_series(0, 9) AS g(i))""", """
+        SELECT "column", bin, round(lo + bin * w, 6) AS lower, round(lo + (bin + 1) * w, 6) AS upper,
+          coalesce(n, 0) AS n FROM bins LEFT JOIN held USING ("column", bin)"""),
     "histogram_auto": _with(AUTO, """
-        SELECT "column", bin, round(min(lo) + bin * min(w), 6) AS lower, round(min(lo) + (bin + 1) * min(w), 6) AS upper,
-          count(*) AS n FROM slots GROUP BY "column", bin"""),
-    "feature_kde": _with(f"""{FEATURES}, long AS ({LONG}), {STATS},
-        grid AS (SELECT "column", CAST(i AS INTEGER) AS point, lo + i * (hi - lo) / 19 AS spot, n,
-          sd * pow(n, -0.2) AS h FROM stats, generate_series(0, 19) AS g(i))""", """
+        SELECT s."column", i AS bin, round(s.lo + i * (hi - s.lo) / k, 6) AS lower,
+          round(s.lo + (i + 1) * (hi - s.lo) / k, 6) AS upper, count(bin) AS n
+        FROM (SELECT *, unnest(range(k)) AS i FROM sized) s
+        LEFT JOIN slots t ON t."column" = s."column" AND t.bin = s.i GROUP BY s."column", i, s.lo, hi, k"""),
+    "feature_kde": _with(f"""{FEATURES}, {WIDE}, long AS ({LONG}), {STATS},
+        grid AS (SELECT "column", CAST(i AS INTEGER) AS point, lo + i * (hi - lo) / 199 AS spot, n,
+          sd * pow(n, -0.2) AS h FROM stats, generate_series(0, 199) AS g(i))""", """
         SELECT "column", point, round(min(spot), 6) AS x,
           round(sum(exp(-0.5 * pow((long.x - spot) / h, 2))) / (min(n) * min(h) * sqrt(2 * pi())), 9) AS density
         FROM long JOIN grid USING ("column") GROUP BY "column", point"""),

@@ -254,9 +254,8 @@ def parse_weather_csv(
 ) -> DataFrame:
     """`(source, date, max_temp, min_temp, weather, error)` per data line.
 
-    Columns are found by the header of their own file; of repeated names the first counts. Normally all
-    files have the same layout, and its positions are constants. Otherwise the headers, one row per file,
-    are looked up; a single huge file is spread over tasks either way.
+    Columns are found by the header of their own file alone; of repeated names the first counts, and a file
+    without a header has no columns, whatever lies next to it. The headers, one row per file, are looked up.
     """
     spots = [
         F.coalesce(F.array_position("fields", name).cast("int"), F.lit(0)).alias(f"_at_{key}")
@@ -266,11 +265,7 @@ def parse_weather_csv(
     headers = first.filter(F.col("line_no") == header_line).select(F.col("source").alias("_file"), *spots)
     dropped = F.coalesce(F.col("line_no").isin(*skip, header_line), F.lit(False))
     body = lines.filter(~dropped)
-    layouts = headers.drop("_file").distinct().limit(2).collect()
-    if len(layouts) == 1:
-        joined = body.withColumns({name: F.lit(at) for name, at in layouts[0].asDict().items()})
-    else:
-        joined = body.join(lookup(headers), F.col("source") == F.col("_file"), "left")
+    joined = body.join(lookup(headers), F.col("source") == F.col("_file"), "left")
 
     # Texts, typed values and errors are three steps, so that no text is parsed more often than needed.
     texts = joined.select(

@@ -40,7 +40,8 @@ def write_by_day(df: DataFrame, path: str, date_col: str = "date", mode: str = "
     dated = df.withColumn("dt", F.col(date_col))
     cuts = lookup(dated.groupBy(F.col("dt").alias("_day")).agg(F.ceil(F.count("*") / ROWS_PER_FILE).alias("_cuts")))
     sliced = dated.join(cuts, dated["dt"].eqNullSafe(cuts["_day"])).withColumn(
-        "_slice", F.floor(F.rand(5) * F.col("_cuts"))
+        # By content: a task that runs again sends each row where it went before.
+        "_slice", F.pmod(F.xxhash64(*dated.columns), F.col("_cuts"))
     )
     spread = sliced.repartition(_tasks(df), "dt", "_slice").select(*dated.columns)
     spread.write.mode(mode).partitionBy("dt").parquet(path)

@@ -52,10 +52,12 @@ def run_available(
 
 
 def daily_peak_stream(
-    readings: DataFrame, keys: Sequence[str] = (), ts: str = "ts", value: str = "value", delay: str = "0 seconds"
+    readings: DataFrame, delay: str, keys: Sequence[str] = (), ts: str = "ts", value: str = "value"
 ) -> DataFrame:
     """Daily peaks of closed days: a day is emitted once the watermark has passed its end.
 
+    `delay` is how long readings may come late. Later ones are left out of their day; the state operator's
+    `numRowsDroppedByWatermark` in the query's progress counts them.
     The state is one running maximum per open day and key; readings are reduced per task before they
     reach it. Windows are cut in UTC, so the session's wall clock is read as UTC for the window and back
     for the date: the days are the same as in the batch job.
@@ -81,11 +83,12 @@ def feature_batch_writer(
     """A batch function that adds feature versions below `path`.
 
     A replayed batch overwrites its own folder, so a restart adds nothing twice. Days at or before
-    `after` are late and left out: nothing else drops late rows in a stateless stream.
+    `after` are late and left out: nothing else drops late rows in a stateless stream. Each batch is stamped
+    one second after the one before, so a later batch's version of a day is the newer one.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         timely = batch if after is None else batch.filter(F.col("date") > F.lit(after))
-        versions = stamp_versions(make_features(timely, cfg, holidays), moment)
+        versions = stamp_versions(make_features(timely, cfg, holidays), moment + dt.timedelta(seconds=batch_id))
         versions.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write

@@ -105,7 +105,7 @@ def test_lookups_beyond_the_limit_give_the_same_answers(spark, monkeypatch):
     edges = np.histogram_bin_edges(frame["z"], "auto")
     wanted, _ = np.histogram(frame["z"], edges)
     rows = profile.histograms(spark.createDataFrame(frame), ["z"]).collect()
-    assert {r.bin: r.n for r in rows} == {i: n for i, n in enumerate(wanted) if n}
+    assert {r.bin: r.n for r in rows} == dict(enumerate(wanted))
 
 
 def test_split_by_area(spark):
@@ -191,7 +191,7 @@ def test_histogram_matches_the_array_library(spark):
         edges = np.histogram_bin_edges(frame[column], bins or "auto")
         wanted, _ = np.histogram(frame[column], edges)
         rows = profile.histograms(df, [column], bins).collect()
-        assert {r.bin: r.n for r in rows} == {i: n for i, n in enumerate(wanted) if n}
+        assert {r.bin: r.n for r in rows} == dict(enumerate(wanted))
         for r in rows:
             assert (r.lower, r.upper) == pytest.approx((edges[r.bin], edges[r.bin + 1]))
 
@@ -207,9 +207,15 @@ def test_kde(spark):
     assert np.allclose(curve["x"], grid) and np.allclose(curve["density"], wanted)
 
 
-def test_numeric_columns_skip_small_integers(spark):
+def test_constant_columns_have_no_correlation(spark):
+    df = spark.range(5000, numPartitions=4).selectExpr("0.1D AS a", "1D / 3 AS b", "sin(id) AS c", "cos(id) AS d")
+    rows = {(r.x, r.y): r.r for r in profile.correlation_pairs(df).collect()}
+    assert [pair for pair, r in rows.items() if r is not None] == [("c", "d")]
+
+
+def test_numeric_columns_count_small_integers(spark):
     df = spark.createDataFrame([(1, 1, 1.0, D(2024, 1, 1), "s")], "a int, b long, c double, d date, e string")
-    assert profile.numeric_columns(df) == ["b", "c"]
+    assert profile.numeric_columns(df) == ["a", "b", "c"]
 
 
 def test_table_profile_and_counts(spark):

@@ -5,28 +5,28 @@ import pytest
 
 from loadcast.operators.serving import format_predictions, parse_requests
 
-DAY = dt.date(2024, 5, 21)
-ITEM = '{"date": "2024-05-21", "max_temp": 25.0, "min_temp": "15.0", "weather": "晴れ"}'
-FULL = [(0, DAY, 25.0, 15.0, "晴れ")]
+DAY = dt.date(2023, 11, 8)
+ITEM = '{"date": "2023-11-08", "max_temp": 17.5, "min_temp": "6.25", "weather": "曇り"}'
+FULL = [(0, DAY, 17.5, 6.25, "曇り")]
 GOOD = [
-    ("text/csv", "2024-05-21,25.0,15.0,晴れ", FULL),
-    ("text/csv; charset=utf-8", '2024-05-21,25.0,15.0,"晴れ"\n\nbad,x,,nan\n', [*FULL, (1, None, None, None, None)]),
+    ("text/csv", "2023-11-08,17.5,6.25,曇り", FULL),
+    ("text/csv; charset=utf-8", '2023-11-08,17.5,6.25,"曇り"\n\nbad,x,,nan\n', [*FULL, (1, None, None, None, None)]),
     ("application/json", ITEM, FULL),
     ("application/json", f"[{ITEM}, {ITEM}]", [*FULL, (1, *FULL[0][1:])]),
-    ("application/json", '{"features":[["2024-05-21",25.0,15.0,"晴れ"]]}', FULL),
-    ("application/json; x", '[{"date": "2024-05-21", "max_temp": null, "min_temp": "x", "weather": null}]', [(0, DAY, None, None, None)]),
+    ("application/json", '{"features":[["2023-11-08",17.5,6.25,"曇り"]]}', FULL),
+    ("application/json; x", '[{"date": "2023-11-08", "max_temp": null, "min_temp": "x", "weather": null}]', [(0, DAY, None, None, None)]),
 ]
 BAD = [
     ("application/json", "[]", "no rows"),
     ("application/json", "[1, 2]", "unreadable body"),
     ("application/json", "[null]", "not a list of objects"),
     ("application/json", "{oops", "unreadable body"),
-    ("application/json", '{"date": "2024-05-21"}', "missing column"),
-    ("application/json", '{"features":[["2024-05-21",25.0]]}', "rows must have four values"),
+    ("application/json", '{"date": "2023-11-08"}', "missing column"),
+    ("application/json", '{"features":[["2023-11-08",17.5]]}', "rows must have four values"),
     ("application/json", '{"features":[]}', "no rows"),
     ("application/json", "7", "unreadable body"),
     ("text/csv", "", "no rows"),
-    ("text/plain", "2024-05-21,25.0,15.0,晴れ", "unsupported content type"),
+    ("text/plain", "2023-11-08,17.5,6.25,曇り", "unsupported content type"),
     (None, "x", "unsupported content type"),
 ]
 

@@ -41,7 +41,7 @@ def test_peaks_of_closed_days(spark, tmp_path):
     rows = [(dt.datetime(2024, 1, d, h), 100.0 * d + h + 0.7) for d in (1, 2, 3) for h in (0, 5, 23)]
     readings = spark.createDataFrame(rows, READINGS)
     readings.write.parquet(str(tmp_path / "in"))
-    stream = jobs.daily_peak_stream(jobs.stream_parquet(spark, str(tmp_path / "in"), READINGS))
+    stream = jobs.daily_peak_stream(jobs.stream_parquet(spark, str(tmp_path / "in"), READINGS), "0 seconds")
     jobs.run_available(stream, str(tmp_path / "cp"), str(tmp_path / "out"))
     got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()))
     assert got == sorted(map(tuple, daily_peak(readings).filter("date < '2024-01-03'").collect()))
@@ -57,7 +57,7 @@ def test_peaks_follow_the_session_zone(spark, tmp_path):
             readings = texts.selectExpr(f"cast(t as {kind}) as ts", "value")
             home = str(tmp_path / kind)
             readings.write.parquet(f"{home}/in")
-            stream = jobs.daily_peak_stream(jobs.stream_parquet(spark, f"{home}/in", readings.schema))
+            stream = jobs.daily_peak_stream(jobs.stream_parquet(spark, f"{home}/in", readings.schema), "0 seconds")
             jobs.run_available(stream, f"{home}/cp", f"{home}/out")
             got = sorted(map(tuple, spark.read.parquet(f"{home}/out").collect()))
             assert got == [(dt.date(2024, 1, 1), 123), (dt.date(2024, 1, 2), 223)]
