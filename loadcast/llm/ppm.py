@@ -37,7 +37,7 @@ TOKEN_BIT = np.uint64(1 << 63)
 # Key that stands for the end of a text among the words.
 END_TOKEN = -1
 # Text bytes per block, and keys that a task holds before it hands them on.
-BLOCK_BYTES, HELD_KEYS = 40 << 20, 2_000_000
+BLOCK_BYTES, HELD_KEYS = 32 << 20, 6_000_000
 
 
 def grams(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +103,7 @@ def count_keys(rows: DataFrame) -> DataFrame:
                     if sum(len(k) for k, _ in parts) > HELD_KEYS:
                         merged = _summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))
                         parts[:] = [merged]
-                        if len(merged[0]) > HELD_KEYS // 2:
+                        if len(merged[0]) > HELD_KEYS * 3 // 4:
                             yield out(block, parts)
                             parts.clear()
             for block in [b for b in held if b != blocks[-1]]:
@@ -206,7 +206,7 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score
 def _score_block(docs: pa.Table, values: pa.Table, total: int, kinds: int) -> pa.Table:
     key = values.column("key").to_numpy()
     order = np.argsort(key)
-    key, value = key[order], values.column("value").to_numpy()[order]
+    key, value = key[order], values.column("value").to_numpy()[order].astype(np.float64)
     del values, order
     words_end = int(np.searchsorted(key, 0))
     word_keys, word_counts, gram_keys, gram_logs = key[:words_end], value[:words_end], key[words_end:], value[words_end:]
@@ -262,9 +262,10 @@ def score_documents(df: DataFrame, block: Column, out_of_fold: Column) -> DataFr
         counts.filter(F.col("key") < 0).select("key", F.col("n").cast("double"))
     )
     # A key can come from a block more than once if several tasks read the block.
-    asked = keys.select("block", "key").join(store(values, "values"), "key").select("block", "key", "value")
+    asked = keys.select("block", "key").join(store(values, "values"), "key")
+    asked = asked.select("block", "key", F.col("value").cast("float").alias("value"))
     last = docs.select("block").distinct().select(
-        "block", F.lit(END_TOKEN).cast("long").alias("key"), F.lit(float(ends)).alias("value")
+        "block", F.lit(END_TOKEN).cast("long").alias("key"), F.lit(float(ends)).cast("float").alias("value")
     )
     asked = asked.union(last)
     result = docs.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
