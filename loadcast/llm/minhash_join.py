@@ -79,6 +79,13 @@ def signatures(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+# Bitmap of hashes: eight numbers of 64 bits.
+REST_WORDS = 8
+REST_BITS = (
+    f"transform(sequence(0, {REST_WORDS - 1}), w -> aggregate(filter(rest, e -> pmod(e, {REST_WORDS}) = w), 0L,"
+    f" (t, e) -> t | shiftleft(1L, cast(pmod(shiftright(e, 3), 64) as int))))"
+)
+
 SIGNED = "doc_id long, text_key long, n_shingles long, node long, signature array<int>"
 
 
@@ -161,7 +168,8 @@ def shingle_sets(df: DataFrame, shingle: int) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, classes: DataFrame, df: DataFrame, shingle: int) -> DataFrame:
-    """`(a, b, n_a, n_b, common)`: the pairs with the sizes of their full sets and of what both hold, stored."""
+    """`(a, b, n_a, n_b, common, rest)`: the pairs with the sizes of their full sets and of what both hold, and a bitmap
+    of what only `a` holds, stored."""
     pairs = store(pairs, "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     need = lookup(classes.join(nodes, "node", "left_semi").select("text_key", "first_id"))
@@ -174,7 +182,8 @@ def _compared(pairs: DataFrame, classes: DataFrame, df: DataFrame, shingle: int)
     return store(both.select(
         "a", "b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"),
         F.size(F.array_intersect("set_a", "set_b")).alias("common"),
-    ), "compared")
+        F.array_except("set_a", "set_b").alias("rest"),
+    ).withColumn("rest", F.expr(REST_BITS)), "compared")
 
 
 def _linked(compared: DataFrame, percent: int) -> DataFrame:
@@ -208,12 +217,12 @@ def _small_bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
 def _apart_pairs(live: DataFrame, percent: int) -> DataFrame:
     """Candidates among the rows of large buckets that stand in different components. Every row knows what it shares
     with the bucket's pivot, which bounds what two rows can share: all that the smaller one shares with the pivot,
-    and all that the smaller one has besides."""
-    live = store(live, "apart")
+    and, of what they hold besides, the bits that both bitmaps have and the hashes that share a bit."""
+    bits = [F.bit_count(F.get("rest", F.lit(w))) for w in range(REST_WORDS)]
+    live = store(live.withColumn("crowded", F.col("n_shingles") - F.col("shared") - sum(bits[1:], bits[0])), "apart")
     x, y = live.filter("root <> pivot_root").alias("x"), live.toDF(*live.columns).alias("y")
-    most = F.least("x.shared", "y.shared") + F.least(
-        F.col("x.n_shingles") - F.col("x.shared"), F.col("y.n_shingles") - F.col("y.shared")
-    )
+    both = [F.bit_count(F.get("x.rest", F.lit(w)).bitwiseAND(F.get("y.rest", F.lit(w)))) for w in range(REST_WORDS)]
+    most = F.least("x.shared", "y.shared") + F.least("x.crowded", "y.crowded") + sum(both[1:], both[0])
     total = F.col("x.n_shingles") + F.col("y.n_shingles")
     # Two rows that are both apart from the pivot meet twice.
     once = (F.col("y.root") == F.col("y.pivot_root")) | (F.col("x.node") < F.col("y.node"))
@@ -260,10 +269,14 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
     )
     open_ = placed.filter("root <> pivot_root").select("key").distinct()
     live = placed.join(open_, "key", "left_semi").join(sides, "node").join(
-        stars.select(F.col("a").alias("node"), F.col("b").alias("pivot"), F.col("common").alias("with_pivot")),
+        stars.select(F.col("a").alias("node"), F.col("b").alias("pivot"), F.col("common").alias("with_pivot"), "rest"),
         ["node", "pivot"], "left",
     )
-    live = live.withColumn("shared", F.coalesce("with_pivot", "n_shingles")).drop("with_pivot", "pivot")
+    # The pivot shares all it has with itself.
+    nothing = F.array_repeat(F.lit(0).cast("long"), REST_WORDS)
+    live = live.withColumns({
+        "shared": F.coalesce("with_pivot", "n_shingles"), "rest": F.coalesce("rest", nothing),
+    }).drop("with_pivot", "pivot")
     apart = _compared(_apart_pairs(live, percent), classes, df, shingle)
     links = links.union(_linked(apart, percent).select("a", "b"))
     roots = materialize(components(links))
