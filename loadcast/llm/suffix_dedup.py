@@ -336,7 +336,8 @@ def repeated_ranges(df: DataFrame, match: int = MATCH) -> tuple[DataFrame, DataF
     judged = texts.filter(F.octet_length("text") >= match).join(copies, ["doc", "tie"], "left_anti")
     found = segment_table(judged, match)
     shared = store(found.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "shared")
-    segments = store(found.join(_checked(shared, BROADCAST_KEYS), "hash", "left_semi"), "segments")
+    # Always a shuffled join, as these keys grow with the texts: one plan at every size, with skew handling.
+    segments = store(found.join(shared.hint("merge"), "hash", "left_semi"), "segments")
 
     place = F.struct("doc", "tie", "start")
     distinct = store(
