@@ -38,6 +38,8 @@ SYMBOLS = CHUNKS * WIDTH
 LEAST_EQUAL = 21
 # Buckets up to this size are compared pair by pair at once; larger ones first with one central member.
 SMALL_BUCKET = 8
+# Rows of a large bucket per part that meets the whole bucket in one task.
+PART_ROWS = 5_000
 
 _RNG = np.random.default_rng(20240229)
 _FACTORS = _RNG.integers(0, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -167,9 +169,11 @@ def shingle_sets(df: DataFrame, shingle: int) -> DataFrame:
     return df.select("text").mapInArrow(run, "node long, shingles array<long>")
 
 
-def _compared(pairs: DataFrame, classes: DataFrame, df: DataFrame, shingle: int) -> DataFrame:
-    """`(a, b, n_a, n_b, common, rest)`: the pairs with the sizes of their full sets and of what both hold, and a bitmap
-    of what only `a` holds, stored."""
+def _compared(
+    pairs: DataFrame, classes: DataFrame, df: DataFrame, shingle: int, bitmaps: bool = False
+) -> DataFrame:
+    """`(a, b, n_a, n_b, common)`: the pairs with the sizes of their full sets and of what both hold, stored. With
+    `bitmaps`, also `rest`, a bitmap of what only `a` holds."""
     pairs = store(pairs, "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     need = lookup(classes.join(nodes, "node", "left_semi").select("text_key", "first_id"))
@@ -178,16 +182,20 @@ def _compared(pairs: DataFrame, classes: DataFrame, df: DataFrame, shingle: int)
         need, (texts["text_key"] == need["text_key"]) & texts["doc_id"].eqNullSafe(need["first_id"]), "left_semi"
     )
     sets = store(shingle_sets(texts, shingle), "sets").dropDuplicates(["node"])
+    # Pairs are narrow but costly to compare, so they are spread by a stated number.
+    pairs = pairs.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-    return store(both.select(
+    counts = both.select(
         "a", "b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"),
         F.size(F.array_intersect("set_a", "set_b")).alias("common"),
-        F.array_except("set_a", "set_b").alias("rest"),
-    ).withColumn("rest", F.expr(REST_BITS)), "compared")
+        *([F.array_except("set_a", "set_b").alias("rest")] if bitmaps else []),
+    )
+    return store(counts.withColumn("rest", F.expr(REST_BITS)) if bitmaps else counts, "compared")
 
 
 def _linked(compared: DataFrame, percent: int) -> DataFrame:
-    return compared.filter(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent)
+    linked = F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent
+    return compared.filter(linked).select("a", "b")
 
 
 def _candidate(percent: int) -> Column:
@@ -215,22 +223,37 @@ def _small_bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _apart_pairs(live: DataFrame, percent: int) -> DataFrame:
-    """Candidates among the rows of large buckets that stand in different components. Every row knows what it shares
-    with the bucket's pivot, which bounds what two rows can share: all that the smaller one shares with the pivot,
-    and, of what they hold besides, the bits that both bitmaps have and the hashes that share a bit."""
+    """Pairs of rows of large buckets that stand in different components and can be links by exact bounds. Every row
+    knows what it shares with the bucket's pivot, which bounds what two rows can share: all that the smaller one shares
+    with the pivot, and, of what they hold besides, the bits that both bitmaps have and the hashes that share a bit.
+
+    The rows apart from the pivot are dealt over the parts of their bucket, and every part meets the whole bucket, so
+    a bucket of any size is spread over tasks. The bitmaps are plain columns, which keeps the compiled test short."""
+    words = [f"rest_{w}" for w in range(REST_WORDS)]
     bits = [F.bit_count(F.get("rest", F.lit(w))) for w in range(REST_WORDS)]
-    live = store(live.withColumn("crowded", F.col("n_shingles") - F.col("shared") - sum(bits[1:], bits[0])), "apart")
-    x, y = live.filter("root <> pivot_root").alias("x"), live.toDF(*live.columns).alias("y")
-    both = [F.bit_count(F.get("x.rest", F.lit(w)).bitwiseAND(F.get("y.rest", F.lit(w)))) for w in range(REST_WORDS)]
+    live = store(live.select(
+        "key", "node", "root", "pivot_root", "n_shingles", "shared",
+        (F.col("n_shingles") - F.col("shared") - sum(bits[1:], bits[0])).alias("crowded"),
+        F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts"),
+        *[F.get("rest", F.lit(w)).alias(name) for w, name in enumerate(words)],
+    ), "apart")
+    # A stated number: the rows are few, their pairs are not, and the planner would merge them into few tasks.
+    tasks = int(live.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mine = live.filter("root <> pivot_root").withColumn("part", F.expr("pmod(xxhash64(node), parts)").cast("int"))
+    theirs = live.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+    x = mine.repartition(tasks, "key", "part").alias("x")
+    y = theirs.repartition(tasks, "key", "part").hint("merge").alias("y")
+    both = [F.bit_count(F.col(f"x.{name}").bitwiseAND(F.col(f"y.{name}"))) for name in words]
     most = F.least("x.shared", "y.shared") + F.least("x.crowded", "y.crowded") + sum(both[1:], both[0])
-    total = F.col("x.n_shingles") + F.col("y.n_shingles")
+    sizes = F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * percent
     # Two rows that are both apart from the pivot meet twice.
     once = (F.col("y.root") == F.col("y.pivot_root")) | (F.col("x.node") < F.col("y.node"))
     met = (
-        (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & once
-        & (most * 100 >= (total - most) * percent) & _candidate(percent)
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.root") != F.col("y.root"))
+        & once & sizes & (most * (100 + percent) >= (F.col("x.n_shingles") + F.col("y.n_shingles")) * percent)
     )
-    return x.join(y, met).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    ends = F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
+    return x.join(y, met).select(*ends).distinct()
 
 
 def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -258,17 +281,17 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
     large = store(large.join(pivots.select("key", F.col("pivot.node").alias("pivot")), "key"), "large")
     stars = _compared(
         large.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(),
-        classes, df, shingle,
+        classes, df, shingle, bitmaps=True,
     )
-    links = store(_linked(compared, percent).union(_linked(stars, percent)).select("a", "b"), "links")
+    links = store(_linked(compared, percent).union(_linked(stars, percent)), "links")
     roots = materialize(components(links))
-    placed = large.select("key", "spot", "node", "pivot").join(roots, "node", "left").withColumnRenamed("root", "own")
+    placed = large.select("key", "n", "node", "pivot").join(roots, "node", "left").withColumnRenamed("root", "own")
     placed = placed.join(roots.toDF("pivot", "pivot_own"), "pivot", "left").select(
-        "key", "spot", "node", "pivot", F.coalesce("own", "node").alias("root"),
+        "key", "n", "node", "pivot", F.coalesce("own", "node").alias("root"),
         F.coalesce("pivot_own", "pivot").alias("pivot_root"),
     )
     open_ = placed.filter("root <> pivot_root").select("key").distinct()
-    live = placed.join(open_, "key", "left_semi").join(sides, "node").join(
+    live = placed.join(open_, "key", "left_semi").join(sides.drop("signature"), "node").join(
         stars.select(F.col("a").alias("node"), F.col("b").alias("pivot"), F.col("common").alias("with_pivot"), "rest"),
         ["node", "pivot"], "left",
     )
@@ -278,7 +301,7 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
         "shared": F.coalesce("with_pivot", "n_shingles"), "rest": F.coalesce("rest", nothing),
     }).drop("with_pivot", "pivot")
     apart = _compared(_apart_pairs(live, percent), classes, df, shingle)
-    links = links.union(_linked(apart, percent).select("a", "b"))
+    links = links.union(_linked(apart, percent))
     roots = materialize(components(links))
     rooted = classes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least_id")
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
