@@ -4,8 +4,9 @@ A page is cut at block-level tags into a flat list of texts. Each block is descr
 words, the same two of its neighbours, and whether it stands in an element for content or for boilerplate. The tree is
 fitted on the small labelled table below.
 
-Scripts, styles, comments, the head and other parts without readable text are skipped, and markup that is never closed
-ends with the page. Character references are decoded, white space within a block becomes one space. Null and empty
+Scripts, styles, comments, titles and other parts without readable text are skipped; the code of a script or style ends
+only at its own closing tag, and what it holds is not read as tags. The tags of head and body may be left out, as HTML
+allows. Markup that is never closed ends with the page, or where the head is closed or the body opened. Character references are decoded, white space within a block becomes one space. Null and empty
 pages have an empty text. Pages of any length are read whole; equal rows give equal texts; extra columns are ignored.
 """
 
@@ -23,9 +24,10 @@ from pyspark.sql import functions as F
 
 # HTML element names by their part in a page.
 SKIPPED = frozenset(
-    "script style noscript template head title svg math iframe object canvas audio video textarea select datalist"
-    .split()
+    "script style noscript template title svg math iframe object canvas audio video textarea select datalist".split()
 )
+# Of these, the ones whose content is plain text up to their own closing tag.
+RAW = ("script", "style", "noscript", "title", "iframe", "textarea")
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary "
@@ -50,6 +52,10 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
     re.S,
 )
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I | re.A) for name in RAW}
+# A script that opens a comment and another script in it ends after the closing tag of the inner one.
+_SCRIPT_PART = re.compile(r"<!--(?:-?>)?|-->|<(/?)script(?=[\s/>])", re.I | re.A)
+_HEAD_END = re.compile(r"</head(?=[\s/>])|<body(?=[\s/>])", re.I | re.A)
 _NAMES = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD_CUT = re.compile(r"[^a-z]+")
 
@@ -152,13 +158,36 @@ def _standing(name: str, attributes: str, inside_content: bool) -> tuple[bool, b
     content, boiler = name in CONTENT, name in BOILERPLATE
     if name == "header":
         boiler = not inside_content
-    if attributes and "=" in attributes and name not in ("body", "html"):
+    if attributes and "=" in attributes and name not in ("body", "head", "html"):
         words = {w for m in _NAMES.findall(attributes) for w in _WORD_CUT.split((m[0] or m[1] or m[2]).lower())}
         boiler = boiler or bool(words & MARKS)
         content = content or bool(words & CONTENT_MARKS) and not boiler
     return content, boiler
 
 
+def _raw_end(source: str, name: str, start: int, unclosed: set[str]) -> int:
+    """Where the closing tag of a plain-text element stands, or -1; `unclosed` has what is known not to come any more."""
+    if name in unclosed:
+        return -1
+    comment = inner = False
+    for part in _SCRIPT_PART.finditer(source, start) if name == "script" and "<!--" not in unclosed else ():
+        if part[0] == "<!--":
+            comment = True
+        elif part[0] == "-->":
+            comment = inner = False
+        elif part[1] and not inner:
+            return part.start()
+        elif part[1] is not None:
+            inner = comment and not part[1]
+    if comment:
+        # A comment that is never closed hides no closing tag.
+        unclosed.add("<!--")
+    end = _RAW_END[name].search(source, start)
+    if not end:
+        unclosed.add(name)
+    return end.start() if end else -1
+
+
 def page_blocks(source: str) -> list[tuple[str, int, float, bool, bool, bool]]:
     """The text blocks of a page: text, words, linked share, in content, in boilerplate, heading."""
     out: list[tuple[str, int, float, bool, bool, bool]] = []
@@ -167,6 +196,8 @@ def page_blocks(source: str) -> list[tuple[str, int, float, bool, bool, bool]]:
     text: list[str] = []
     linked_words = links = content = boiler = 0
     heading, skip, place = False, "", 0
+    # Plain-text elements with no closing tag in the rest of the page, and comments in scripts.
+    unclosed: set[str] = set()
 
     def flush() -> None:
         nonlocal linked_words
@@ -184,7 +215,7 @@ def page_blocks(source: str) -> list[tuple[str, int, float, bool, bool, bool]]:
         if links:
             linked_words += len(raw.split())
 
-    for token in _TOKEN.finditer(source):
+    while token := _TOKEN.search(source, place):
         if token.start() > place and not skip:
             add(source[place:token.start()])
         place = token.end()
@@ -192,12 +223,19 @@ def page_blocks(source: str) -> list[tuple[str, int, float, bool, bool, bool]]:
         if not name:
             continue
         closing, attributes = bool(token[1] or token[4]), token[3] or token[6] or ""
+        if name in RAW and not closing and not attributes.endswith("/"):
+            end = _raw_end(source, name, place, unclosed)
+            if end >= 0:
+                place = end
+            elif not skip:
+                # A page that never closes its title or script shows its body all the same.
+                rest = _HEAD_END.search(source, place)
+                place = rest.start() if rest else len(source)
+            continue
         if skip:
-            # A page that never closes its head shows its body all the same.
-            if closing and name == skip or skip == "head" and name == "body":
+            if closing and name == skip:
                 skip = ""
-            if name != "body":
-                continue
+            continue
         if name in SKIPPED and not closing:
             if not attributes.endswith("/"):
                 skip = name

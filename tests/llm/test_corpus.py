@@ -539,6 +539,28 @@ def test_tree_fits_its_table_and_long_pages():
     assert html_text.page_texts([page])[0].count("\n") == 19999
 
 
+CODE_PAGES = (
+    ("<body><script>for(i=0;i<n;i++){f(i);}</script><article><p>kept text</p></article>", "kept text"),
+    ("<head><script>if(a<b)c='</p>'</script><style>a<b{}</style><title>1 <a 2</title></head><main>kept</main>", "kept"),
+    ("<main>one<textarea><b <p></textarea> two<noscript><img src='</noscript> three</main>", "one two three"),
+    ("<main><SCRIPT>x<y</scripts></Script >kept <svg><style>a<b</style></svg>too</main>", "kept too"),
+    ("<main><script><!-- w('<script>a<b</script>') --></script>kept</main>", "kept"),
+    ("<main><script><!-- w('<script>a')</script>kept</main>", "kept"),
+    ("<head><title>T</title><meta charset=x><h1>Head of it</h1><main><p>kept</p></main>", "kept"),
+    ("<head><title>T</title><main><h1>Head</h1><p>kept</p></main>", "Head\nkept"),
+    ("<title>T</title><article>kept</article>", "kept"),
+    ("<head><title>T<body><article>kept</article>", "kept"),
+    ("<head id=menu><script>a<b</head><body><article>kept</article>", "kept"),
+    ("<article>kept <script>a<b", "kept"),
+)
+
+
+def test_code_in_pages_and_left_out_tags():
+    assert html_text.page_texts([p for p, _ in CODE_PAGES]) == [t for _, t in CODE_PAGES]
+    page = "<article>" + "<script><!--<script>a<b</script>" * 20000 + "kept"
+    assert html_text.page_texts([page]) == ["kept"]
+
+
 # The pipeline
 
 
