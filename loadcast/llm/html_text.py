@@ -4,6 +4,10 @@ A page is cut at block-level tags into a flat list of texts. Each block is descr
 words, the same two of its neighbours, and whether it stands in an element for content or for boilerplate. The tree is
 fitted on the small labelled table below.
 
+Classes, ids and roles mark boilerplate as whole names or as known compounds (`comment-list`, `site-footer`), so
+`has-sidebar` and `related-work` mark nothing. Headings and parts of an article have ids for links, which are not read.
+A `main`, or an `article` with no unmarked article before it, takes back the marks of wrappers around it.
+
 Scripts, styles, comments, titles and other parts without readable text are skipped; the code of a script or style ends
 only at its own closing tag, and what it holds is not read as tags. The tags of head and body may be left out, as HTML
 allows. Markup that is never closed ends with the page, or where the head is closed or the body opened. Character references are decoded, white space within a block becomes one space. Null and empty
@@ -37,7 +41,11 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTENT = frozenset("article main".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog button fieldset".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-# Words in a class, id or role that mark boilerplate.
+# Of these, the ones that hold no main text even if an article stands in them.
+FIRM = BOILERPLATE - {"form"}
+# Elements whose id can name a part of the page, as other ids are targets of links.
+NAMED = frozenset("div section ul ol table td".split())
+# Names in a class, id or role that mark boilerplate.
 MARKS = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo cookie cookies consent notice popup modal "
     "overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs share sharing social comment comments disqus "
@@ -56,8 +64,17 @@ _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I | re.A) for name in RA
 # A script that opens a comment and another script in it ends after the closing tag of the inner one.
 _SCRIPT_PART = re.compile(r"<!--(?:-?>)?|-->|<(/?)script(?=[\s/>])", re.I | re.A)
 _HEAD_END = re.compile(r"</head(?=[\s/>])|<body(?=[\s/>])", re.I | re.A)
-_NAMES = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+_MARK = "|".join(sorted(MARKS, key=len, reverse=True))
+# A mark by itself, or between a word for the place and words for the kind of box, with a number.
+_MARKED = re.compile(
+    rf"(?:(?:site|page|global|main|primary|secondary|top|bottom|post|entry|article|blog)-)?(?:{_MARK})(?:-(?:{_MARK}))*"
+    r"(?:-(?:area|articles|bar|block|box|button|buttons|container|icons|inner|item|items|form|links|list|posts|section|"
+    r"slot|stories|thread|unit|widgets|wrap|wrapper))*(?:-?\d+(?:x\d+)?)?"
+    r"|(?:div-)?(?:comment|comments|cookie|footer|modal|popup|reply|sidebar)-(?:body|content|text|message)(?:-\d+)?"
+)
 _WORD_CUT = re.compile(r"[^a-z]+")
+_JOINT = re.compile(r"[-_]+")
 
 FEATURES = ("words", "linked", "words_before", "linked_before", "words_after", "linked_after", "content", "boiler",
             "heading")
@@ -153,14 +170,21 @@ def fitted_tree() -> Tree:
     return Tree(rows[:, :-1], rows[:, -1])
 
 
-def _standing(name: str, attributes: str, inside_content: bool) -> tuple[bool, bool]:
+def _standing(name: str, attributes: str, inside_content: bool, inside_article: bool) -> tuple[bool, bool]:
     """Whether an element is for content, and whether for boilerplate."""
     content, boiler = name in CONTENT, name in BOILERPLATE
     if name == "header":
         boiler = not inside_content
     if attributes and "=" in attributes and name not in ("body", "head", "html"):
-        words = {w for m in _NAMES.findall(attributes) for w in _WORD_CUT.split((m[0] or m[1] or m[2]).lower())}
-        boiler = boiler or bool(words & MARKS)
+        values: dict[str, str] = {}
+        for found in _ATTRIBUTE.findall(attributes):
+            values.setdefault(found[0].lower(), (found[1] or found[2] or found[3]).lower())
+        names = " ".join(values.get(k, "") for k in ("class", "role", "itemprop")).split()
+        words = {w for n in (*names, values.get("id", "")) for w in _WORD_CUT.split(n)}
+        if name in NAMED and (not inside_content or name == "div" and not inside_article and "section" not in names):
+            names += values.get("id", "").split()
+        if name != "main":
+            boiler = boiler or any(_MARKED.fullmatch(_JOINT.sub("-", n)) for n in names)
         content = content or bool(words & CONTENT_MARKS) and not boiler
     return content, boiler
 
@@ -191,10 +215,12 @@ def _raw_end(source: str, name: str, start: int, unclosed: set[str]) -> int:
 def page_blocks(source: str) -> list[tuple[str, int, float, bool, bool, bool]]:
     """The text blocks of a page: text, words, linked share, in content, in boilerplate, heading."""
     out: list[tuple[str, int, float, bool, bool, bool]] = []
-    # Open elements that matter: name, content, boilerplate.
-    stack: list[tuple[str, bool, bool]] = []
+    # Open elements that matter, with what held before them: in content, in an article, in boilerplate, and in
+    # boilerplate that an article does not take back.
+    stack: list[tuple[str, tuple[bool, bool, bool, bool]]] = []
     text: list[str] = []
-    linked_words = links = content = boiler = 0
+    linked_words = links = 0
+    content = article = boiler = firm = article_seen = False
     heading, skip, place = False, "", 0
     # Plain-text elements with no closing tag in the rest of the page, and comments in scripts.
     unclosed: set[str] = set()
@@ -204,7 +230,7 @@ def page_blocks(source: str) -> list[tuple[str, int, float, bool, bool, bool]]:
         words = "".join(text).split()
         if words:
             share = min(1.0, linked_words / len(words))
-            out.append((" ".join(words), len(words), share, content > 0, boiler > 0, heading))
+            out.append((" ".join(words), len(words), share, content, boiler, heading))
         text.clear()
         linked_words = 0
 
@@ -255,20 +281,24 @@ def page_blocks(source: str) -> list[tuple[str, int, float, bool, bool, bool]]:
         if name in VOID or name == "p" or attributes.endswith("/"):
             continue
         if not closing:
-            is_content, is_boiler = _standing(name, attributes, content > 0)
+            is_content, is_boiler = _standing(name, attributes, content, article)
             if name in BLOCKS or is_boiler:
                 if name not in BLOCKS:
                     flush()
-                stack.append((name, is_content, is_boiler))
-                content += is_content
-                boiler += is_boiler
+                stack.append((name, (content, article, boiler, firm)))
+                if name == "main" or name == "article" and not (is_boiler or firm or article_seen):
+                    boiler = firm = False
+                content = content or is_content
+                firm = firm or is_boiler and (article or name in FIRM)
+                boiler = boiler or is_boiler
+                if name == "article":
+                    article_seen = article_seen or not (article or boiler or stack[-1][1][2])
+                    article = True
         elif any(s[0] == name for s in stack):
             if name not in BLOCKS:
                 flush()
             while True:
-                last, was_content, was_boiler = stack.pop()
-                content -= was_content
-                boiler -= was_boiler
+                last, (content, article, boiler, firm) = stack.pop()
                 if last == name:
                     break
     if place < len(source) and not skip:

@@ -561,6 +561,30 @@ def test_code_in_pages_and_left_out_tags():
     assert html_text.page_texts([page]) == ["kept"]
 
 
+MARKED_PAGES = (
+    ("<div class='layout has-sidebar'><article><p>kept</p></article></div>", "kept"),
+    ("<main class='no-sidebar'><p>kept</p></main>", "kept"),
+    ("<article class='post comment-status-open'><p>kept</p></article>", "kept"),
+    ("<article><h2 id='related-work'>Head</h2><h2 id=search>Two</h2><p>kept</p></article>", "Head\nTwo\nkept"),
+    ("<article><section id='search'><p>kept</p></section></article>", "kept"),
+    ("<main><div class=section id=search><p>kept</p></div><p data-id=ad data-role='menu'>too</p></main>", "kept\ntoo"),
+    ("<article><div data-id='sidebar' title='a class=ad here' xclass=ad><p>kept</p></div></article>", "kept"),
+    ("<div class='widget'><article><p>one</p></article><article><p>two</p></article></div>", "one\ntwo"),
+    ("<form id=menu><div class=sidebar><main><p>kept</p></main><p>gone</p></div></form>", "kept"),
+    ("<main><article>kept</article><div class=related><article>gone</article></div></main>", "kept"),
+    ("<div class=sidebar><article>kept<div class=comments><article>gone</article></div></article></div>", "kept"),
+    ("<div class=widget><main><article>kept</article><div class=related><article>gone</article></div></main></div>", "kept"),
+    ("<div class=widget><article>a<article>b</article></article><article>c</article></div>", "a\nb\nc"),
+    ("<article>kept<aside><article>gone</article></aside><div class='ad top'>gone</div> too</article>", "kept\ntoo"),
+    ("<article>kept<ul class='comment-list'><li>gone</ul><div class='site__footer'>gone</div></article>", "kept"),
+    ("<main>kept<div id=comments>gone</div><div class='Ad-Slot-12'>gone</div><b role=navigation>gone</b></main>", "kept"),
+)
+
+
+def test_marks_are_whole_names():
+    assert html_text.page_texts([p for p, _ in MARKED_PAGES]) == [t for _, t in MARKED_PAGES]
+
+
 # The pipeline
 
 
