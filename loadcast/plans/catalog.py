@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.config import BoostingParams, Config
+from loadcast.config import Config
 from loadcast.functions import dates
 from loadcast.operators import (
     encoders, incremental, metrics, model, profile, registry, serving, split, versions,
@@ -338,7 +338,7 @@ def _bundle(spark: SparkSession, sf_dir: str) -> model.Bundle:
     home = (spark.sparkContext.applicationId, sf_dir)
     if home not in _BUNDLES:
         path = scratch_path(spark, "bundle")
-        cfg = Config(split_date=SPLIT_DATE, boosting=BoostingParams(trees=10))
+        cfg = Config(split_date=SPLIT_DATE)
         encoded, fitted = encoders.encode(tables.store(inputs.features(spark, sf_dir), "features"), cfg)
         train, _ = split.parts(split.chrono_split(encoded, cfg.split_date))
         names = model.feature_names(train)

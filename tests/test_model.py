@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loadcast.config import BoostingParams, Config
 from loadcast.operators import model as model_ops
 from loadcast.operators.metrics import regression_metrics
-from loadcast.plans import inputs
+from loadcast.plans import catalog, inputs
 from loadcast.plans.daily import run_model_build, run_scoring
 from loadcast.schemas import FEATURES, MERGED
 from loadcast.sources.tables import store, write_days
@@ -73,6 +73,10 @@ def test_saved_bundle_scores_the_same(spark, run, planted):
     assert first == second
 
 
+def test_registered_queries_train_all_trees(spark, sf_dir):
+    assert catalog._bundle(spark, sf_dir).model.stages[-1].getNumTrees == BoostingParams().trees == 100
+
+
 def test_same_seed_same_model(spark, run, planted):
     _, built = run
     names = [c for c in FEATURES.fieldNames() if c not in ("date", "weather_category", "max_power")]
