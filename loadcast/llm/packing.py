@@ -5,9 +5,11 @@ sequences of their own. The others go to blocks of a few thousand, each packed i
 with room left is packed again in fewer blocks, until one block is left or another round would not help.
 
 In a block, a best-fit solution is the first incumbent. If it uses more sequences than the lower bound, a depth-first
-search takes the largest piece left, lists fillings around it that no other filling dominates, least waste first, and
-gives up a branch when its waste can no longer lead to a better solution. The search ends at the lower bound or after
-a stated number of steps; the incumbent holds in any case.
+search takes the largest piece left, tries fillings around it, and gives up a branch when its waste can no longer lead
+to a better solution. A first search tries a few greedy fillings at each step, least waste first; if it ends above the
+bound, a second one goes through every filling that no other dominates. Each ends at the lower bound or after a stated
+number of steps, so a block's packing is a minimum only if the bound is met or the second search comes to its end; the
+incumbent holds in any case.
 
 Null and empty texts are pieces of one id. Every input row gives its own pieces, also when rows are equal. An empty
 table gives an empty result.
@@ -18,6 +20,8 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -31,9 +35,10 @@ CAPACITY = 4096
 END_ID = 1
 # Tokens per block: about a thousand sequences, so at most one in a thousand is left open by a block.
 BLOCK_TOKENS = 1 << 22
-# Steps of the search per block, and fillings tried at each.
+# Steps of the first search per block, and greedy fillings tried at each; the second search has so many times the steps.
 SEARCH_STEPS = 4000
 FILLINGS = 6
+SECOND_STEPS = 10
 # Sequences with at most this many free places are closed for good.
 CLOSED_WASTE = 8
 
@@ -118,12 +123,8 @@ class _Left:
 
 
 def fillings(left: _Left, space: int, most: int) -> list[tuple[int, ...]]:
-    """Sets of pieces for the free space, least waste first, none dominated by another.
-
-    One piece dominates smaller pieces and any group that fits into its length, so there is one single filling, and
-    a pair counts only if it is longer than that and its second piece is the largest that fits. Groups of three and
-    more continue the pair's first pieces in the same way.
-    """
+    """Greedy sets of pieces for the free space, least waste first: the largest single piece, and after each first piece
+    the largest that fits each time."""
     single = left.largest_upto(space)
     if not single:
         return [()]
@@ -150,15 +151,71 @@ def fillings(left: _Left, space: int, most: int) -> list[tuple[int, ...]]:
     return sorted(found, key=lambda f: (found[f], len(f), f))[:most]
 
 
-def complete_bins(lengths: list[int], capacity: int, steps: int = SEARCH_STEPS) -> list[list[int]]:
-    """The packing of one block: best fit, improved by bin completion if it is above the lower bound."""
-    best = best_fit(lengths, capacity)
-    bound, total = lower_bound(lengths, capacity), sum(lengths)
-    if len(best) <= bound:
-        return best
-    left, path, waste = _Left(lengths), [], 0
-    # One entry per open level: the fillings still to try there.
-    choices: list[list[tuple[int, ...]]] = []
+def _spread(sums: int, most: int) -> int:
+    """The bits of `sums`, each moved up by every number from 1 to `most`."""
+    if not most:
+        return 0
+    out, reached = sums << 1, 1
+    while reached < most:
+        step = min(reached, most - reached)
+        out |= out << step
+        reached += step
+    return out
+
+
+def every_filling(sizes: list[int], counts: list[int], space: int, waste: int) -> Iterator[tuple[int, ...] | None]:
+    """Every undominated set of pieces that leaves at most `waste` of the free space; None after other steps.
+
+    A set is dominated if one more piece fits, or if a piece outside can take the place of pieces that are together
+    smaller, or of several that are together equal. `sizes` rise and are at most `space`.
+    """
+    counts, totals = list(counts), list(accumulate(s * c for s, c in zip(sizes, counts)))
+    everything = sum(1 << s for s in sizes)
+    picked: list[int] = []
+    room, at = space, len(sizes) - 1
+    while True:
+        at = min(at, bisect_right(sizes, room) - 1)
+        while at >= 0 and not counts[at]:
+            at -= 1
+        if at >= 0 and totals[at] >= room - waste:
+            yield None
+            picked.append(at)
+            counts[at] -= 1
+            room -= sizes[at]
+            continue
+        if room <= waste and not any(counts[:bisect_right(sizes, room)]):
+            outside = everything - sum(1 << sizes[i] for i in set(picked) if not counts[i])
+            sums = several = 0
+            for i in picked:
+                several |= sums << sizes[i]
+                sums |= sums << sizes[i] | 1 << sizes[i]
+            if not (several | _spread(sums, room)) & outside:
+                yield tuple(sizes[i] for i in picked)
+        if not picked:
+            return
+        at = picked.pop()
+        counts[at] += 1
+        room += sizes[at]
+        at -= 1
+
+
+def _greedy(left: _Left, space: int, waste: int) -> Iterator[tuple[int, ...] | None]:
+    return iter([f for f in fillings(left, space, FILLINGS) if space - sum(f) <= waste])
+
+
+def _every(left: _Left, space: int, waste: int) -> Iterator[tuple[int, ...] | None]:
+    sizes = left.sizes[:bisect_right(left.sizes, space)]
+    return every_filling(sizes, [left.counts[s] for s in sizes], space, waste)
+
+
+def _search(
+    lengths: list[int], capacity: int, best: list[list[int]], bound: int, steps: int,
+    listed: Callable[[_Left, int, int], Iterator[tuple[int, ...] | None]],
+) -> list[list[int]]:
+    """A packing better than `best` if the search finds one."""
+    left, path, waste, total = _Left(lengths), [], 0, sum(lengths)
+    # One entry per open level: its first piece, and the fillings still to try around it.
+    choices: list[tuple[int, Iterator[tuple[int, ...] | None]]] = []
     limit = (len(best) - 1) * capacity - total
 
     def undo() -> int:
@@ -168,7 +225,6 @@ def complete_bins(lengths: list[int], capacity: int, steps: int = SEARCH_STEPS)
         return capacity - sum(gone)
 
     while steps > 0:
-        steps -= 1
         if not left.sizes:
             if len(path) < len(best):
                 best = [list(p) for p in path]
@@ -179,26 +235,33 @@ def complete_bins(lengths: list[int], capacity: int, steps: int = SEARCH_STEPS)
         elif len(choices) == len(path):
             top = left.sizes[-1]
             left.take(top)
-            options = fillings(left, capacity - top, FILLINGS)
+            choices.append((top, listed(left, capacity - top, limit - waste)))
             left.give(top)
-            choices.append([(top, *o) for o in reversed(options)])
-        while choices and not choices[-1]:
+        top, options = choices[-1]
+        filling = next(options, False)
+        if filling is False:
             choices.pop()
             if not path:
-                return best
+                break
             waste -= undo()
-        if not choices:
-            break
-        chosen = choices[-1].pop()
-        spare = capacity - sum(chosen)
-        if waste + spare > limit:
-            # Later fillings of this level waste at least as much.
-            choices[-1].clear()
             continue
+        steps -= 1
+        if filling is None or waste + capacity - top - sum(filling) > limit:
+            continue
+        chosen = (top, *filling)
         for length in chosen:
             left.take(length)
         path.append(chosen)
-        waste += spare
+        waste += capacity - sum(chosen)
+    return best
+
+
+def complete_bins(lengths: list[int], capacity: int, steps: int = SEARCH_STEPS) -> list[list[int]]:
+    """The packing of one block: best fit, improved by bin completion if it is above the lower bound."""
+    best, bound = best_fit(lengths, capacity), lower_bound(lengths, capacity)
+    for listed, most in ((_greedy, steps), (_every, SECOND_STEPS * steps)):
+        if len(best) > bound:
+            best = _search(lengths, capacity, best, bound, most, listed)
     return best
 
 

@@ -151,6 +151,32 @@ def test_bin_completion_beats_best_fit():
     assert len(packing.complete_bins([2, 2, 2, 3, 3, 3, 5, 5, 5], 10)) == 3
 
 
+def fewest_bins(lengths, capacity):
+    """By all subsets: the fewest bins, and the least content of the last one."""
+    best = [(1, 0)] + [(len(lengths) + 1, 0)] * (2 ** len(lengths) - 1)
+    for chosen in range(1, len(best)):
+        for i, length in enumerate(lengths):
+            if chosen >> i & 1:
+                bins, used = best[chosen ^ 1 << i]
+                best[chosen] = min(best[chosen], (bins, used + length) if used + length <= capacity else (bins + 1, length))
+    return best[-1][0]
+
+
+def test_bin_completion_is_exact_on_small_cases():
+    rng = np.random.default_rng(5)
+    for _ in range(150):
+        lengths = rng.integers(8, 60, rng.integers(4, 11)).tolist()
+        found = packing.complete_bins(lengths, 100)
+        assert sorted(x for b in found for x in b) == sorted(lengths) and max(map(sum, found)) <= 100
+        assert len(found) == fewest_bins(lengths, 100)
+    # Pieces that fill their bins, for which greedy fillings end one bin above the minimum.
+    assert len(packing.complete_bins([62, 7, 31, 30, 68, 2, 70, 24, 6, 54, 40, 6], 100)) == 4
+    assert len(packing.complete_bins([332, 133, 76, 459, 87, 508, 85, 320, 40, 436, 297, 227], 1000)) == 3
+    found = list(packing.every_filling([10, 30, 35, 60], [1, 1, 1, 1], 100, 100))
+    assert {f for f in found if f} == {(60, 35), (60, 30, 10)}
+    assert list(packing.every_filling([], [], 7, 7)) == [()]
+
+
 # Rollups
 
 
