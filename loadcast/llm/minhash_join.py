@@ -34,8 +34,6 @@ from loadcast.session import lookup, materialize
 
 CHUNKS, WIDTH, BITS = 8, 5, 16
 SYMBOLS = CHUNKS * WIDTH
-# Pairs whose signatures agree in fewer symbols are no candidates: more than 4 deviations below what 0.8 gives.
-LEAST_EQUAL = 21
 # Buckets up to this size are compared pair by pair at once; larger ones first with one central member.
 SMALL_BUCKET = 8
 # Rows of a large bucket per part that meets the whole bucket in one task.
@@ -210,9 +208,8 @@ def _candidate(percent: int) -> Column:
     first = (spot % WIDTH == 0) | (differs(spot) == 1)
     for c in range(CHUNKS - 1):
         first = first & ((F.floor(chunk) <= c) | (per_chunk[c] > 1))
-    alike = SYMBOLS - sum(per_chunk[1:], per_chunk[0]) >= LEAST_EQUAL
     sizes = F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * percent
-    return sizes & first & alike
+    return sizes & first
 
 
 def _small_bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:

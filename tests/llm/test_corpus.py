@@ -353,6 +353,15 @@ def test_near_duplicates_equal_brute_force(docs, odd, empty, monkeypatch, size,
     assert minhash_join.near_duplicates(empty, size).isEmpty()
 
 
+def test_few_equal_symbols_are_compared(spark):
+    """A pair that shares one key and nothing else of its signatures goes to the exact check."""
+    one = list(range(minhash_join.SYMBOLS))
+    other = [v if v in (0, 1, 3, 4) else v + 1000 for v in one]
+    rows = [(7, 2, 1, 10, one), (7, 2, 2, 9, other), (7, 2, 3, 5, other)]
+    df = spark.createDataFrame(rows, "key long, spot int, node long, n_shingles long, signature array<int>")
+    assert [tuple(r) for r in minhash_join._small_bucket_pairs(df, 80).collect()] == [(1, 2)]
+
+
 def test_large_group_of_near_copies(spark):
     """A base with copies that each change a few words; some are too far from all others."""
     rng = np.random.default_rng(2)
