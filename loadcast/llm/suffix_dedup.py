@@ -10,8 +10,9 @@ equals. Neighbouring windows with one anchor form a segment, and equal windows s
 2. equal segments are one, with their first occurrence; windows of later occurrences repeat;
 3. anchors with several different segments are gathered into buckets, and a bucket's segments are suffix-sorted
    together: in each round every segment hands over one more symbol from its end, the collection's Burrows-Wheeler
-   transform gives the place of the longer suffix, and the common prefix with its new neighbours is updated. Large
-   buckets keep transform and prefixes in files that are read and written in sequence;
+   transform gives the place of the longer suffix, and the common prefix with its new neighbours is updated. Buckets
+   of `BUCKET_BYTES` stay in memory; beyond `IN_MEMORY` entries, which they do not near, transform and prefixes are
+   kept in files that are read and written in sequence;
 4. runs of suffixes that share `MATCH` bytes are equal windows; all but the first of each run repeat.
 
 An anchor with very many different segments (the edge of a passage that a large part of all documents share) would be
