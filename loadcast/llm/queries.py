@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadcast.llm import (
-    bpe, collision_knn, html_text, license_scan, minhash_join, packing, ppm, quality, rollups, suffix_dedup,
+    bpe, collision_knn, html_text, license_scan, minhash_join, packing, ppm, quality, ranked_search, rollups,
+    suffix_dedup, toxicity, word_runs,
 )
 from loadcast.llm.common import store, table
 from loadcast.session import scratch_path
@@ -74,11 +75,51 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs.run_digests(word_runs.cycled(table(spark, sf_dir, "documents")))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_token_counts, op3_collision_knn, op4_suffix_dedup, op5_minhash_near_dedup, op6_bpe,
-        op7_ppm_scores, op8_quality_rules, op9_license_scan, op10_html_text,
+        op7_ppm_scores, op8_quality_rules, op9_license_scan, op10_html_text, op11_word_runs, op12_toxicity,
+        op13_ranked_search,
     )
 }
 
-ORACLE: dict[str, str] = {}
+LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+TERMS = r"unnest(regexp_extract_all(translate(coalesce(text, ''), %s), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))" % LETTERS
+
+ORACLE: dict[str, str] = {
+    "op13_ranked_search": f"""
+        WITH held AS (SELECT doc_id, {TERMS} AS term FROM documents),
+        counts AS (SELECT doc_id, term, count(*) AS tf FROM held GROUP BY ALL),
+        sizes AS (SELECT doc_id, count(*) AS n FROM held GROUP BY ALL),
+        whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes),
+        norms AS (SELECT doc_id, 75 + (25 * n * docs) // words AS m FROM sizes, whole),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counts, whole GROUP BY term, docs
+        ),
+        wanted AS (SELECT item_id, {TERMS} AS term FROM benchmark),
+        asked AS (SELECT item_id, term, count(*) AS times FROM wanted GROUP BY ALL),
+        scored AS (
+            SELECT item_id, doc_id,
+                CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+            FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN norms USING (doc_id)
+            GROUP BY ALL
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+            doc_id, score
+        FROM scored WHERE score > 0
+        QUALIFY rank <= 20
+    """,
+}
