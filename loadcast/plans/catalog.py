@@ -18,7 +18,7 @@ from loadcast.operators.merge import daily_peak
 from loadcast.plans import inputs
 from loadcast.schemas import FEATURE_VERSIONS, FEATURES, MERGED, POWER_DAILY, TARGET
 from loadcast.session import scratch_path
-from loadcast.sources import files, tables
+from loadcast.sources import archives, files, tables
 from loadcast.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,14 +85,21 @@ def merged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_merged(spark, path, MERGED)
 
 
+# Far below the default, so that the small archives of the tests are read by several tasks as well.
+RANGE_BYTES = 128 << 10
+
+
+def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archives.read_zip_members(spark, inputs.write_power_archives(spark, sf_dir), RANGE_BYTES)
+    return found.withColumn("member", F.element_at(F.split("member", "/"), -1))
+
+
 def zip_member_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members = files.explode_zip(inputs.power_archives(spark, sf_dir))
-    return members.select("dt", "member").distinct()
+    return _members(spark, sf_dir).select("dt", "member").distinct()
 
 
 def _parsed_power(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members = files.explode_zip(inputs.power_archives(spark, sf_dir))
-    return files.parse_power_csv(members.withColumnRenamed("member", "source"))
+    return files.parse_power_csv(_members(spark, sf_dir).withColumnRenamed("member", "source"))
 
 
 def power_csv_parse(spark: SparkSession, sf_dir: str) -> DataFrame:

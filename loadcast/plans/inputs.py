@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +15,9 @@ from loadcast.operators.merge import merge_daily
 from loadcast.operators.ranking import first_per_key
 from loadcast.schemas import FEATURES
 from loadcast.session import scratch_path
-from loadcast.sources.files import ENCODING, POWER_COLUMN, POWER_HEADER_LINE, WEATHER_COLUMNS
+from loadcast.sources.archives import locate
+from loadcast.sources.files import POWER_COLUMN, POWER_HEADER_LINE, WEATHER_COLUMNS
+from loadcast.sources.records import ENCODING
 
 # The weather text for each remainder of l_partkey / 17; the last one is missing.
 WEATHER_TEXTS = (
@@ -73,42 +75,53 @@ def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged(spark, sf_dir).withColumn("predicted", guess)
 
 
-def power_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as `(path, content)` ZIP archives of Shift-JIS day files, one archive per Arrow batch.
+def write_power_archives(spark: SparkSession, sf_dir: str) -> str:
+    """All events as ZIP archives of Shift-JIS day files below a folder, one archive per task.
 
     Events of type `error` go to files without the reading column, and each archive carries a text member
     that is not a CSV file, so that both rules for bad input have work to do.
     """
+    path = scratch_path(spark, "power-archives")
     preamble = "\r\n".join(["電力使用状況,0"] * POWER_HEADER_LINE) + "\r\n"
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("readme.txt", "not a day file")
+        task = TaskContext.get()
+        store, folder = locate(path)
+        store.create_dir(folder, recursive=True)
+        name = f"{folder}/part-{task.partitionId():05d}"
+        # A task that runs again replaces its archive.
+        attempt = f"{name}.{task.taskAttemptId()}"
+        with store.open_output_stream(attempt) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("readme.txt", "not a day file")
+            for number, batch in enumerate(batches):
                 for (day, broken), rows in batch.groupby(["day", "broken"]):
                     column = "予備" if broken else POWER_COLUMN
                     lines = [f"DATE,TIME,{column}"]
                     lines += [f"{day},{at},{value!r}" for at, value in zip(rows["at"], rows["value"].tolist())]
                     kind = "broken" if broken else "power"
                     body = preamble + "\r\n".join(lines) + "\r\n"
-                    archive.writestr(f"{day}_{kind}_usage.csv", body.encode(ENCODING))
-            yield pd.DataFrame({"path": [f"batch-{batch['event_id'].min()}.zip"], "content": [buffer.getvalue()]})
+                    archive.writestr(f"{number}/{day}_{kind}_usage.csv", body.encode(ENCODING))
+        store.move(attempt, f"{name}.zip")
+        yield pd.DataFrame({"archive": [f"{name}.zip"]})
 
     events = table(spark, sf_dir, "events").select(
-        "event_id",
         F.date_format("ts", "yyyyMMdd").alias("day"),
         F.date_format("ts", "HH:mm").alias("at"),
         "value",
         (F.col("event_type") == "error").alias("broken"),
     )
-    return events.mapInPandas(pack, "path string, content binary")
+    events.mapInPandas(pack, "archive string").write.format("noop").mode("overwrite").save()
+    return path
 
 
 def write_weather_files(spark: SparkSession, sf_dir: str) -> str:
-    """All observations as Shift-JIS weather files with preamble and header, one file per task."""
+    """All observations as Shift-JIS weather files with preamble and header, one file per task.
+
+    Every other line item carries a quoted remark with quotes, a comma and a line end."""
     path = scratch_path(spark, "weather-files")
-    names = [WEATHER_COLUMNS[c] for c in ("date", "max_temp", "max_temp", "min_temp", "weather")]
+    high = [WEATHER_COLUMNS[c] for c in ("date", "max_temp", "max_temp", "min_temp")]
+    names = [*high, "備考", WEATHER_COLUMNS["weather"]]
+    remark = F.when(F.col("l_linenumber") % 2 == 0, '"注意\n""2"", 続き"').otherwise("")
     opening = ["地点", "", "東京", ",".join(names), "品質", "均質"]
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -125,6 +138,7 @@ def write_weather_files(spark: SparkSession, sf_dir: str) -> str:
         F.col("max_temp").cast("string"),
         F.lit("999"),
         F.col("min_temp").cast("string"),
+        remark,
         F.coalesce("weather", F.lit("")),
     )
     raw = obs(spark, sf_dir).select(line.alias("line")).mapInPandas(lines, "raw binary")

@@ -1,28 +1,24 @@
 """Raw archives and Shift-JIS CSV files as DataFrames.
 
-Python opens archives, decodes Shift-JIS and cuts lines into fields; column lookup, dates, numbers and error
-rules over long files are native. Every parser returns an `error` column next to the data: `accept` keeps the good rows or fails on the
+Python opens archives, decodes Shift-JIS and cuts records into fields; column lookup, dates, numbers and error rules
+are native. Every parser returns an `error` column next to the data: `accept` keeps the good rows or fails on the
 first bad one, `bad_report` lists what was left out.
 """
 
 from __future__ import annotations
 
-import csv
 import io
 import zipfile
-from collections.abc import Iterator, Sequence
-from itertools import groupby
+from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadcast.functions.dates import coerce_number, coerce_slash_date, date_from_filename
-from loadcast.session import lookup
+from loadcast.sources.records import ENCODING, UNCLOSED, Layout, cut_records, decode_fields, read_records
 
-ENCODING = "shift_jis"
 # Layout and column names of the published files. The dash in the weather column is U+301C.
 POWER_HEADER_LINE = 54
 POWER_COLUMN = "当日実績(５分間隔値)(万kW)"
@@ -40,10 +36,7 @@ MISSING_TEXTS = (
     "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 MEMBERS = "archive string, member string, content binary, error string"
-LINES = "source string, line_no long, fields array<string>, error string"
-READINGS = "source string, dt date, position int, value double, error string"
 FLUSH_BYTES = 32 * 1024 * 1024
-FLUSH_ROWS = 100_000
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -106,175 +99,96 @@ def parse_power_csv(
 ) -> DataFrame:
     """`(source, dt, position, value, error)`: the readings of each file, found under the column's name.
 
-    `files` holds `(source, dt, content)` and, from archives, an `error`. A file is small (one day), so
-    it is read whole inside its task. A file without the column or with a bad number yields one error
-    row and no reading, as the whole file is then left out; an empty one yields a missing reading.
+    `files` holds `(source, dt, content)` and, from archives, an `error`. A file is small (one day), so it is one row
+    whose records are an array. A file without the column, with a bad number, an unclosed quote or a record longer than
+    its header yields one error row and no reading, as the whole file is then left out; an empty one yields a missing
+    reading. Fields count from the header's; spaces after a comma are dropped.
     """
     known = F.col("error") if "error" in files.columns else F.lit(None).cast("string")
     undated = F.when(F.col("dt").isNull(), "no date in the file name")
     listed = files.select("source", "dt", "content", F.coalesce(known, undated).alias("error"))
 
-    def readings(content: bytes) -> pd.Series:
-        table = pd.read_csv(io.BytesIO(content), encoding=ENCODING, skiprows=skip, skipinitialspace=True)
-        if column not in table.columns:
-            raise ValueError("missing column")
-        try:
-            return pd.to_numeric(table[column])
-        except (ValueError, TypeError):
-            raise ValueError("not a number") from None
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Decoded fields of the records from the header on."""
         for batch in batches:
-            parts, held = [], 0
-            for source, day, content, error in batch.itertuples(index=False):
-                values = pd.Series([None], dtype=float)
+            rows, errors, held = [], [], 0
+            first = 0
+            for i, (content, error) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                fields = None
                 if error is None:
-                    try:
-                        found = readings(content)
-                        values = found if len(found) else values
-                    except UnicodeDecodeError:
-                        error = "undecodable text"
-                    except (pd.errors.ParserError, pd.errors.EmptyDataError):
-                        error = "unreadable file"
-                    except ValueError as broken:
-                        error = str(broken)
-                position = range(len(values)) if error is None else [None]
-                parts.append(pd.DataFrame({
-                    "source": source, "dt": day, "position": pd.Series(position, dtype="Int32"),
-                    "value": values.astype(float).to_numpy(), "error": error,
-                }))
-                held += len(values)
-                if held > FLUSH_ROWS:
-                    yield pd.concat(parts)
-                    parts, held = [], 0
-            if parts:
-                yield pd.concat(parts)
-
-    parsed = listed.mapInPandas(parse, READINGS)
+                    fields, error = file_fields(content, skip)
+                    held += len(content)
+                rows.append(fields)
+                errors.append(error)
+                if held > FLUSH_BYTES or i == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).slice(first, len(rows)), batch.column(1).slice(first, len(rows)),
+                            pa.array(rows, pa.list_(pa.list_(pa.string()))), pa.array(errors, pa.string()),
+                        ],
+                        ["source", "dt", "records", "error"],
+                    )
+                    rows, errors, held, first = [], [], 0, i + 1
+
+    schema = "source string, dt date, records array<array<string>>, error string"
+    opened = listed.mapInArrow(cut, schema)
+    header = F.get("records", F.lit(0))
+    spot = F.array_position(header, column).cast("int")
+    body = F.slice("records", 2, F.greatest(F.size("records") - 1, F.lit(0)))
+    fields = opened.select(
+        "source", "dt", "error", F.size(header).alias("_width"), spot.alias("_spot"), body.alias("_body")
+    )
+    texts = F.transform("_body", lambda r: F.get(r, F.col("_spot") - 1))
+    longest = F.array_max(F.transform("_body", F.size))
+    found = fields.select(
+        "source", "dt",
+        F.when(F.col("error").isNotNull(), F.col("error"))
+        .when(F.col("_width").isNull() | (longest > F.col("_width")), "unreadable file")
+        .when(F.coalesce(F.col("_spot"), F.lit(0)) == 0, "missing column").alias("error"),
+        F.when(F.col("_spot") > 0, texts).alias("_texts"),
+    )
+    values = F.transform("_texts", lambda t: F.struct(_present(t).alias("text"), coerce_number(t).alias("value")))
+    typed = found.select("source", "dt", "error", values.alias("_values"))
+    unread = F.exists("_values", lambda v: v["text"].isNotNull() & v["value"].isNull())
+    error = F.when(F.col("error").isNotNull(), F.col("error")).when(unread, "not a number")
+    missing = F.array(F.struct(F.lit(None).cast("string").alias("text"), F.lit(None).cast("double").alias("value")))
+    readings = F.when(error.isNull(), F.when(F.size("_values") > 0, F.col("_values")).otherwise(missing))
+    parsed = typed.select("source", "dt", error.alias("error"), F.posexplode_outer(readings).alias("position", "_one"))
+    parsed = parsed.select("source", "dt", "position", F.col("_one.value").alias("value"), "error")
     return accept(parsed, strict=True) if strict else parsed
 
 
-def _cut(text: str) -> list[str]:
-    return next(csv.reader([text]), []) if '"' in text else text.split(",")
-
-
-def _fields(lines: list[bytes]) -> tuple[list[list[str] | None], list[str | None]]:
-    """Fields and errors per line; a batch is decoded at once unless one of its lines is broken."""
+def file_fields(content: bytes, skip: int) -> tuple[list[list[str]] | None, str | None]:
+    """Fields of the records of a whole file after its first `skip` lines, blank ones left out, or an error."""
     try:
-        texts = b"\n".join(lines).decode(ENCODING).split("\n") if lines else []
-        return [_cut(text) for text in texts], [None] * len(texts)
+        content.decode(ENCODING)
     except UnicodeDecodeError:
-        fields, errors = [], []
-        for line in lines:
-            try:
-                fields.append(_cut(line.decode(ENCODING)))
-                errors.append(None)
-            except UnicodeDecodeError:
-                fields.append(None)
-                errors.append("undecodable text")
-        return fields, errors
-
-
-def _line_batch(sources: list[str], numbers: list[int | None], lines: list[bytes]) -> pa.RecordBatch:
-    fields, errors = _fields(lines)
-    table = pa.RecordBatch.from_arrays(
-        [
-            pa.array(sources, pa.string()), pa.array(numbers, pa.int64()),
-            pa.array(fields, pa.list_(pa.string())), pa.array(errors, pa.string()),
-        ],
-        ["source", "line_no", "fields", "error"],
-    )
-    blank = pa.array([f == [""] for f in fields], pa.bool_())
-    return table.filter(pc.invert(blank))
+        return None, "undecodable text"
+    records, inside = cut_records(content.splitlines()[skip:], skip_space=True)
+    if inside:
+        return None, UNCLOSED
+    fields, _ = decode_fields([record for _, record in records], skip_space=True)
+    return [f for f in fields if f != [""]], None
 
 
-def read_lines(spark: SparkSession, path: str, pattern: str = "*.csv", head: int | None = None) -> DataFrame:
-    """`(source, line_no, fields, error)` of the non-blank lines of Shift-JIS CSV files of any size.
+WEATHER_LAYOUT = Layout(WEATHER_COLUMNS, WEATHER_HEADER_LINE, WEATHER_SKIPPED_LINES)
 
-    Large files are split: no Shift-JIS character holds a line-end byte, so raw lines can be cut before
-    they are decoded. Lines are numbered in the first block of a file, where the preamble lies; further
-    lines have no number. With `head` only that many lines of each file are decoded and returned. A
-    quoted field must end on its own line.
-    """
-    raw = (
-        spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(path)
-        .select(
-            F.col("_metadata.file_path").alias("source"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.col("value").cast("binary").alias("raw"),
-        )
-    )
-    if head is not None:
-        raw = raw.filter("start = 0")
 
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, line_no = None, 0
-        for batch in batches:
-            # A batch holds a few runs of lines, each from one block of one file.
-            blocks = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            for block, run in groupby(range(len(blocks)), blocks.__getitem__):
-                rows = list(run)
-                if block != current:
-                    current, line_no = block, 0
-                count = len(rows) if head is None else max(0, min(len(rows), head - line_no))
-                if count:
-                    lines = batch.column(2).slice(rows[0], count).to_pylist()
-                    numbers = range(line_no, line_no + count) if block[1] == 0 else [None] * count
-                    yield _line_batch([block[0]] * count, list(numbers), lines)
-                line_no += len(rows)
-
-    return raw.mapInArrow(numbered, LINES)
-
-
-def lines_of(files: DataFrame) -> DataFrame:
-    """The same shape from `(source, content)` rows."""
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for source, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                lines = content.splitlines()
-                yield _line_batch([source] * len(lines), list(range(len(lines))), lines)
-
-    return files.select("source", "content").mapInArrow(numbered, LINES)
-
-
-def read_weather(spark: SparkSession, path: str, pattern: str = "*.csv", strict: bool = False) -> DataFrame:
-    """The weather files below a folder, parsed; the headers come from a pass that decodes nothing else."""
-    heads = read_lines(spark, path, pattern, head=WEATHER_HEADER_LINE + 1)
-    return parse_weather_csv(read_lines(spark, path, pattern), strict=strict, heads=heads)
+def read_weather(
+    spark: SparkSession, path: str, pattern: str = "*.csv", strict: bool = False, layout: Layout = WEATHER_LAYOUT
+) -> DataFrame:
+    """The weather files below a folder, parsed."""
+    return parse_weather_csv(read_records(spark, path, layout, pattern), strict)
 
 
-def parse_weather_csv(
-    lines: DataFrame,
-    skip: Sequence[int] = WEATHER_SKIPPED_LINES,
-    header_line: int = WEATHER_HEADER_LINE,
-    columns: dict[str, str] = WEATHER_COLUMNS,
-    strict: bool = False,
-    heads: DataFrame | None = None,
-) -> DataFrame:
-    """`(source, date, max_temp, min_temp, weather, error)` per data line.
+def parse_weather_csv(records: DataFrame, strict: bool = False) -> DataFrame:
+    """`(source, date, max_temp, min_temp, weather, error)` per record, see `records.read_records`.
 
-    Columns are found by the header of their own file alone; of repeated names the first counts, and a file
-    without a header has no columns, whatever lies next to it. The headers, one row per file, are looked up.
+    Columns are found by the header of their own file alone; a file without a header has no columns, whatever lies
+    next to it.
     """
-    spots = [
-        F.coalesce(F.array_position("fields", name).cast("int"), F.lit(0)).alias(f"_at_{key}")
-        for key, name in columns.items()
-    ]
-    first = lines if heads is None else heads
-    headers = first.filter(F.col("line_no") == header_line).select(F.col("source").alias("_file"), *spots)
-    dropped = F.coalesce(F.col("line_no").isin(*skip, header_line), F.lit(False))
-    body = lines.filter(~dropped)
-    joined = body.join(lookup(headers), F.col("source") == F.col("_file"), "left")
-
-    # Texts, typed values and errors are three steps, so that no text is parsed more often than needed.
-    texts = joined.select(
-        "source",
-        "error",
-        (F.least(*[F.coalesce(F.col(f"_at_{k}"), F.lit(0)) for k in columns]) == 0).alias("_absent"),
-        *[F.when(F.col(f"_at_{k}") > 0, F.get("fields", F.col(f"_at_{k}") - 1)).alias(f"_{k}") for k in columns],
-    )
-    typed = texts.withColumns({
+    # Texts, typed values and errors are separate steps, so that no text is parsed more often than needed.
+    typed = records.withColumns({
         "date": coerce_slash_date(F.col("_date")),
         "max_temp": coerce_number(F.col("_max_temp")),
         "min_temp": coerce_number(F.col("_min_temp")),

@@ -1,11 +1,14 @@
+import csv
 import datetime as dt
 import io
+import itertools
 import zipfile
 
 import pytest
 
 from loadcast.functions import dates
-from loadcast.sources import files
+from loadcast.sources import archives as archive_source
+from loadcast.sources import files, records
 from pyspark.sql import functions as F
 
 POWER = files.POWER_COLUMN
@@ -91,30 +94,123 @@ def test_weather_csv(spark, tmp_path):
         ("n.csv", "undecodable text"): 1,
     }
     with pytest.raises(Exception, match="bad date|missing column|not a number|undecodable"):
-        files.parse_weather_csv(files.read_lines(spark, str(tmp_path)), strict=True).collect()
+        files.read_weather(spark, str(tmp_path), strict=True).collect()
 
 
-def test_a_split_weather_file_gives_every_line_once(spark, tmp_path):
+@pytest.fixture
+def small_splits(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def use(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+
+    yield use
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_split_weather_file_gives_every_line_once(spark, tmp_path, small_splits):
     days = [dt.date(2000, 1, 1) + dt.timedelta(days=i % 9000) for i in range(40000)]
     rows = [f"{d.year}/{d.month}/{d.day},{i},0,1,晴後曇" for i, d in enumerate(days)]
     (tmp_path / "w.csv").write_bytes(weather_csv(rows))
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
-    try:
-        lines = files.read_lines(spark, str(tmp_path))
-        assert lines.rdd.getNumPartitions() > 4
+    small_splits(64 * 1024)
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 4
+    got = files.read_weather(spark, str(tmp_path), strict=True)
+    assert sorted(r.max_temp for r in got.collect()) == list(range(40000))
+
+
+def test_quoted_line_ends_at_every_border(spark, tmp_path, small_splits):
+    """The border between splits goes through quoted fields, quotes and line ends, and over fields of several splits."""
+    texts = ["晴", 'a\n"b", c', "\n" * 5, '"' * 3, "x" * 40 + "\n" + "y" * 150 + "\nz", "雨,\n曇", "", 'in 5" of']
+    rows, wanted = [], []
+    for i in range(60):
+        text = texts[i % len(texts)]
+        quoted = text if i % 8 in (0, 7) else '"' + text.replace('"', '""') + '"'
+        rows.append(f"2024/1/{i % 28 + 1},{i},9,1,{quoted}")
+        wanted.append((float(i), text or None))
+    (tmp_path / "w.csv").write_bytes(weather_csv(rows))
+    wanted = [(n, None if t is None or not t.strip(" ") else t) for n, t in wanted]
+    for size in (120, 131, 150, 256, 1000):
+        small_splits(size)
         got = files.read_weather(spark, str(tmp_path), strict=True)
-        assert sorted(r.max_temp for r in got.collect()) == list(range(40000))
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        assert sorted((r.max_temp, r.weather) for r in got.collect()) == wanted, size
+    whole = spark.createDataFrame([("s", bytearray((tmp_path / "w.csv").read_bytes()))], "source string, content binary")
+    found = files.parse_weather_csv(records.records_of(whole, files.WEATHER_LAYOUT), strict=True)
+    assert sorted((r.max_temp, r.weather) for r in found.collect()) == wanted
 
 
-def test_lines_of_contents(spark):
+def test_unclosed_and_long_fields_are_errors(spark, tmp_path, small_splits, monkeypatch):
+    (tmp_path / "open.csv").write_bytes(weather_csv(["2024/1/1,1,9,1,雨"] * 3 + ['2024/1/2,2,9,1,"雨'] + ["2024/1/3,1,9,1,雨"] * 9))
+    (tmp_path / "fine.csv").write_bytes(weather_csv([f"2024/1/1,{i},9,1,雨" for i in range(20)]))
+    for size in (130, 1 << 27):
+        small_splits(size)
+        parsed = files.read_weather(spark, str(tmp_path))
+        assert files.accept(parsed).count() == 23
+        report = [(r.source[-8:], r.error, r.n) for r in files.bad_report(parsed).collect()]
+        assert report == [("open.csv", "unclosed quote", 1)]
+
+
+def test_open_ends_of_lines():
+    for line, skip in itertools.product(("".join(c) for n in range(6) for c in itertools.product('",a ', repeat=n)), (False, True)):
+        for inside in (False, True):
+            text = ('"' if inside else "") + line + "\n"
+            rows = list(csv.reader([text, 'z"'], skipinitialspace=skip))
+            assert records.ends_inside(line.encode(), inside, skip) == (len(rows) == 1), (line, inside)
+
+
+def test_records_of_contents(spark):
     df = spark.createDataFrame([("s", bytearray(weather_csv(["2024/4/1,1,2,3,雪"])))], "source string, content binary")
-    row = files.parse_weather_csv(files.lines_of(df)).first()
+    row = files.parse_weather_csv(records.records_of(df, files.WEATHER_LAYOUT)).first()
     assert tuple(row)[1:] == (dt.date(2024, 4, 1), 1.0, 3.0, "雪", None)
 
 
+def test_one_archive_feeds_many_tasks(spark, tmp_path):
+    members = {f"d/202404{d:02d}_power_usage.csv": power_csv([d] * 300) for d in range(1, 31)}
+    (tmp_path / "a.zip").write_bytes(archive({**members, "readme.txt": "x"}))
+    (tmp_path / "broken.zip").write_bytes(b"not a zip")
+    (tmp_path / "empty.zip").write_bytes(b"")
+    size = (tmp_path / "a.zip").stat().st_size
+    found = archive_source.read_zip_members(spark, str(tmp_path), range_bytes=size // 5)
+    rows = found.withColumn("task", F.spark_partition_id()).collect()
+    good = [r for r in rows if r.error is None]
+    assert {r.member: bytes(r.content) for r in good} == members and len(good) == 30
+    assert len({r.task for r in good}) >= 4 and {r.dt.day for r in good} == set(range(1, 31))
+    assert sorted((r.archive[-10:], r.error) for r in rows if r.error) == [
+        ("/empty.zip", "not a ZIP archive"), ("broken.zip", "not a ZIP archive"),
+    ]
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(str(tmp_path)).select("path", "length")
+    again = archive_source.zip_members(listed, size // 5).collect()
+    # Listings for Spark leave files without bytes out.
+    rows = [r for r in rows if not r.archive.endswith("empty.zip")]
+    assert sorted((r.member or "", r.error or "") for r in again) == sorted((r.member or "", r.error or "") for r in rows)
+
+
+def test_a_damaged_member_is_one_error(spark, tmp_path):
+    content = bytearray(archive({"20240401_a.csv": power_csv(range(200)), "20240402_a.csv": power_csv([1])}))
+    content[80:120] = bytes(40)
+    (tmp_path / "a.zip").write_bytes(content)
+    rows = sorted(archive_source.read_zip_members(spark, str(tmp_path)).collect(), key=lambda r: r.member)
+    assert rows[0].error.startswith("unreadable member") and rows[1].error is None
+
+
+@pytest.mark.parametrize("content, error", [
+    (b"", "unreadable file"), (b"a\n" * 54 + b'x,"y\n1,2\n', "unclosed quote"), (b"a\n" * 54 + b"x,y\n1,2,3\n", "unreadable file"),
+])
+def test_unreadable_power_files(spark, content, error):
+    df = spark.createDataFrame([("s", dt.date(2024, 1, 1), bytearray(content))], "source string, dt date, content binary")
+    assert [(r.value, r.error) for r in files.parse_power_csv(df).collect()] == [(None, error)]
+
+
+def test_power_file_with_spaces_quotes_and_no_rows(spark):
+    body = "\n".join([*PREAMBLE, "", f'DATE, "{POWER}" ,"a\nb"', '2024/4/1,  "12" , "x\n, y"', "", "2024/4/1", "2024/4/1, n/a,"])
+    empty = "\n".join([*PREAMBLE, f"DATE,{POWER}", ""])
+    df = spark.createDataFrame(
+        [(n, dt.date(2024, 1, 1), bytearray(t.encode("shift_jis"))) for n, t in (("s", body.replace('" ,', '",')), ("e", empty))],
+        "source string, dt date, content binary",
+    )
+    got = sorted((r.source, r.position, r.value, r.error) for r in files.parse_power_csv(df).collect())
+    assert got == [("e", 0, None, None), ("s", 0, 12.0, None), ("s", 1, None, None), ("s", 2, None, None)]
+
+
 def one(spark, text, fn):
     return spark.createDataFrame([(text,)], "t string").select(fn(F.col("t"))).first()[0]
 
