@@ -30,13 +30,14 @@ def unprocessed_dates(
     def days(side: DataFrame) -> DataFrame:
         return side.select(F.col(col).cast("date").alias("date"))
 
+    def fresh(side: DataFrame) -> DataFrame:
+        return days(side).filter(F.col("date") > F.lit(watermark)) if done is None else days(side)
+
     # Each side shrinks to its days before they meet: rows never travel, however many a day has.
-    both = days(power).distinct().join(days(weather).distinct(), "date", "left_semi")
-    if done is None:
-        fresh = both.filter(F.col("date") > F.lit(watermark))
-    else:
-        fresh = both.join(days(done).distinct(), "date", "left_anti")
-    return fresh.orderBy("date")
+    both = fresh(power).distinct().join(fresh(weather).distinct(), "date", "left_semi")
+    if done is not None:
+        both = both.join(days(done).distinct(), "date", "left_anti")
+    return both.orderBy("date")
 
 
 def read_watermark(control: DataFrame, job: str, default: dt.date = FIRST_WATERMARK) -> dt.date:

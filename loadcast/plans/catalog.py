@@ -15,11 +15,11 @@ from loadcast.operators import (
 )
 from loadcast.operators import features as feature_ops
 from loadcast.operators.merge import daily_peak
-from loadcast.plans import inputs
-from loadcast.schemas import FEATURE_VERSIONS, FEATURES, MERGED, POWER_DAILY, TARGET
+from loadcast.plans import daily, inputs
+from loadcast.schemas import FEATURE_VERSIONS, FEATURES, MERGED, POWER_DAILY, TARGET, WEATHER_DAILY
 from loadcast.session import scratch_path
 from loadcast.sources import archives, files, tables
-from loadcast.streaming import jobs
+from loadcast.streaming import jobs, late
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -404,15 +404,62 @@ def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives land twice over the same checkpoint; the second run finds nothing new."""
     path = scratch_path(spark, "stream-files")
-    archives = inputs.power_archives(spark, sf_dir)
-    archives.write.parquet(f"{path}/in")
+    source = inputs.write_power_archives(spark, sf_dir)
     for _ in range(2):
-        arriving = jobs.stream_parquet(spark, f"{path}/in", archives.schema)
-        jobs.run_available(arriving, f"{path}/checkpoint", each_batch=jobs.landing_batch_writer(f"{path}/table"))
+        _land_archives(spark, source, path)
     landed = spark.read.schema("dt date, member string").parquet(f"{path}/table")
     return landed.groupBy("dt").agg(F.count("member").alias("members"))
 
 
+def _land_archives(spark: SparkSession, source: str, path: str) -> None:
+    writer = jobs.landing_batch_writer(f"{path}/table", f"{path}/ledger")
+    jobs.run_available(jobs.stream_archives(spark, source), f"{path}/checkpoint", each_batch=writer)
+
+
+def daily_merge_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From archives and weather files to the merged table; a second run of the whole chain is idle."""
+    path, first = scratch_path(spark, "daily-raw"), dt.date(1900, 1, 1)
+    power = inputs.write_daily_archives(spark, sf_dir)
+    observed = inputs.write_weather_files(spark, sf_dir, inputs.weather_daily(spark, sf_dir))
+    moved = []
+    for run in range(2):
+        _land_archives(spark, power, f"{path}/power")
+        if not run:
+            weather = files.read_weather(spark, observed, "*.txt", strict=True)
+            tables.write_by_day(weather.select(*WEATHER_DAILY.fieldNames()), f"{path}/weather")
+        moved.append(daily.run_daily_merge_from_raw(
+            spark, f"{path}/power/table", f"{path}/weather", f"{path}/merged", f"{path}/control",
+            dt.datetime(2024, 12, 31 - run), first=first,
+        ))
+    assert moved[0] is not None and moved[1] is None
+    return tables.read_merged(spark, f"{path}/merged", MERGED)
+
+
+def stream_late_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day's highest reading arrives after all others: it raises the peaks of the last ten days, and is refused for
+    the days before."""
+    path, limit = scratch_path(spark, "late-peaks"), dt.timedelta(days=10)
+    events = inputs.table(spark, sf_dir, "events").select("ts", "value")
+    day = F.to_date("ts").alias("day")
+    tops = events.groupBy(day).agg(F.max("value").alias("top"))
+    marked = events.join(F.broadcast(tables.store(tops, "tops")), day == F.col("day")).select(
+        "ts", "value", (F.col("value") == F.col("top")).alias("late")
+    )
+    marked = tables.store(marked, "marked")
+    with late.late_state(spark):
+        for arrives in (False, True):
+            marked.filter(F.col("late") == arrives).select("ts", "value").write.mode("append").parquet(f"{path}/in")
+            arriving = jobs.stream_parquet(spark, f"{path}/in", events.schema)
+            changes = late.corrected_peak_stream(arriving, limit)
+            jobs.run_available(changes, f"{path}/checkpoint", f"{path}/table")
+    found = spark.read.schema(changes.schema).parquet(f"{path}/table")
+    refused = F.col("kind") == late.REFUSED
+    return found.groupBy("date").agg(
+        F.max(F.when(~refused, F.col("max_power"))).alias("max_power"),
+        F.coalesce(F.sum(F.when(refused, F.col("readings"))), F.lit(0)).alias("refused"),
+    )
+
+
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stream-score")
     inputs.merged(spark, sf_dir).write.parquet(f"{path}/in")
@@ -479,5 +526,7 @@ QUERIES: dict[str, Query] = {
     "stream_daily_peak": stream_daily_peak,
     "stream_features": stream_features,
     "stream_new_files": stream_new_files,
+    "stream_late_peaks": stream_late_peaks,
+    "daily_merge_from_raw": daily_merge_from_raw,
     "stream_score": stream_score,
 }

@@ -9,17 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadcast.config import Config
+from loadcast.operators.control import ControlLog, Watermark
 from loadcast.operators.encoders import encode
 from loadcast.operators.features import make_features
-from loadcast.operators.incremental import batch_watermark, needs_run, read_watermark, unprocessed_dates
+from loadcast.operators.incremental import FIRST_WATERMARK, batch_watermark, needs_run, unprocessed_dates
 from loadcast.operators.merge import daily_peak, merge_daily
 from loadcast.operators.metrics import metrics_json, quality_gate, regression_metrics, write_metrics_csv
 from loadcast.operators.model import Bundle, feature_importance, feature_names, fit_gbt, predict, save_bundle, score
 from loadcast.operators.serving import format_predictions, parse_requests
 from loadcast.operators.split import chrono_split, parts
 from loadcast.operators.versions import append_versions, latest_features, stamp_versions
-from loadcast.schemas import FEATURE_VERSIONS, FEATURES, MERGED, TARGET, WATERMARK
+from loadcast.schemas import FEATURE_VERSIONS, FEATURES, MEMBERS_LANDED, MERGED, TARGET, WEATHER_DAILY
 from loadcast.session import lookup, materialize
+from loadcast.sources.files import parse_power_csv
+from loadcast.sources.landing import landed_days, read_landed_days
 from loadcast.sources.tables import read_merged, store, write_days, write_matrix
 
 ETL_JOB = "etl_data"
@@ -36,20 +39,55 @@ def run_daily_merge(
 ) -> dt.date | None:
     """Merge the days not yet processed and move the watermark; returns the new watermark, or None if idle.
 
-    `readings` is `(ts, value)`, `weather` the daily table. The control table is append-only and the
-    highest day counts, so a crash between the two writes only repeats the batch: overwriting its days
-    again gives the same table.
+    `readings` is `(ts, value)`, `weather` the daily table. A crash between the two writes only repeats the batch:
+    overwriting its days again gives the same table.
     """
-    control = spark.read.schema(WATERMARK).parquet(control_path)
+    log = ControlLog(spark, control_path)
+    seen = log.read(job)
     landed = readings.select(F.to_date("ts").alias("date")).distinct()
-    days = lookup(unprocessed_dates(landed, weather, read_watermark(control, job)))
+    days = lookup(unprocessed_dates(landed, weather, seen.day))
     if not needs_run(days):
         return None
     dated = readings.withColumn("_day", F.to_date("ts")).join(days.withColumnRenamed("date", "_day"), "_day", "left_semi")
     power = daily_peak(dated.drop("_day"), strict=True)
-    write_days(merge_daily(weather.join(days, "date", "left_semi"), power).select(*MERGED.fieldNames()), merged_path)
+    return _merge_and_advance(weather.join(days, "date", "left_semi"), power, days, merged_path, log, seen, now)
+
+
+def run_daily_merge_from_raw(
+    spark: SparkSession,
+    power_path: str,
+    weather_path: str,
+    merged_path: str,
+    control_path: str,
+    now: dt.datetime,
+    job: str = ETL_JOB,
+    first: dt.date = FIRST_WATERMARK,
+) -> dt.date | None:
+    """The same from landed raw days: members of power archives as `landing_batch_writer` lands them, and daily weather.
+
+    The days at hand come from names alone, and only the folders of unprocessed days are read.
+    """
+    log = ControlLog(spark, control_path)
+    seen = log.read(job, first)
+    found = unprocessed_dates(landed_days(spark, power_path), landed_days(spark, weather_path), seen.day)
+    # The filter says again what holds anyway: with it the scans below are pruned at run time.
+    days = lookup(found).filter(F.col("date") > F.lit(seen.day))
+    if not needs_run(days):
+        return None
+    members = read_landed_days(spark, power_path, MEMBERS_LANDED, days)
+    power = daily_peak(parse_power_csv(members, strict=True), ts="dt", strict=True)
+    weather = read_landed_days(spark, weather_path, WEATHER_DAILY, days).select(*WEATHER_DAILY.fieldNames())
+    return _merge_and_advance(weather, power, days, merged_path, log, seen, now)
+
+
+def _merge_and_advance(
+    weather: DataFrame, power: DataFrame, days: DataFrame, merged_path: str, log: ControlLog, seen: Watermark,
+    now: dt.datetime,
+) -> dt.date:
+    """Write the merged days and move the watermark; a writer that another has overtaken is refused."""
+    write_days(merge_daily(weather, power).select(*MERGED.fieldNames()), merged_path)
     last = batch_watermark(days).first()[0]
-    spark.createDataFrame([(job, last, now)], WATERMARK).write.mode("append").parquet(control_path)
+    log.advance(seen, last, now)
     return last
 
 

@@ -114,14 +114,45 @@ def write_power_archives(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def write_weather_files(spark: SparkSession, sf_dir: str) -> str:
+SLOTS = 288
+
+
+def write_daily_archives(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as one Shift-JIS day file of at most 288 readings each, in one ZIP archive a month, as they are published."""
+    path = scratch_path(spark, "daily-archives")
+    slot = F.col("o_orderkey") % SLOTS
+    readings = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("date"), slot.alias("slot")).agg(
+        (F.max("o_totalprice") / 100).alias("value")
+    )
+    at = F.format_string("%d:%02d", (F.col("slot") / 12).cast("int"), (F.col("slot") % 12 * 5).cast("int"))
+    line = F.concat_ws(",", F.date_format("date", "yyyy/M/d"), at, F.col("value").cast("string"))
+    listed = F.array_sort(F.collect_list(F.struct("slot", line.alias("line"))))
+    preamble = "\n".join(["電力使用状況,0"] * POWER_HEADER_LINE + [f"DATE,TIME,{POWER_COLUMN}", ""])
+    body = F.concat(F.lit(preamble), F.array_join(F.transform(listed, lambda x: x["line"]), "\n"))
+    days = readings.groupBy("date").agg(body.alias("body")).withColumn("month", F.date_format("date", "yyyyMM"))
+
+    def pack(key: tuple, month: pd.DataFrame) -> pd.DataFrame:
+        store, folder = locate(path)
+        store.create_dir(folder, recursive=True)
+        attempt = f"{folder}/{key[0]}.{TaskContext.get().taskAttemptId()}"
+        with store.open_output_stream(attempt) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive:
+            for date, body in zip(month["date"], month["body"]):
+                archive.writestr(f"{date:%Y%m%d}_power_usage.csv", body.encode(ENCODING))
+        store.move(attempt, f"{folder}/{key[0]}_power_usage.zip")
+        return pd.DataFrame({"archive": [key[0]]})
+
+    days.groupBy("month").applyInPandas(pack, "archive string").write.format("noop").mode("overwrite").save()
+    return path
+
+
+def write_weather_files(spark: SparkSession, sf_dir: str, observed: DataFrame | None = None) -> str:
     """All observations as Shift-JIS weather files with preamble and header, one file per task.
 
-    Every other line item carries a quoted remark with quotes, a comma and a line end."""
+    Every other day carries a quoted remark with quotes, a comma and a line end."""
     path = scratch_path(spark, "weather-files")
     high = [WEATHER_COLUMNS[c] for c in ("date", "max_temp", "max_temp", "min_temp")]
     names = [*high, "備考", WEATHER_COLUMNS["weather"]]
-    remark = F.when(F.col("l_linenumber") % 2 == 0, '"注意\n""2"", 続き"').otherwise("")
+    remark = F.when(F.dayofmonth("date") % 2 == 0, '"注意\n""2"", 続き"').otherwise("")
     opening = ["地点", "", "東京", ",".join(names), "品質", "均質"]
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,7 +172,8 @@ def write_weather_files(spark: SparkSession, sf_dir: str) -> str:
         remark,
         F.coalesce("weather", F.lit("")),
     )
-    raw = obs(spark, sf_dir).select(line.alias("line")).mapInPandas(lines, "raw binary")
+    source = obs(spark, sf_dir) if observed is None else observed
+    raw = source.select(line.alias("line")).mapInPandas(lines, "raw binary")
     raw.select(F.col("raw").cast("string").alias("value")).write.text(path)
     return path
 

@@ -349,5 +349,18 @@ ORACLE: dict[str, str] = {
         SELECT CAST(ts AS DATE) AS date, CAST(trunc(max(value)) AS BIGINT) AS max_power FROM events
         WHERE CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY CAST(ts AS DATE)""",
     "stream_features": _with(FEATURES, "SELECT * FROM features"),
+    "daily_merge_from_raw": _with(MERGED, "SELECT date, max_temp, min_temp, weather, max_power FROM merged"),
+    "stream_late_peaks": """
+        WITH tops AS (SELECT CAST(ts AS DATE) AS date, max(value) AS top FROM events GROUP BY 1),
+        marked AS (SELECT ts, CAST(ts AS DATE) AS date, value, value = top AS late FROM events JOIN tops
+          ON CAST(ts AS DATE) = tops.date),
+        reach AS (SELECT max(ts) FILTER (WHERE NOT late) - INTERVAL 10 DAY AS gone, max(ts) AS newest FROM marked),
+        days AS (
+          SELECT date, date + INTERVAL 1 DAY <= gone AS shut,
+            CAST(trunc(max(value)) AS BIGINT) AS whole, CAST(trunc(max(value) FILTER (WHERE NOT late)) AS BIGINT) AS early,
+            count(*) FILTER (WHERE late) AS n FROM marked, reach WHERE date + INTERVAL 1 DAY <= newest GROUP BY date, gone
+        )
+        SELECT date, CASE WHEN shut THEN early ELSE whole END AS max_power,
+          CAST(CASE WHEN shut THEN n ELSE 0 END AS BIGINT) AS refused FROM days""",
     "stream_new_files": "SELECT CAST(ts AS DATE) AS dt, CAST(1 AS BIGINT) AS members FROM events GROUP BY CAST(ts AS DATE)",
 }

@@ -21,6 +21,12 @@ WEATHER_DAILY = T.StructType([
     T.StructField("weather", T.StringType()),
 ])
 
+MEMBERS_LANDED = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("member", T.StringType()),
+    T.StructField("content", T.BinaryType()),
+])
+
 MERGED = T.StructType([*WEATHER_DAILY.fields, T.StructField("max_power", T.LongType())])
 
 FEATURES = T.StructType([

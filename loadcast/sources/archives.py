@@ -57,6 +57,59 @@ def _members(path: str, start: int, end: int, suffix: str) -> Iterator[tuple[str
             yield None, None, "not a ZIP archive"
 
 
+def member_names(archives: DataFrame, suffix: str = ".csv") -> DataFrame:
+    """`(archive, member, dt, error)` of listed archives: the central directory alone, no content is read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                store, name = locate(path)
+                try:
+                    with store.open_input_file(name) as source, zipfile.ZipFile(source) as archive:
+                        rows = [
+                            (path, m.filename, None, None)
+                            for m in archive.infolist() if not m.is_dir() and m.filename.endswith(suffix)
+                        ]
+                except (zipfile.BadZipFile, pa.ArrowInvalid):
+                    rows = [(path, None, None, "not a ZIP archive")]
+                if rows:
+                    yield _batch(rows)
+
+    return _dated(archives.select("path").mapInArrow(run, MEMBERS)).drop("content")
+
+
+def read_members(named: DataFrame) -> DataFrame:
+    """Contents of named members, `(archive, member, dt)`; a task opens an archive once for all it reads from it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, source, archive = None, None, None
+        for batch in batches:
+            rows, held = [], 0
+            for name, member in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if name != path:
+                    if source is not None:
+                        source.close()
+                    store, where = locate(name)
+                    source = store.open_input_file(where)
+                    path, archive = name, zipfile.ZipFile(source)
+                try:
+                    rows.append((name, member, archive.read(member), None))
+                    held += len(rows[-1][2])
+                except Exception as broken:
+                    rows.append((name, member, None, f"unreadable member: {type(broken).__name__}"))
+                if held > FLUSH_BYTES:
+                    yield _batch(rows)
+                    rows, held = [], 0
+            if rows:
+                yield _batch(rows)
+        if source is not None:
+            source.close()
+
+    # Members of one archive go to as many tasks as there are, each task's in the order of archives.
+    dealt = named.select("archive", "member").repartition("archive", "member").sortWithinPartitions("archive")
+    return _dated(dealt.mapInArrow(run, MEMBERS))
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.string(), pa.string(), pa.binary(), pa.string())
     columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)]

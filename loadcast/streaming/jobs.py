@@ -16,8 +16,9 @@ from loadcast.operators.features import DEFAULTS, make_features
 from loadcast.operators.model import Bundle, score
 from loadcast.operators.ranking import first_per_key
 from loadcast.operators.versions import stamp_versions
-from loadcast.sources.files import accept, explode_zip
-from loadcast.sources.tables import land_if_absent, store, write_by_day
+from loadcast.sources.archives import member_names, read_members
+from loadcast.sources.files import accept
+from loadcast.sources.tables import land_if_absent, store
 
 
 def stream_parquet(
@@ -30,10 +31,10 @@ def stream_parquet(
 
 
 def stream_archives(spark: SparkSession, path: str) -> DataFrame:
-    """New `.zip` files below a folder, each delivered once per checkpoint."""
+    """`(path, length)` of new `.zip` files below a folder, each delivered once per checkpoint; none is opened."""
     schema = "path string, modificationTime timestamp, length long, content binary"
     reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.zip")
-    return reader.option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return reader.option("recursiveFileLookup", "true").load(path).select("path", "length")
 
 
 def run_available(
@@ -78,43 +79,55 @@ def feature_batch_writer(
     moment: dt.datetime,
     cfg: Config = DEFAULTS,
     holidays: DataFrame | None = None,
-    after: dt.date | None = None,
+    after: dt.date | Callable[[], dt.date] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A batch function that adds feature versions below `path`.
 
     A replayed batch overwrites its own folder, so a restart adds nothing twice. Days at or before
-    `after` are late and left out: nothing else drops late rows in a stateless stream. Each batch is stamped
-    one second after the one before, so a later batch's version of a day is the newer one.
+    `after` are late and left out: nothing else drops late rows in a stateless stream. A function is asked in every
+    batch, such as one that reads the control log. All batches carry the stamp `moment`; their number, the
+    partition column `batch_id`, is the second key of a version.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        timely = batch if after is None else batch.filter(F.col("date") > F.lit(after))
-        versions = stamp_versions(make_features(timely, cfg, holidays), moment + dt.timedelta(seconds=batch_id))
+        limit = after() if callable(after) else after
+        timely = batch if limit is None else batch.filter(F.col("date") > F.lit(limit))
+        versions = stamp_versions(make_features(timely, cfg, holidays), moment)
         versions.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
 
-def landing_batch_writer(path: str, strict: bool = False) -> Callable[[DataFrame, int], None]:
+LEDGER = "dt date, batch_id int"
+
+
+def landing_batch_writer(path: str, ledger: str, strict: bool = False) -> Callable[[DataFrame, int], None]:
     """A batch function that lands one archive member per day; a day landed by an earlier batch is skipped.
 
-    Of several members for a day the first by archive and member name counts. Rows carry their batch, and
-    a replayed batch compares itself with earlier batches and its own finished days, so a half-written
-    batch is completed and nothing lands twice.
+    Which days are landed stands in the ledger, days and batch numbers in one small file a batch, so neither landed
+    contents nor their files are looked at. Of several members for a day the first readable one by archive and member
+    name counts. Only members of days not in the ledger are read. A batch has its own folder and its ledger entry comes
+    last: a replay compares itself with earlier batches, overwrites its own folder, and nothing lands twice.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        members = explode_zip(batch).withColumnRenamed("archive", "source")
-        dated = accept(members, strict).filter(F.col("dt").isNotNull()).drop("error")
-        good = store(dated.withColumn("batch_id", F.lit(batch_id)), "members")
-        first = first_per_key(good, ["dt"], ["source", "member"])
-        landed = read_landed(batch.sparkSession, path, good.schema)
-        fresh = first if landed is None else land_if_absent(first, landed.filter(F.col("batch_id") <= batch_id))
-        write_by_day(fresh, path, "dt")
+        spark = batch.sparkSession
+        names = accept(member_names(batch).withColumnRenamed("archive", "source"), strict)
+        landed = read_landed(spark, ledger, LEDGER)
+        fresh = names.filter(F.col("dt").isNotNull())
+        if landed is not None:
+            fresh = land_if_absent(fresh, landed.filter(F.col("batch_id") < batch_id))
+        members = read_members(fresh.withColumnRenamed("source", "archive")).withColumnRenamed("archive", "source")
+        good = store(accept(members, strict).drop("error"), "members")
+        # The choice looks at names alone; contents are joined to it once.
+        chosen = first_per_key(good.select("dt", "source", "member"), ["dt"], ["source", "member"])
+        kept = good.join(chosen, ["dt", "source", "member"], "left_semi")
+        kept.write.mode("overwrite").partitionBy("dt").parquet(f"{path}/batch_id={batch_id}")
+        chosen.select("dt").coalesce(1).write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
 
     return write
 
 
-def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The landing table, or None before its first batch."""
+def read_landed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
+    """A table that batches write, or None before its first batch."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:

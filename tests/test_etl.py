@@ -1,15 +1,19 @@
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from loadcast.operators import incremental as inc
+from loadcast.operators.control import Conflict, ControlLog, Watermark
 from loadcast.operators.merge import daily_peak, merge_daily
 from loadcast.operators.ranking import exact_quantiles, first_per_key, running_total
 from loadcast.operators.registry import latest_approved
 from loadcast.operators.versions import append_versions, latest_features, stamp_versions
 from loadcast.plans.daily import run_daily_merge
 from loadcast.schemas import MERGED, READINGS, WATERMARK, WEATHER_DAILY
+from loadcast.session import lookup
+from loadcast.sources.landing import landed_days, landed_names, read_landed_days
 from loadcast.sources.tables import land_if_absent, read_merged, write_by_day, write_days
 
 D = dt.date
@@ -178,11 +182,79 @@ def test_latest_approved(spark):
 
 def test_daily_job_moves_the_watermark_once(spark, tmp_path):
     merged, control = str(tmp_path / "merged"), str(tmp_path / "control")
-    spark.createDataFrame([("etl_data", D(2024, 12, 1), at(1))], WATERMARK).write.parquet(control)
+    log = ControlLog(spark, control)
+    log.advance(log.read("etl_data"), D(2024, 12, 1), at(1))
     readings = spark.createDataFrame([(at(d, h), 1000.0 * d + h) for d in (1, 2, 3, 4) for h in (1, 2)], READINGS)
     weather = spark.createDataFrame([(D(2024, 12, d), 10.0, 5.0, "晴") for d in (1, 2, 3)], WEATHER_DAILY)
     assert run_daily_merge(spark, readings, weather, merged, control, at(5)) == D(2024, 12, 3)
     rows = sorted((r.date, r.max_power) for r in read_merged(spark, merged, MERGED).collect())
     assert rows == [(D(2024, 12, 2), 2002), (D(2024, 12, 3), 3002)]
     assert run_daily_merge(spark, readings, weather, merged, control, at(6)) is None
-    assert spark.read.parquet(control).count() == 2
+    assert [tuple(r) for r in log.table().collect()] == [("etl_data", D(2024, 12, 3), at(5))]
+
+
+def test_of_two_writers_one_is_refused(spark, tmp_path):
+    for path in (str(tmp_path / "a"), f"file://{tmp_path}/b"):
+        log = ControlLog(spark, path)
+        assert log.read("job") == Watermark("job", D(2022, 1, 1), 0)
+        mine, other = log.read("job"), ControlLog(spark, path).read("job")
+        assert log.advance(mine, D(2024, 1, 5), at(1)) == Watermark("job", D(2024, 1, 5), 1)
+        with pytest.raises(Conflict, match="another writer"):
+            log.advance(other, D(2024, 1, 9), at(2))
+        seen = log.read("job")
+        assert seen == Watermark("job", D(2024, 1, 5), 1)
+        with pytest.raises(Conflict, match="not advanced"):
+            log.advance(seen, D(2024, 1, 5), at(3))
+        log.advance(seen, D(2024, 1, 6), at(4))
+        log.advance(log.read("a/b c"), D(2024, 1, 1), at(5))
+        table = {r.job_name: r.last_processed for r in log.table().collect()}
+        assert table == {"job": D(2024, 1, 6), "a/b c": D(2024, 1, 1)}
+        left = [p for p in tmp_path.rglob("*") if p.name.startswith(".") and not p.name.endswith(".crc")]
+        assert left == []
+
+
+def test_many_writers_at_once(spark, tmp_path):
+    """Of eight writers that hold the same version exactly one gets through."""
+    log = ControlLog(spark, str(tmp_path))
+    seen = log.read("job")
+
+    def write(n):
+        try:
+            log.advance(seen, D(2024, 1, 1 + n), at(1))
+            return n
+        except Conflict:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [n for n in pool.map(write, range(8)) if n is not None]
+    assert len(won) == 1 and log.read("job") == Watermark("job", D(2024, 1, 1 + won[0]), 1)
+
+
+def test_an_overtaken_daily_job_is_refused(spark, tmp_path, monkeypatch):
+    control = str(tmp_path / "control")
+    readings = spark.createDataFrame([(at(2), 1.0)], READINGS)
+    weather = spark.createDataFrame([(D(2024, 12, 2), 10.0, 5.0, "晴")], WEATHER_DAILY)
+    log = ControlLog(spark, control)
+
+    def overtaken(*args):
+        log.advance(log.read("etl_data"), D(2024, 12, 9), at(9))
+        return write_days(*args)
+
+    monkeypatch.setattr("loadcast.plans.daily.write_days", overtaken)
+    with pytest.raises(Conflict):
+        run_daily_merge(spark, readings, weather, str(tmp_path / "merged"), control, at(5))
+    assert log.read("etl_data").day == D(2024, 12, 9)
+
+
+def test_only_wanted_days_are_scanned(spark, tmp_path):
+    path = str(tmp_path / "weather")
+    rows = [(D(2024, 12, d), float(d), 1.0, "晴") for d in range(1, 21)]
+    write_by_day(spark.createDataFrame(rows, WEATHER_DAILY), path)
+    found = landed_days(spark, path)
+    assert {r.date for r in found.collect()} == {r[0] for r in rows}
+    names = landed_names(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path" in names or "content" not in names
+    days = lookup(inc.unprocessed_dates(found, found, D(2024, 12, 17))).filter(F.col("date") > F.lit(D(2024, 12, 17)))
+    read = read_landed_days(spark, path, WEATHER_DAILY, days)
+    assert "dynamicpruning" in read._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.max_temp for r in read.collect()) == [18.0, 19.0, 20.0]
