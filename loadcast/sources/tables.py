@@ -47,15 +47,19 @@ def write_by_day(df: DataFrame, path: str, date_col: str = "date", mode: str = "
     spread.write.mode(mode).partitionBy("dt").parquet(path)
 
 
-def write_days(df: DataFrame, path: str, date_col: str = "date") -> None:
-    """Replace exactly the days present in `df`, one row per day and area; other days stay as they are.
+def spread_by_day(df: DataFrame, day: str) -> DataFrame:
+    """Days dealt to writers, one writer a day.
 
     The days are hashed once more: a plain repartition by a column the input is already partitioned by
     would be dropped by the planner, and with it the number of writers.
     """
+    return df.repartition(_tasks(df), F.xxhash64(day))
+
+
+def write_days(df: DataFrame, path: str, date_col: str = "date") -> None:
+    """Replace exactly the days present in `df`, one row per day and area; other days stay as they are."""
     (
-        df.withColumn("dt", F.col(date_col))
-        .repartition(_tasks(df), F.xxhash64("dt"))
+        spread_by_day(df.withColumn("dt", F.col(date_col)), "dt")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt")

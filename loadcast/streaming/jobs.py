@@ -18,7 +18,7 @@ from loadcast.operators.ranking import first_per_key
 from loadcast.operators.versions import stamp_versions
 from loadcast.sources.archives import member_names, read_members
 from loadcast.sources.files import accept
-from loadcast.sources.tables import land_if_absent, store
+from loadcast.sources.tables import land_if_absent, spread_by_day, store
 
 
 def stream_parquet(
@@ -120,7 +120,7 @@ def landing_batch_writer(path: str, ledger: str, strict: bool = False) -> Callab
         # The choice looks at names alone; contents are joined to it once.
         chosen = first_per_key(good.select("dt", "source", "member"), ["dt"], ["source", "member"])
         kept = good.join(chosen, ["dt", "source", "member"], "left_semi")
-        kept.write.mode("overwrite").partitionBy("dt").parquet(f"{path}/batch_id={batch_id}")
+        spread_by_day(kept, "dt").write.mode("overwrite").partitionBy("dt").parquet(f"{path}/batch_id={batch_id}")
         chosen.select("dt").coalesce(1).write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
 
     return write
