@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from pathlib import Path
 from typing import Any
 
@@ -72,6 +72,20 @@ def config_from_mapping(raw: Mapping[str, Any]) -> Config:
     return Config(**kept)
 
 
+def config_to_mapping(cfg: Config) -> dict[str, Any]:
+    """The plain values that `config_from_mapping` turns back into an equal configuration."""
+    return {
+        "split_date": cfg.split_date and cfg.split_date.isoformat(),
+        "test_ratio": cfg.test_ratio,
+        "start_date": cfg.start_date.isoformat(),
+        "end_date": cfg.end_date.isoformat(),
+        "encoders": [{"name": e.name, "columns": list(e.columns)} for e in cfg.encoders],
+        "feature_thresholds": asdict(cfg.thresholds),
+        "boosting": asdict(cfg.boosting),
+        "mse_threshold": cfg.mse_threshold,
+    }
+
+
 def load_config(path: str | Path) -> Config:
     import yaml
 

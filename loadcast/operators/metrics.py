@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PENDING = "PendingManualApproval"
@@ -43,6 +43,19 @@ def metrics_json(metrics: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return metrics.select(*keys, F.to_json(F.struct(mse.alias("regression_metrics"))).alias("report"))
 
 
+def write_metrics_json(metrics: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
+    """The reports as text files below `path`, one folder per value of the keys."""
+    reports = metrics_json(metrics, keys).withColumnRenamed("report", "value")
+    writer = (reports if keys else reports.coalesce(1)).write.mode("overwrite")
+    (writer.partitionBy(*keys) if keys else writer).text(path)
+
+
+def read_metrics_json(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFrame:
+    """The stored reports under their keys, which are texts."""
+    schema = ", ".join(["value string", *[f"{k} string" for k in keys]])
+    return spark.read.schema(schema).text(path, wholetext=False).select(*keys, F.col("value").alias("report"))
+
+
 def write_metrics_csv(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("overwrite").csv(path, header=True)
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -11,7 +12,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.config import BoostingParams, Config, Thresholds
+from loadcast.config import BoostingParams, Config, config_from_mapping, config_to_mapping
 from loadcast.functions.weather import missing_if_nan
 from loadcast.operators.encoders import Model, apply_encoders, load_encoders, save_encoders
 from loadcast.operators.features import make_features
@@ -26,7 +27,7 @@ KEY_COLUMNS = ("date", "record_id", "event_time", "latest", "split", TARGET)
 
 @dataclass(frozen=True)
 class Bundle:
-    """Everything scoring needs: the model, the feature order, the encoders and the thresholds."""
+    """Everything scoring needs: the model, the feature order, the encoders and the configuration."""
 
     model: PipelineModel
     feature_names: list[str]
@@ -39,8 +40,15 @@ def feature_names(df: DataFrame, drop: Sequence[str] = KEY_COLUMNS) -> list[str]
 
 
 def align(df: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Training order, limited to the columns at hand, after the columns to keep."""
-    return df.select(*keep, *[F.col(f"`{n}`") for n in names if n in df.columns])
+    """The columns to keep, then the training columns in training order; one that is not at hand is missing.
+
+    Columns that the model does not know are left out. None at hand is an error, as nothing could be told apart.
+    """
+    if names and not set(names) & set(df.columns):
+        raise ValueError("none of the model's features is at hand")
+    at_hand = set(df.columns)
+    features = [F.col(f"`{n}`") if n in at_hand else F.lit(None).cast("double").alias(n) for n in names]
+    return df.select(*[F.col(f"`{k}`") for k in keep], *[f for n, f in zip(names, features) if n not in keep])
 
 
 def fit_gbt(
@@ -75,13 +83,11 @@ def model_inputs(features: Sequence[str]) -> dict[str, Column]:
 
 
 def predict(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """`df` with a `prediction` column; a feature that is missing from `df` is an error."""
+    """`df` with a `prediction` column, from the features at hand: see `align`."""
     lacking = [c for c in features if c not in df.columns]
-    if lacking:
-        raise ValueError(f"features missing from the input: {', '.join(lacking)}")
     named = model_inputs(features)
-    scored = model.transform(df.withColumns(named))
-    return scored.drop("features", *named)
+    scored = model.transform(align(df, features, keep=df.columns).withColumns(named))
+    return scored.drop("features", *named, *lacking)
 
 
 def score(df: DataFrame, bundle: Bundle, holidays: DataFrame | None = None) -> DataFrame:
@@ -92,22 +98,20 @@ def score(df: DataFrame, bundle: Bundle, holidays: DataFrame | None = None) -> D
 
 
 def save_bundle(bundle: Bundle, spark: SparkSession, path: str) -> None:
+    """The model, the feature order, the encoders and the whole configuration."""
     bundle.model.write().overwrite().save(f"{path}/model")
     names = [(i, n) for i, n in enumerate(bundle.feature_names)]
     spark.createDataFrame(names, "position int, name string").write.mode("overwrite").parquet(f"{path}/features")
-    limits = asdict(bundle.cfg.thresholds)
-    spark.createDataFrame([limits]).write.mode("overwrite").parquet(f"{path}/thresholds")
+    settings = json.dumps(config_to_mapping(bundle.cfg), ensure_ascii=False)
+    spark.createDataFrame([(settings,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/config")
     save_encoders(bundle.encoders, spark, f"{path}/encoders")
 
 
 def load_bundle(spark: SparkSession, path: str) -> Bundle:
     names = [r.name for r in sorted(spark.read.parquet(f"{path}/features").collect(), key=lambda r: r.position)]
-    limits = spark.read.parquet(f"{path}/thresholds").first().asDict()
+    settings = json.loads(spark.read.text(f"{path}/config").first().value)
     return Bundle(
-        PipelineModel.load(f"{path}/model"),
-        names,
-        load_encoders(spark, f"{path}/encoders"),
-        Config(thresholds=Thresholds(**limits)),
+        PipelineModel.load(f"{path}/model"), names, load_encoders(spark, f"{path}/encoders"), config_from_mapping(settings)
     )
 
 

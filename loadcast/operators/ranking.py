@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loadcast.session import lookup
+from loadcast.session import BROADCAST_ROWS, lookup, materialize
 from loadcast.sources.tables import store
 
 COARSE_SLOTS = 4096
@@ -33,6 +34,40 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], desc
     return best.select(*[F.col(c) if c in keys else F.col("_best")[c].alias(c) for c in df.columns])
 
 
+# Types whose extreme is kept in place by a hash aggregate; for others Spark sorts every task's rows.
+FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """What `first_per_key(df, keys, order, descending=True)` gives, without sorting and without moving whole rows.
+
+    The greatest leading version of each key comes from a hash aggregate over the key and version columns alone. The
+    rows of that version are fetched by a lookup, so only they are read in full; most keys have one. Where several
+    share it, they are set apart, and the remaining columns decide among them in a ranking that every task cuts to one
+    row a key first. Keys beyond the lookup's limit, or a leading version of varying width, go through `first_per_key`.
+    """
+    lead = order[0]
+    if lead in keys or not isinstance(df.schema[lead].dataType, FIXED_WIDTH):
+        return first_per_key(df, keys, order, descending=True)
+    newest = materialize(df.groupBy(*keys).agg(F.max(lead).alias("_newest")))
+    if newest.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return first_per_key(df, keys, order, descending=True)
+    named = newest.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_newest")
+    pairs = [(k, f"_key_{k}") for k in keys]
+    hits = df.join(F.broadcast(named), _matches(df, named, [*pairs, (lead, "_newest")]), "left_semi")
+    candidates = store(hits, "newest")
+    shared = candidates.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.count("*").alias("_n"))
+    shared = materialize(shared.filter("_n > 1").drop("_n"))
+    if shared.isEmpty():
+        return candidates
+    tie = _matches(candidates, shared, pairs)
+    rest = [c for c in [*order[1:], *df.columns] if c not in (lead, *keys)]
+    ranking = Window.partitionBy(*keys).orderBy(*[F.col(f"`{c}`").desc_nulls_last() for c in dict.fromkeys(rest)], F.lit(1))
+    ties = candidates.join(F.broadcast(shared), tie, "left_semi").withColumn("_rank", F.row_number().over(ranking))
+    alone = candidates.join(F.broadcast(shared), tie, "left_anti")
+    return alone.unionByName(ties.filter("_rank = 1").drop("_rank"))
+
+
 def running_total(
     df: DataFrame, group: Sequence[str], order: Sequence[str], weight: str | None = None
 ) -> DataFrame:

@@ -21,34 +21,37 @@ def _row(values: list[Column]) -> Column:
 def parse_requests(requests: DataFrame, body: str = "body", content_type: str = "content_type") -> DataFrame:
     """One row per requested day, with the request's other columns, `row_no`, the typed inputs and `error`.
 
-    Bodies are headerless CSV, a JSON list of objects, one JSON object, or `{"features": [[…]]}`. A body
-    that is none of these yields one row with an error. Bad dates and numbers become null.
+    Bodies are headerless CSV, whose quoted fields may hold line ends, a JSON list of objects, one JSON object,
+    `{"features": [[…]]}` or `{"features": [{…}]}`. Of objects below `features` an absent column is a missing value, of
+    others an error. A body that is none of these yields one row with an error. Bad dates and numbers become null.
     """
     text, kind = F.col(body), F.col(content_type)
     others = [c for c in requests.columns if c != body]
     is_csv, is_json = kind.startswith(CSV_TYPE), kind.startswith(JSON_TYPE)
-    trimmed = F.trim(text)
+    trimmed = F.btrim(text, F.lit(" \t\r\n"))
     columns = F.array(*[F.lit(c) for c in REQUEST_COLUMNS])
 
-    lines = F.filter(F.split(text, LINE_END), lambda x: F.trim(x) != "")
     ddl = ", ".join(f"{c} string" for c in REQUEST_COLUMNS)
-    csv_rows = F.transform(lines, lambda line: _csv_row(line, ddl))
+    csv_rows = F.transform(_csv_records(text), lambda record: _csv_row(record, ddl))
 
-    listed = F.when(trimmed.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
-    objects = F.from_json(listed, "array<map<string,string>>")
-    matrix = F.from_json(text, "struct<features: array<array<string>>>")["features"]
-    outer_keys = F.json_object_keys(text)
-    has_matrix = F.coalesce(F.array_contains(outer_keys, "features"), F.lit(False))
+    listed = F.when(trimmed.startswith("{"), F.concat(F.lit("["), trimmed, F.lit("]"))).otherwise(trimmed)
+    outer = F.from_json(listed, "array<map<string,string>>")
+    matrix = F.from_json(trimmed, "struct<features: array<array<string>>>")["features"]
+    inner = F.from_json(trimmed, "struct<features: array<map<string,string>>>")["features"]
+    has_features = F.coalesce(F.array_contains(F.json_object_keys(trimmed), "features"), F.lit(False))
+    has_inner = F.coalesce(F.get_json_object(trimmed, "$.features[0]").startswith("{"), F.lit(False))
 
     staged = requests.select(
         *others,
         F.when(is_csv, csv_rows).alias("_csv"),
-        F.when(is_json & has_matrix, matrix).alias("_matrix"),
-        F.when(is_json & ~has_matrix & trimmed.rlike(r"^[\[{]"), objects).alias("_objects"),
+        F.when(is_json & has_features & ~has_inner, matrix).alias("_matrix"),
+        F.when(is_json & has_features & has_inner, inner)
+        .when(is_json & ~has_features & trimmed.rlike(r"^[\[{]"), outer).alias("_objects"),
+        (is_json & has_features).alias("_loose"),
         (is_csv | is_json).alias("_known"),
     )
     named = F.array_distinct(F.flatten(F.transform("_objects", F.map_keys)))
-    complete = F.size(F.array_except(columns, named)) == 0
+    complete = F.col("_loose") | (F.size(F.array_except(columns, named)) == 0)
     ragged = F.exists("_matrix", lambda r: r.isNull() | (F.size(r) != len(REQUEST_COLUMNS)))
     broken = F.exists("_objects", lambda o: o.isNull())
     from_objects = F.transform("_objects", lambda o: _row([F.try_element_at(o, F.lit(c)) for c in REQUEST_COLUMNS]))
@@ -78,8 +81,28 @@ def parse_requests(requests: DataFrame, body: str = "body", content_type: str =
     )
 
 
+# A code point that no text may hold: it stands for a line end between records.
+RECORD_END = "\ufdd0"
+
+
+def _csv_records(text: Column) -> Column:
+    """The non-blank records of a body; null if a quoted field is not closed.
+
+    Cut at its quotes, a text is by turns outside and inside a quoted field, doubled quotes leaving an empty part.
+    Line ends are record ends in the outside parts only. A text without a quote at the beginning of a field has none.
+    """
+    parts = F.split(text, '"')
+    marked = F.transform(
+        parts, lambda part, i: F.when(i % 2 == 0, F.regexp_replace(part, LINE_END, RECORD_END)).otherwise(part)
+    )
+    closed = F.when(F.size(parts) % 2 == 1, F.split(F.array_join(marked, '"'), RECORD_END))
+    quoted = text.rlike(r'(^|[,\r\n])"')
+    records = F.when(quoted, closed).otherwise(F.split(text, LINE_END))
+    return F.filter(records, lambda x: F.trim(x) != "")
+
+
 def _csv_row(line: Column, ddl: str) -> Column:
-    fields = F.from_csv(line, ddl)
+    fields = F.from_csv(line, ddl, {"escape": '"'})
     return _row([F.when(~F.trim(fields[c]).isin(*MISSING_TEXTS), fields[c]) for c in REQUEST_COLUMNS])
 
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.operators.ranking import first_per_key
+from loadcast.operators.ranking import latest_per_key
 
 EVENT_TIME_FORMAT = "%Y-%m-%dT%H:%M:%SZ"
 
@@ -49,5 +49,5 @@ def latest_features(
         return df
 
     pool = in_range(versions) if key_is_date else versions
-    chosen = first_per_key(pool, list(key), list(version), descending=True)
+    chosen = latest_per_key(pool, list(key), list(version))
     return chosen if key_is_date else in_range(chosen)

@@ -266,7 +266,9 @@ def prediction_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.metrics_json(rounded(_monthly_metrics(spark, sf_dir), METRICS, 3), ["month"])
+    path = scratch_path(spark, "reports")
+    metrics.write_metrics_json(rounded(_monthly_metrics(spark, sf_dir), METRICS, 3), path, ["month"])
+    return metrics.read_metrics_json(spark, path, ["month"])
 
 
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,6 +339,33 @@ def latest_approved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.latest_approved(inputs.registry_events(spark, sf_dir))
 
 
+def gate_to_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each year is a model group, each month a version: gate, events, decisions, and the newest approved one."""
+    path = scratch_path(spark, "registry")
+    gated = metrics.quality_gate(_monthly_metrics(spark, sf_dir), 1_500_000.0)
+    year, month = F.substring("month", 1, 4), F.substring("month", 6, 2)
+    registry.register(gated, path, year, month, dt.datetime(2024, 12, 30))
+    pending = registry.read_events(spark, path)
+    accurate = F.col("mse") <= 1_200_000.0
+    registry.decide(pending.filter(accurate), path, registry.APPROVED, dt.datetime(2024, 12, 31))
+    registry.decide(pending.filter(~accurate), path, registry.REJECTED, dt.datetime(2024, 12, 31))
+    newest = registry.latest_approved(registry.read_events(spark, path))
+    return rounded(newest, ("mse",)).select("model_group", "version", "status", "mse")
+
+
+def score_columns_at_hand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring without some trained columns and with unknown ones equals scoring with these columns missing."""
+    bundle = _bundle(spark, sf_dir)
+    encoded = encoders.apply_encoders(inputs.features(spark, sf_dir), bundle.encoders)
+    lacking = ("rng", "hdd")
+    partial = encoded.drop(*lacking).withColumn("unknown", F.lit(1))
+    holes = encoded.withColumns({c: F.lit(None).cast("double") for c in lacking})
+    guess = model.predict(bundle.model, partial, bundle.feature_names).select("date", F.col("prediction").alias("partial"))
+    whole = model.predict(bundle.model, holes, bundle.feature_names).select("date", "prediction")
+    both = whole.join(guess, "date")
+    return both.select("date", (F.col("partial") == F.col("prediction")).alias("same"))
+
+
 # Model
 
 
@@ -507,6 +536,8 @@ QUERIES: dict[str, Query] = {
     "prediction_extent": prediction_extent,
     "metrics_json": metrics_json,
     "quality_gate": quality_gate,
+    "gate_to_registry": gate_to_registry,
+    "score_columns_at_hand": score_columns_at_hand,
     "date_extent": date_extent,
     "table_profile": table_profile,
     "category_counts": category_counts,

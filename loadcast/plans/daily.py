@@ -14,8 +14,11 @@ from loadcast.operators.encoders import encode
 from loadcast.operators.features import make_features
 from loadcast.operators.incremental import FIRST_WATERMARK, batch_watermark, needs_run, unprocessed_dates
 from loadcast.operators.merge import daily_peak, merge_daily
-from loadcast.operators.metrics import metrics_json, quality_gate, regression_metrics, write_metrics_csv
+from loadcast.operators.metrics import (
+    quality_gate, read_metrics_json, regression_metrics, write_metrics_csv, write_metrics_json,
+)
 from loadcast.operators.model import Bundle, feature_importance, feature_names, fit_gbt, predict, save_bundle, score
+from loadcast.operators.registry import next_version, register
 from loadcast.operators.serving import format_predictions, parse_requests
 from loadcast.operators.split import chrono_split, parts
 from loadcast.operators.versions import append_versions, latest_features, stamp_versions
@@ -26,6 +29,7 @@ from loadcast.sources.landing import landed_days, read_landed_days
 from loadcast.sources.tables import read_merged, store, write_days, write_matrix
 
 ETL_JOB = "etl_data"
+MODEL_GROUP = "daily-peak"
 
 
 def run_daily_merge(
@@ -121,12 +125,13 @@ def run_model_build(
     save_bundle(bundle, spark, f"{out_path}/bundle")
     metrics = materialize(regression_metrics(predict(model, test, names), TARGET, "prediction"))
     write_metrics_csv(metrics, f"{out_path}/metrics")
+    write_metrics_json(metrics, f"{out_path}/evaluation")
+    gated = quality_gate(metrics, cfg.mse_threshold)
+    registry = f"{out_path}/registry"
+    version = next_version(spark, registry, MODEL_GROUP)
+    register(gated, registry, F.lit(MODEL_GROUP), F.lit(version), moment)
     return ModelRun(
-        bundle,
-        metrics,
-        metrics_json(metrics),
-        feature_importance(model, names, spark),
-        quality_gate(metrics, cfg.mse_threshold),
+        bundle, metrics, read_metrics_json(spark, f"{out_path}/evaluation"), feature_importance(model, names, spark), gated
     )
 
 

@@ -191,10 +191,13 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('", "weather": '), word, F.lit("}"),
     )
     cells = F.concat(F.lit('["'), day, F.lit('", '), high, F.lit(", "), low, F.lit(", "), word, F.lit("]"))
-    shape = F.weekday("date")
+    # A quoted field with a comma, a quote and a line end.
+    multi = F.concat_ws(",", day, high, low, F.lit('"晴,\n""後"" 曇"'))
+    shape, odd = F.weekday("date"), F.dayofmonth("date") % 2 == 1
     body = (
-        F.when(shape == 0, F.concat(csv, F.lit("\n"), csv, F.lit("\n")))
-        .when(shape == 1, F.concat(F.lit("["), item, F.lit(", "), item, F.lit("]")))
+        F.when(shape == 0, F.concat(csv, F.lit("\n"), multi, F.lit("\n")))
+        .when((shape == 1) & odd, F.concat(F.lit('\n{"features": ['), item, F.lit(", "), item, F.lit("]}")))
+        .when(shape == 1, F.concat(F.lit("\n["), item, F.lit(", "), item, F.lit("]")))
         .when(shape == 2, item)
         .when(shape == 3, F.concat(F.lit('{"features": ['), cells, F.lit("]}")))
         .when(shape == 4, "[]")

@@ -297,6 +297,11 @@ ORACLE: dict[str, str] = {
         to_json(round(avg((y - p) * (y - p)), 3)) || '}}}' AS report FROM scored GROUP BY month"""),
     "quality_gate": _with(ERRORS, """SELECT month, round(avg((y - p) * (y - p)), 6) AS mse,
         'PendingManualApproval' AS status FROM scored GROUP BY month HAVING avg((y - p) * (y - p)) <= 1500000"""),
+    "gate_to_registry": _with(ERRORS, """SELECT model_group, version, 'Approved' AS status, mse FROM (
+          SELECT left(month, 4) AS model_group, CAST(right(month, 2) AS BIGINT) AS version,
+            round(avg((y - p) * (y - p)), 6) AS mse FROM scored GROUP BY month HAVING avg((y - p) * (y - p)) <= 1200000) t
+        QUALIFY row_number() OVER (PARTITION BY model_group ORDER BY version DESC) = 1"""),
+    "score_columns_at_hand": _with(MERGED, "SELECT date, true AS same FROM merged"),
     "date_extent": _with(MERGED, "SELECT min(date) AS first_date, max(date) AS last_date FROM merged"),
     "table_profile": _with(MERGED, " UNION ALL ".join(
         f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS \"column\", count(*) AS rows, count({c}) AS non_null FROM merged"
@@ -325,7 +330,8 @@ ORACLE: dict[str, str] = {
     "rebuild_date": _with(MERGED, """SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
         CAST(day(date) AS INTEGER) AS day, max_power, date FROM merged"""),
     "parse_requests": _with(MERGED, """
-        SELECT strftime(date, '%Y-%m-%d') AS request_id, CAST(i AS INTEGER) AS row_no, date, max_temp, min_temp, weather,
+        SELECT strftime(date, '%Y-%m-%d') AS request_id, CAST(i AS INTEGER) AS row_no, date, max_temp, min_temp,
+          CASE WHEN i = 1 AND isodow(date) = 1 THEN '晴,' || chr(10) || '"後" 曇' ELSE weather END AS weather,
           CAST(NULL AS VARCHAR) AS error
         FROM weather_daily, generate_series(0, 1) AS g(i) WHERE isodow(date) <= 4 AND (i = 0 OR isodow(date) <= 2)
         UNION ALL

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loadcast.operators import incremental as inc
 from loadcast.operators.control import Conflict, ControlLog, Watermark
 from loadcast.operators.merge import daily_peak, merge_daily
-from loadcast.operators.ranking import exact_quantiles, first_per_key, running_total
+from loadcast.operators.ranking import exact_quantiles, first_per_key, latest_per_key, running_total
 from loadcast.operators.registry import latest_approved
 from loadcast.operators.versions import append_versions, latest_features, stamp_versions
 from loadcast.plans.daily import run_daily_merge
@@ -148,6 +148,27 @@ def test_first_per_key(spark):
     assert down == {"a": (7, 3), None: (1, 5)}
 
 
+@pytest.mark.parametrize("limit", [200_000, 2])
+def test_latest_per_key_equals_first_per_key(spark, monkeypatch, limit):
+    """Nulls, ties to the last column, a hot key, a missing key, and more keys than a lookup takes."""
+    monkeypatch.setattr("loadcast.operators.ranking.BROADCAST_ROWS", limit)
+    rows = [("hot", i % 7, str(i % 5), i % 3) for i in range(300)] + [("a", None, "x", 1), ("a", None, None, 2)]
+    rows += [("b", None, "x", 1), ("b", 3, None, None), ("b", 3, None, 4), (None, 5, "y", 1), (None, 5, "z", 0), ("c", 1, "1", 1)]
+    df = spark.createDataFrame(rows, "k string, v int, w string, x int").repartition(5)
+    for order in (["v"], ["v", "w"], ["w", "v"]):
+        wanted = first_per_key(df, ["k"], order, descending=True).collect()
+        got = latest_per_key(df, ["k"], order).collect()
+        assert sorted(map(str, got)) == sorted(map(str, wanted)) and len(got) == 5
+    assert latest_per_key(df.limit(0), ["k"], ["v"]).isEmpty()
+
+
+def test_latest_rows_are_found_without_sorting(spark, sf_dir):
+    from loadcast.plans import catalog
+
+    for query in (catalog.latest_features, catalog.latest_approved):
+        assert "SortAggregate" not in query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_running_total_under_skew(spark):
     """One group holds most rows and a third of them are equal."""
     df = spark.range(3000).select(

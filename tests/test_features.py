@@ -83,11 +83,30 @@ def test_calendar_edges(spark):
     assert monday.mon_sin == pytest.approx(math.sin(2 * math.pi / 12))
 
 
-def test_years_without_rules_are_refused(spark):
+def test_years_without_rules(spark):
     with pytest.raises(Exception, match="no holiday rules"):
-        calendar(spark, dt.date(1990, 5, 3))
+        calendar(spark, dt.date(2151, 5, 3))
     with pytest.raises(ValueError):
-        holidays_of(2100)
+        holidays_of(2151)
+    rows = calendar(spark, dt.date(1947, 5, 3), dt.date(1948, 11, 3), dt.date(1990, 5, 4))
+    assert {d: r.holiday for d, r in rows.items()} == {
+        dt.date(1947, 5, 3): 0, dt.date(1948, 11, 3): 1, dt.date(1990, 5, 4): 1,
+    }
+
+
+def test_holidays_of_earlier_years_by_hand():
+    def days(year):
+        return [(d.month, d.day) for d in holidays_of(year)]
+
+    assert days(1948) == [(9, 23), (11, 3), (11, 23)]
+    # The holiday on Sunday, 11 February 1973 was not moved, that of 29 April was.
+    assert days(1973) == [
+        (1, 1), (1, 15), (2, 11), (3, 21), (4, 29), (4, 30), (5, 3), (5, 5), (9, 15), (9, 23), (9, 24), (10, 10), (11, 3),
+        (11, 23),
+    ]
+    assert (5, 4) not in days(1985) and (5, 4) in days(1988)
+    assert len(days(1989)) == 17 and (2, 24) in days(1989) and (12, 23) in days(1989) and (12, 23) not in days(1988)
+    assert {(4, 10), (9, 24)} <= set(days(1959)) and (6, 9) in days(1993) and (11, 12) in days(1990)
 
 
 def test_holidays_per_year():

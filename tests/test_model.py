@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from loadcast.config import BoostingParams, Config
 from loadcast.operators import model as model_ops
+from loadcast.operators import registry
+from loadcast.operators.encoders import apply_encoders
 from loadcast.operators.metrics import regression_metrics
 from loadcast.plans import catalog, inputs
-from loadcast.plans.daily import run_model_build, run_scoring
+from loadcast.plans.daily import MODEL_GROUP, run_model_build, run_scoring
 from loadcast.schemas import FEATURES, MERGED
 from loadcast.sources.tables import store, write_days
 from loadcast.streaming import jobs
@@ -67,12 +69,25 @@ def test_saved_bundle_scores_the_same(spark, run, planted):
     home, built = run
     loaded = model_ops.load_bundle(spark, str(home / "out" / "bundle"))
     assert loaded.feature_names == built.bundle.feature_names
+    assert loaded.cfg == built.bundle.cfg
     requests = planted.drop("max_power")
     first = {r.date: r.prediction for r in model_ops.score(requests, built.bundle).collect()}
     second = {r.date: r.prediction for r in model_ops.score(requests, loaded).collect()}
     assert first == second
 
 
+def test_report_and_registry_are_written(spark, run):
+    home, built = run
+    mse = built.metrics.first().mse
+    report = json.loads(spark.read.text(str(home / "out" / "evaluation")).first().value)
+    assert report == {"regression_metrics": {"mse": {"value": mse}}}
+    assert json.loads(built.report.first().report) == report
+    events = registry.read_events(spark, str(home / "out" / "registry"))
+    passed = mse <= built.bundle.cfg.mse_threshold
+    assert [(r.version, r.status, r.mse) for r in events.collect()] == [(1, "PendingManualApproval", mse)] * passed
+    assert registry.next_version(spark, str(home / "out" / "registry"), MODEL_GROUP) == 1 + passed
+
+
 def test_registered_queries_train_all_trees(spark, sf_dir):
     assert catalog._bundle(spark, sf_dir).model.stages[-1].getNumTrees == BoostingParams().trees == 100
 
@@ -89,8 +104,22 @@ def test_same_seed_same_model(spark, run, planted):
         for _ in range(2)
     ]
     assert guesses[0] == guesses[1]
-    with pytest.raises(ValueError, match="features missing"):
-        model_ops.predict(built.bundle.model, table.drop("avg"), names)
+
+
+def test_scoring_with_the_columns_at_hand(spark, run, planted):
+    from loadcast.operators.features import make_features
+
+    _, built = run
+    table = store(apply_encoders(make_features(planted), built.bundle.encoders), "encoded")
+    names = built.bundle.feature_names
+    holes = table.withColumn("avg", F.lit(None).cast("double"))
+    fewer = table.drop("avg").withColumn("more", F.lit(1))
+    wanted = {r.date: r.prediction for r in model_ops.predict(built.bundle.model, holes, names).collect()}
+    found = model_ops.predict(built.bundle.model, fewer, names)
+    assert found.columns == [*fewer.columns, "prediction"]
+    assert {r.date: r.prediction for r in found.collect()} == wanted
+    with pytest.raises(ValueError, match="at hand"):
+        model_ops.predict(built.bundle.model, table.select("date"), names)
 
 
 def test_missing_features_still_train(spark, planted):
@@ -103,7 +132,8 @@ def test_missing_features_still_train(spark, planted):
 
 def test_align_keeps_training_order(spark):
     df = spark.createDataFrame([(1, 2, 3)], "c int, a int, b int")
-    assert model_ops.align(df, ["a", "x", "c"]).columns == ["a", "c"]
+    assert tuple(model_ops.align(df, ["a", "x", "c"]).first()) == (2, None, 1)
+    assert model_ops.align(df, ["a", "x"], keep=["c", "a"]).columns == ["c", "a", "x"]
 
 
 def test_scoring_job(spark, run):

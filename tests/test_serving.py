@@ -16,7 +16,18 @@ GOOD = [
     ("application/json", '{"features":[["2023-11-08",17.5,6.25,"曇り"]]}', FULL),
     ("application/json; x", '[{"date": "2023-11-08", "max_temp": null, "min_temp": "x", "weather": null}]', [(0, DAY, None, None, None)]),
 ]
+MULTI = '2023-11-08,17.5,6.25,"曇り,\n""後"" 雨"'
+LINES = '曇り,\n"後" 雨'
+GOOD += [
+    ("text/csv", f"{MULTI}\r\n{MULTI}\n", [(0, *FULL[0][1:4], LINES), (1, *FULL[0][1:4], LINES)]),
+    ("text/csv", '2023-11-08,17.5,6.25,5" rain', [(0, *FULL[0][1:4], '5" rain')]),
+    ("application/json", f" \n\t[{ITEM}]\r\n", FULL),
+    ("application/json", f"\n{ITEM}\n", FULL),
+    ("application/json", '\n{"features":[' + ITEM + ', {"date": "2023-11-08", "other": 1}]}', [*FULL, (1, DAY, None, None, None)]),
+]
 BAD = [
+    ("text/csv", '2023-11-08,17.5,6.25,"曇り\n2023-11-08,17.5,6.25,雨', "unreadable body"),
+    ("application/json", '{"features":[' + ITEM + ", null]}", "not a list of objects"),
     ("application/json", "[]", "no rows"),
     ("application/json", "[1, 2]", "unreadable body"),
     ("application/json", "[null]", "not a list of objects"),
