@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,8 @@ from loadcast.sources.tables import store
 
 MAPPING = "encoder string, step int, column string, category string, index long"
 UNSEEN, MISSING = -1, -2
+# Categories that become columns of their own.
+MOST_COLUMNS = 2000
 
 
 @dataclass(frozen=True)
@@ -56,15 +59,63 @@ class OneHot:
 
     def fit(self, df: DataFrame) -> OneHotModel:
         """Distinct categories in code-point order, the missing one last. They become columns, so each is a name
-        in the plan; a column of very many categories is better encoded by `Ordinal`."""
+        in the plan; of more than `MOST_COLUMNS` none is fetched, and `SparseOneHot` or `Ordinal` is to be used."""
         found: dict[str, list[str | None]] = {}
         for column in self.columns:
             distinct = df.select(F.col(column).cast("string").alias("category")).distinct()
-            values = [r.category for r in distinct.collect()]
+            values = [r.category for r in distinct.limit(MOST_COLUMNS + 1).collect()]
+            if len(values) > MOST_COLUMNS:
+                raise ValueError(f"more than {MOST_COLUMNS} categories of {column}: use SparseOneHot or Ordinal")
             found[column] = sorted(v for v in values if v is not None) + [None] * (None in values)
         return OneHotModel(tuple(self.columns), found)
 
 
+@dataclass(frozen=True)
+class SparseOneHotModel:
+    """`table(column, category, index)` holds the fitted places as a DataFrame of any size, `sizes` their numbers."""
+
+    columns: tuple[str, ...]
+    table: DataFrame
+    sizes: dict[str, int]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Each encoded column gives way to a sparse vector with a 1 at the place of its category; an unseen category
+        has no 1. Places are joined to the rows, and the vectors are made by MLlib's own encoder."""
+        result = df
+        for column in self.columns:
+            size = self.sizes[column]
+            codes = lookup(self.table.filter(F.col("column") == column).select(
+                F.col("category").alias("_category"), F.col("index").alias("_index")
+            ))
+            joined = result.join(codes, result[column].cast("string").eqNullSafe(codes["_category"]), "left")
+            placed = joined.withColumn("_place", F.coalesce(F.col("_index"), F.lit(size)).cast("double"))
+            # With the last place kept for unseen categories and then dropped, those have no 1.
+            encoder = OneHotEncoder(inputCol="_place", outputCol="_vector", dropLast=True, handleInvalid="keep")
+            widest = df.sparkSession.createDataFrame([(float(max(size, 1) - 1),)], "_place double")
+            coded = encoder.fit(widest).transform(placed)
+            result = coded.withColumn(column, F.col("_vector")).select(*df.columns)
+        return result
+
+
+@dataclass(frozen=True)
+class SparseOneHot:
+    """One-hot encoding for columns of any number of categories, up to a key per row."""
+
+    columns: tuple[str, ...]
+
+    def fit(self, df: DataFrame) -> SparseOneHotModel:
+        """Places from 0 in code-point order, the missing category last. Ranges of the categories are numbered side by
+        side; only their number comes to the driver."""
+        found = None
+        for column in self.columns:
+            values = df.select(F.lit(column).alias("column"), F.col(column).cast("string").alias("category")).distinct()
+            found = values if found is None else found.unionByName(values)
+        ranked = running_total(found, ["column"], ["category"])
+        table = store(ranked.select("column", "category", F.col("before").alias("index")), "places")
+        counts = {r["column"]: r["n"] for r in table.groupBy("column").agg(F.count("*").alias("n")).collect()}
+        return SparseOneHotModel(tuple(self.columns), table, {c: counts.get(c, 0) for c in self.columns})
+
+
 @dataclass(frozen=True)
 class OrdinalModel:
     """`table(column, category, index)` holds the fitted codes as a DataFrame of any size."""

@@ -210,6 +210,18 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoders.OneHot(("weather_category",)).fit(days).transform(days)
 
 
+def one_hot_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A category of its own for every observation: where each row's vector has its 1."""
+    keys = list(inputs.OBS_KEYS)
+    rows = inputs.obs(spark, sf_dir).select(*keys, F.concat_ws("-", *keys).alias("label"))
+    coded = encoders.SparseOneHot(("label",)).fit(rows).transform(rows)
+    vector = F.unwrap_udt("label")
+    return coded.select(
+        *keys, vector["size"].alias("size"), F.get(vector["indices"], F.lit(0)).alias("place"),
+        F.get(vector["values"], F.lit(0)).alias("value"),
+    )
+
+
 def ordinal_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = inputs.features(spark, sf_dir).select("date", "weather_category")
     coded = encoders.Ordinal(("weather_category",)).fit(days).transform(days)
@@ -217,14 +229,14 @@ def ordinal_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole encoded matrix through its headerless file and back, under the stored names."""
+    """The whole encoded matrix through its headerless files and back, under the stored names and in date order."""
     path = scratch_path(spark, "matrix")
     encoded, _ = encoders.encode(features(spark, sf_dir), Config())
     names = model.feature_names(encoded)
-    ordered = split.target_first(encoded.drop("date"))
-    tables.write_matrix(ordered, path, TARGET, names)
-    assert tables.read_matrix_names(spark, path) == ordered.columns
-    return tables.read_matrix(spark, path, ordered.schema)
+    tables.write_matrix(encoded, path, TARGET, names)
+    schema = split.target_first(encoded.drop("date")).schema
+    assert tables.read_matrix_names(spark, path) == schema.fieldNames()
+    return tables.read_matrix(spark, path, schema, position="position")
 
 
 def split_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -526,6 +538,7 @@ QUERIES: dict[str, Query] = {
     "feature_versions": feature_versions,
     "latest_features": latest_features,
     "one_hot": one_hot,
+    "one_hot_sparse": one_hot_sparse,
     "ordinal_encode": ordinal_encode,
     "train_matrix": train_matrix,
     "split_by_date": split_by_date,

@@ -273,11 +273,16 @@ ORACLE: dict[str, str] = {
         f"SELECT {OBS_IDS}, date, record_id, max_temp, min_temp, {category_sql()} AS weather_category, {NUMERIC} FROM latest",
     ),
     "one_hot": _with(FEATURES, f"SELECT date, {ONE_HOT} FROM features"),
+    "one_hot_sparse": f"""
+        WITH labels AS (SELECT {OBS_IDS}, concat_ws('-', {OBS_IDS}) AS label FROM lineitem),
+        places AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS place FROM (SELECT DISTINCT label FROM labels))
+        SELECT {OBS_IDS}, CAST((SELECT count(*) FROM places) AS INTEGER) AS size, CAST(place AS INTEGER) AS place,
+          CAST(1 AS DOUBLE) AS value FROM labels JOIN places USING (label)""",
     "ordinal_encode": _with(f"""{FEATURES},
         firsts AS (SELECT weather_category, min(date) AS d FROM features GROUP BY weather_category),
         codes AS (SELECT weather_category, row_number() OVER (ORDER BY d, weather_category) AS code FROM firsts)""",
         "SELECT date, code FROM features JOIN codes USING (weather_category)"),
-    "train_matrix": _with(FEATURES, f"SELECT {MATRIX} FROM features"),
+    "train_matrix": _with(FEATURES, f"SELECT {MATRIX}, row_number() OVER (ORDER BY date) - 1 AS position FROM features"),
     "split_by_date": _with(MERGED, """SELECT date, max_power,
         CASE WHEN date < DATE '2000-10-01' THEN 'train' ELSE 'test' END AS split FROM merged"""),
     "split_by_ratio": _with(MERGED, """SELECT date, max_power,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loadcast.config import Config, EncoderSpec
 from loadcast.operators import metrics, profile
 from loadcast.operators.encoders import (
-    OneHot, Ordinal, apply_encoders, encode, load_encoders, save_encoders,
+    OneHot, Ordinal, SparseOneHot, apply_encoders, encode, load_encoders, save_encoders,
 )
 from loadcast.operators.split import chrono_split, parts, target_first
 from loadcast.sources.tables import read_matrix, read_matrix_names, write_matrix
@@ -115,6 +115,42 @@ def test_split_by_area(spark):
     assert sizes == {("a", "train"): 8, ("a", "test"): 2, ("b", "train"): 4, ("b", "test"): 1}
 
 
+def test_matrix_keeps_the_order(spark, tmp_path):
+    path = str(tmp_path / "matrix")
+    days = spark.range(500).select(
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") * 37 % 400).cast("int")).alias("date"),
+        (F.col("id") % 50).alias("y"), F.col("id").cast("double").alias("x"),
+    ).repartition(5)
+    write_matrix(days, path, "y", ["x"])
+    schema = days.select("y", "x").schema
+    found = read_matrix(spark, path, schema, position="at").orderBy("at").collect()
+    wanted = sorted((r.date, r.y, r.x) for r in days.collect())
+    assert [(r.at, r.y, r.x) for r in found] == [(i, y, x) for i, (_, y, x) in enumerate(wanted)]
+    index = sorted(spark.read.parquet(f"{path}/order").collect(), key=lambda r: r.part)
+    assert len(index) > 1 and sum(r.rows for r in index) == 500
+    assert all(a.last <= b.first for a, b in zip(index, index[1:]))
+    spark.createDataFrame([(1, 2.0)], "y long, x double").write.mode("append").csv(f"{path}/data/part=0")
+    with pytest.raises(Exception, match="does not match its index"):
+        read_matrix(spark, path, schema, position="at").collect()
+
+
+def test_sparse_one_hot(spark):
+    df = spark.createDataFrame([(1, "b"), (2, None), (3, "a"), (4, "b"), (5, "é")], "id int, c string")
+    fitted = SparseOneHot(("c",)).fit(df)
+    new = spark.createDataFrame([(1, "b"), (2, None), (3, "zz"), (4, "é")], "id int, c string")
+    rows = {r.id: r.c for r in fitted.transform(new).collect()}
+    assert {i: (v.size, v.indices.tolist()) for i, v in rows.items()} == {1: (4, [1]), 2: (4, [3]), 3: (4, []), 4: (4, [2])}
+    assert fitted.transform(df).columns == ["id", "c"]
+    assert SparseOneHot(("c",)).fit(df.limit(0)).transform(df.limit(0)).isEmpty()
+
+
+def test_too_many_categories_become_no_columns(spark, monkeypatch):
+    monkeypatch.setattr("loadcast.operators.encoders.MOST_COLUMNS", 2)
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "c string")
+    with pytest.raises(ValueError, match="SparseOneHot"):
+        OneHot(("c",)).fit(df)
+
+
 def test_matrix_round_trip(spark, tmp_path):
     path = str(tmp_path / "matrix")
     df = target_first(days(spark, 3).withColumn("a(1)", F.lit(0.1) * F.col("max_power")).drop("date"))
