@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from loadcast.llm.common import CHUNK_BYTES, prefix_hash, span_hash
+from loadcast.llm.common import CHUNK_BYTES, same_bytes, word_hash
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 # Distinct fragments that a worker keeps; the cache starts anew beyond them.
@@ -96,7 +96,7 @@ class ForcedBoundaryBPE:
         self._forget()
 
     def _forget(self) -> None:
-        self.rows: dict[int, int] = {}
+        self.rows: dict[bytes, int] = {}
         self.flat = np.zeros(0, np.int32)
         self.first = np.zeros(1, np.int64)
 
@@ -202,14 +202,27 @@ class ForcedBoundaryBPE:
         return ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(lengths))
 
     def _rows_of(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Each fragment's place in the store of merged fragments, after merging the new ones."""
+        """Each fragment's place in the store of merged fragments, after merging the new ones.
+
+        The store knows fragments by their symbols. Within a chunk a hash brings equal ones together and their symbols
+        confirm it.
+        """
         ends = np.append(starts[1:], len(symbols))
-        keys, first, place = np.unique(
-            span_hash(prefix_hash(symbols), starts, ends), return_index=True, return_inverse=True
-        )
+        raw = symbols.astype("<u2", copy=False).view(np.uint8)
+        _, first, place = np.unique(word_hash(raw, 2 * starts, 2 * ends), return_index=True, return_inverse=True)
+        lengths = 2 * (ends - starts)
+        held = lengths == lengths[first][place]
+        held[held] = same_bytes(raw, 2 * starts[held], lengths[held], 2 * starts[first][place][held])
+        whole = raw.tobytes()
+        if not held.all():
+            numbers: dict[bytes, int] = {}
+            cut = [whole[a:b] for a, b in zip((2 * starts).tolist(), (2 * ends).tolist())]
+            place = np.array([numbers.setdefault(c, len(numbers)) for c in cut])
+            first = np.unique(place, return_index=True)[1]
+        keys = [whole[a:b] for a, b in zip((2 * starts[first]).tolist(), (2 * ends[first]).tolist())]
         if len(self.rows) + len(keys) > CACHE_FRAGMENTS:
             self._forget()
-        rows = list(map(self.rows.get, keys.tolist()))
+        rows = list(map(self.rows.get, keys))
         new = np.array([i for i, row in enumerate(rows) if row is None], np.int64)
         if len(new):
             begin = starts[first[new]]
@@ -218,7 +231,7 @@ class ForcedBoundaryBPE:
             base = len(self.first) - 1
             self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(counts)))
             self.flat = np.concatenate((self.flat, ids))
-            self.rows.update(zip(keys[new].tolist(), range(base, base + len(new))))
+            self.rows.update(zip([keys[i] for i in new.tolist()], range(base, base + len(new))))
             for k, i in enumerate(new.tolist()):
                 rows[i] = base + k
         return np.array(rows, np.int64)[place]

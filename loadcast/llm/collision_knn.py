@@ -41,8 +41,11 @@ def _erf(x: float) -> float:
 class LineIndex:
     """The sorted projections of one block."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, scale: float):
-        self.ids, self.vectors, self.scale = ids, vectors, scale
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: float, scale: float):
+        # Lines and bounds see the vectors in units of the largest component, so that no square leaves the range.
+        self.ids, self.vectors, self.largest, self.scale = ids, vectors, largest, scale
+        vectors = vectors / largest
+        self.scaled = vectors
         lines = np.random.default_rng(SEED).standard_normal((vectors.shape[1] + 1, PROJECTIONS))
         square = np.minimum((vectors * vectors).sum(1) / scale**2, 1.0)
         full = np.concatenate((vectors / scale, np.sqrt(1 - square)[:, None]), 1)
@@ -61,8 +64,9 @@ class LineIndex:
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
         """For every query the ids and inner products of its `k` nearest verified vectors."""
-        norms = np.sqrt((queries * queries).sum(1))
-        centres = (queries / norms[:, None]) @ self.lines[:-1]
+        units = queries / np.abs(queries).max(1, keepdims=True)
+        units /= np.sqrt((units * units).sum(1))[:, None]
+        centres = units @ self.lines[:-1]
         threshold = math.ceil(COLLISIONS * PROJECTIONS)
         n = len(self.ids)
         state = [None] * len(queries)
@@ -76,9 +80,9 @@ class LineIndex:
                     state[q] = [self._first_count(bounds[row]), np.zeros(n, bool), [], []]
                 else:
                     self._widen(state[q][0], before[row], bounds[row])
-                done = self._verify(state[q], query_ids[q], queries[q], threshold)
+                done = self._verify(state[q], query_ids[q], units[q], threshold)
                 inside = bool((bounds[row, :, 1] - bounds[row, :, 0] == n).all())
-                if inside or done >= k and self._certain(state[q], k, norms[q], width):
+                if inside or done >= k and self._certain(state[q], k, width):
                     yield q, *self._best(state[q], k, queries[q])
                     state[q] = False
                 else:
@@ -109,20 +113,20 @@ class LineIndex:
             rings += [self.order[j, c:a], self.order[j, b:d]]
         count += np.bincount(np.concatenate(rings), minlength=len(count))
 
-    def _verify(self, state: list, query_id: int, query: np.ndarray, threshold: int) -> int:
+    def _verify(self, state: list, query_id: int, unit: np.ndarray, threshold: int) -> int:
         count, seen, found, scores = state
         fresh = np.flatnonzero((count >= threshold) & ~seen)
         seen[fresh] = True
         fresh = fresh[self.ids[fresh] != query_id]
         if len(fresh):
             found.append(fresh)
-            scores.append(self.vectors[fresh] @ query)
+            scores.append(self.scaled[fresh] @ unit)
         return sum(map(len, found))
 
-    def _certain(self, state: list, k: int, norm: float, width: float) -> bool:
+    def _certain(self, state: list, k: int, width: float) -> bool:
         scores = np.concatenate(state[3])
         kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-        distance = math.sqrt(max(2 - 2 * kth / (norm * self.scale), 1e-12))
+        distance = math.sqrt(max(2 - 2 * kth / self.scale, 1e-12))
         chance = _erf(width / distance)
         spread = math.sqrt(PROJECTIONS * chance * (1 - chance))
         return PROJECTIONS * chance - CERTAINTY * spread >= COLLISIONS * PROJECTIONS
@@ -131,11 +135,15 @@ class LineIndex:
         if not state[2]:
             return self.ids[:0], np.zeros(0)
         found, scores = np.concatenate(state[2]), np.concatenate(state[3])
-        if len(found) > k:
+        with np.errstate(over="ignore", invalid="ignore"):
+            exact = (self.vectors[found] * query).sum(1)
+        if len(found) > k and np.isfinite(exact).all():
             # The product of a matrix may round equal rows differently; near the k-th place all are computed anew.
             kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-            found = found[scores >= kth - 1e-9 * (abs(kth) + 1e-9 * self.scale)]
-        scores = (self.vectors[found] * query).sum(1)
+            near = scores >= kth - 1e-9 * (abs(kth) + 1e-9 * self.scale)
+            found, exact = found[near], exact[near]
+        # Products beyond the range of doubles are infinite and tie; one without a value counts as lowest.
+        scores = np.where(np.isnan(exact), -np.inf, exact)
         order = np.lexsort((self.ids[found], -scores))[:k]
         return self.ids[found[order]], scores[order]
 
@@ -158,16 +166,20 @@ def nearest(
     """`(query_id, rank, vec_id, score)`: the `k` nearest found of every row for which `is_query` holds. The
     condition is on `vec_id`."""
     vectors = store(usable(df, vec_id, vector), "vectors")
-    sizes = vectors.groupBy("dim").agg(
+    largest = vectors.groupBy("dim").agg(F.max(F.aggregate("vector", F.lit(0.0), lambda t, x: F.greatest(t, F.abs(x)))).alias("largest"))
+    vectors = store(vectors.join(F.broadcast(largest), "dim"), "measured")
+    sizes = vectors.groupBy("dim", "largest").agg(
         F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"),
         F.greatest(F.ceil(F.count_if(is_query) / QUERY_ROWS), F.lit(1)).alias("parts"),
-        F.sqrt(F.max(F.aggregate("vector", F.lit(0.0), lambda t, x: t + x * x))).alias("scale"),
+        F.sqrt(F.max(F.aggregate(
+            "vector", F.lit(0.0), lambda t, x: t + (x / F.col("largest")) * (x / F.col("largest"))
+        ))).alias("scale"),
     )
-    sized = vectors.join(sizes, "dim")
+    sized = vectors.join(sizes, ["dim", "largest"])
     part = F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1))
     block = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
     data = sized.withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), "blocks").cast("int"))
-    data = data.select("dim", "block", part.alias("part"), "vec_id", "vector", "scale")
+    data = data.select("dim", "block", part.alias("part"), "vec_id", "vector", "largest", "scale")
     asked = sized.filter(is_query).withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts").cast("int"))
     asked = asked.select("dim", block.alias("block"), "part", "vec_id", "vector")
     # Fresh columns: both sides come from the same table.
@@ -179,7 +191,8 @@ def nearest(
     def search(rows: pa.Table, queries: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if rows.num_rows and queries.num_rows:
-            index = LineIndex(rows.column("vec_id").to_numpy(), matrix(rows), rows.column("scale")[0].as_py())
+            largest, scale = rows.column("largest")[0].as_py(), rows.column("scale")[0].as_py()
+            index = LineIndex(rows.column("vec_id").to_numpy(), matrix(rows), largest, scale)
             ids = queries.column("vec_id").to_numpy()
             for q, near, scores in index.search(ids, matrix(queries), k):
                 found.append((np.full(len(near), ids[q]), near, scores))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -110,6 +111,43 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
+# Spans beyond this many bytes are hashed one by one, so that the others take few steps.
+LONG_SPAN = 256
+
+
+def word_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of bytes; equal for equal bytes. Eight bytes at a time go through a scramble that is not
+    linear in them, so no regular pair of strings collides, as it can under a polynomial modulo a power of two."""
+    lengths = (ends - starts).astype(np.int64)
+    state = mix(lengths.astype(np.uint64) + np.uint64(HASH_BASE))
+    padded = np.concatenate((np.ascontiguousarray(data), np.zeros(8, np.uint8)))
+    eight = np.lib.stride_tricks.as_strided(padded, (len(padded) - 7, 8), (1, 1))
+    masks = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+    spans = np.flatnonzero(lengths <= LONG_SPAN)
+    at, left = starts[spans], lengths[spans]
+    while len(spans):
+        piece = eight[at].view("<u8")[:, 0] & masks[np.minimum(left, 8)]
+        state[spans] = mix((state[spans] ^ mix(piece)) * np.uint64(HASH_BASE))
+        more = left > 8
+        spans, at, left = spans[more], at[more] + 8, left[more] - 8
+    for span in np.flatnonzero(lengths > LONG_SPAN).tolist():
+        digest = hashlib.blake2b(data[starts[span]:ends[span]].tobytes(), digest_size=8).digest()
+        state[span] = np.uint64(int.from_bytes(digest, "little"))
+    return state
+
+
+def same_bytes(
+    data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, others: np.ndarray, other_data: np.ndarray | None = None
+) -> np.ndarray:
+    """Whether each span holds the bytes of the span of its length that begins at its `others`."""
+    before = np.cumsum(lengths) - lengths
+    step = np.arange(int(lengths.sum()))
+    here = data[step + np.repeat(starts - before, lengths)]
+    there = (data if other_data is None else other_data)[step + np.repeat(others - before, lengths)]
+    differs = np.concatenate(([0], np.cumsum(here != there)))
+    return differs[before + lengths] == differs[before]
+
+
 def prefix_hash(symbols: np.ndarray) -> np.ndarray:
     """Running sums of symbol times power: any span's hash is a difference, see `span_hash`."""
     up, _ = _powers(len(symbols) + 1)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadcast.llm.common import (
-    LOWER, WORD_BYTES, components, mix, prefix_hash, span_hash, store, text_chunks, word_spans,
+    LOWER, WORD_BYTES, components, mix, store, text_chunks, word_hash, word_spans,
 )
 from loadcast.session import lookup, materialize
 
@@ -66,7 +66,7 @@ def shingle_hashes(
 def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     low = LOWER[data]
     starts, ends, rows = word_spans(low, offsets, WORD_BYTES)
-    return span_hash(prefix_hash(low), starts, ends), np.diff(rows)
+    return word_hash(low, starts, ends), np.diff(rows)
 
 
 def signatures(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:

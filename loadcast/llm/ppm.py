@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import LOWER, WORD_BYTES, prefix_hash, span_hash, store, text_chunks, word_spans
+from loadcast.llm.common import LOWER, WORD_BYTES, store, text_chunks, word_hash, word_spans
 
 ORDER = 5
 EDGE = 0xFF
@@ -62,7 +62,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Keys of all lower-cased words, and the n + 1 offsets of the rows; the ends are not among them."""
     low = LOWER[data]
     starts, ends, rows = word_spans(low, offsets, WORD_BYTES)
-    return (span_hash(prefix_hash(low), starts, ends) | TOKEN_BIT).view(np.int64), rows
+    return (word_hash(low, starts, ends) | TOKEN_BIT).view(np.int64), rows
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadcast.llm.common import (
-    WORD_BYTES, byte_set, line_spans, mix, prefix_hash, span_hash, text_chunks, word_spans,
+    WORD_BYTES, byte_set, line_spans, mix, text_chunks, word_hash, word_spans,
 )
 
 # Labelled documents that the trees are fitted on, chosen by a hash of the id; the bound does not grow with the data.
@@ -56,7 +56,6 @@ def _groups(hashes: np.ndarray, row_of: np.ndarray) -> tuple[np.ndarray, np.ndar
 def statistics(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The base counts and the features of every row, as columns of two matrices."""
     rows = len(offsets) - 1
-    running = prefix_hash(data)
     starts, ends, words_at = word_spans(data, offsets, WORD_BYTES)
     n_words = np.diff(words_at)
     row_of = np.repeat(np.arange(rows), n_words)
@@ -69,10 +68,10 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     spoken = np.searchsorted(starts, last) > np.searchsorted(starts, first)
     line_row = np.repeat(np.arange(rows), np.diff(lines_at))[spoken]
     n_lines = np.bincount(line_row, minlength=rows)
-    _, distinct_row, _ = _groups(span_hash(running, first[spoken], last[spoken]), line_row)
+    _, distinct_row, _ = _groups(word_hash(data, first[spoken], last[spoken]), line_row)
     n_dup_lines = n_lines - np.bincount(distinct_row, minlength=rows)
 
-    hashes = span_hash(running, starts, ends)
+    hashes = word_hash(data, starts, ends)
     covered = np.zeros(len(hashes), bool)
     if len(hashes) > 2:
         inside = row_of[2:] == row_of[:-2]

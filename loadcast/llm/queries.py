@@ -22,23 +22,26 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after a load, a second tokenizer version that adds an end token, deletion of documents without tokens,
-    a replay of the load, which adds nothing, naming of unnamed sources and languages, and a compaction."""
-    counts = store(bpe.count_table(table(spark, sf_dir, "documents"), ["source", "lang"]), "counts")
-    plain = counts.withColumn("tokenizer", F.lit("word_bpe_49k"))
-    ended = counts.withColumns({"tokenizer": F.lit("word_bpe_49k+end"), "n_tokens": F.col("n_tokens") + 1})
-    both = plain.unionByName(ended)
-    unnamed = both.filter("source IS NULL OR lang IS NULL")
-    empty = counts.filter("n_tokens = 0").withColumn("tokenizer", F.lit("word_bpe_49k"))
+    """Totals of all documents under two tokenizers by source and language, null keys being keys of their own.
+
+    They are reached by loads of both, a withdrawal and a return of the documents without tokens, a revision of counts
+    and its opposite, replays of batches, which add nothing, and a compaction in between.
+    """
+    docs, keys = table(spark, sf_dir, "documents"), ["source", "lang"]
+    words = store(bpe.count_table(docs, keys).withColumn("tokenizer", F.lit("word_bpe_49k")), "words")
+    pieces = store(rollups.library_counts(docs, keys).withColumn("tokenizer", F.lit("byte_bpe_50k")), "pieces")
     rollup = rollups.Rollup(spark, scratch_path(spark, "rollup"))
-    rollup.commit("load", rollups.inserted(plain))
-    rollup.commit("end token", rollups.inserted(ended))
-    rollup.commit("unnamed", rollups.revised(unnamed, unnamed.fillna("", ["source", "lang"])))
+    rollup.commit("words", rollups.inserted(words))
+    empty = words.filter("n_tokens = 0")
+    rollup.commit("withdrawn", rollups.deleted(empty))
+    rollup.commit("pieces", rollups.inserted(pieces))
     rollup.compact()
-    gone = empty.fillna("", ["source", "lang"])
-    gone = gone.unionByName(gone.withColumns({"tokenizer": F.lit("word_bpe_49k+end"), "n_tokens": F.lit(1)}))
-    rollup.commit("without tokens", rollups.deleted(gone))
-    rollup.commit("load", rollups.inserted(plain))
+    longer = pieces.withColumn("n_tokens", F.col("n_tokens") + 1)
+    rollup.commit("with ends", rollups.revised(pieces, longer))
+    rollup.commit("words", rollups.inserted(words))
+    rollup.commit("returned", rollups.inserted(empty))
+    rollup.commit("without ends", rollups.revised(longer, pieces))
+    rollup.commit("without ends", rollups.revised(longer, pieces))
     return rollup.totals()
 
 

@@ -11,9 +11,14 @@ an empty batch commits and changes nothing; columns that are not named are ignor
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import base64
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from urllib.parse import quote
 
+import public_tokenizers
+import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +45,29 @@ def _signed(rows: DataFrame, keys: Sequence[str], sign: int) -> DataFrame:
     return rows.select(*keys, F.lit(sign).cast("long").alias("n_docs"), (tokens * sign).alias("n_tokens"))
 
 
+def library_counts(
+    df: DataFrame, keep: Sequence[str], text: str = "text", ranks: str = "byte_bpe_50k.tiktoken"
+) -> DataFrame:
+    """The kept columns and `n_tokens` per row under a byte-level vocabulary, as its library counts; a null text has none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding = byte_encoding(ranks)
+        for batch in batches:
+            counts = [len(encoding.encode_ordinary(t or "")) for t in batch.column(len(keep)).to_pylist()]
+            columns = [*(batch.column(i) for i in range(len(keep))), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, "n_tokens"])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema), "n_tokens long"])
+    return df.select(*keep, text).mapInArrow(run, schema)
+
+
+@lru_cache(maxsize=2)
+def byte_encoding(ranks: str) -> tiktoken.Encoding:
+    with open(public_tokenizers.path(ranks), "rb") as file:
+        known = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+    return tiktoken.Encoding(ranks, pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
+
+
 class Rollup:
     """Additive totals in a folder that all executors share."""
 
