@@ -66,8 +66,14 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    distinct, place = np.unique(keys, return_inverse=True)
-    return distinct, np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64)
+    """Distinct keys in order and the sums of their counts, with three arrays of the keys' length at most."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    del order
+    heads = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[heads], np.add.reduceat(counts, heads)
 
 
 def _counted(column: pa.Array, trained: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
