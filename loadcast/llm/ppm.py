@@ -37,7 +37,7 @@ TOKEN_BIT = np.uint64(1 << 63)
 # Key that stands for the end of a text among the words.
 END_TOKEN = -1
 # Text bytes per block, and keys that a task holds before it hands them on.
-BLOCK_BYTES, HELD_KEYS = 32 << 20, 6_000_000
+BLOCK_BYTES, HELD_KEYS = 32 << 20, 3_000_000
 
 
 def grams(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
