@@ -7,9 +7,11 @@ found too unless all chunks differ twice: at a similarity of 0.8 one pair in 40,
 only after comparing the full sets.
 
 Documents with equal sets are one class and enter the search once. Small buckets are compared pair by pair; a large
-bucket is compared with its most central member first. Classes that are in one component by then need no comparison,
-and for the others the sets' overlap with that member bounds their overlap with each other, so only pairs that can
-still be links are compared, and a group of thousands of near copies never turns into all its pairs.
+bucket is compared with its most central member, the pivot, first. Classes that are in one component by then need no
+comparison. The others meet through what sets them apart: the shingles that only one of a class and its pivot holds.
+Two linked classes of which one is not linked with the pivot must share such a shingle, and one among their rarest.
+Where many share one, they are compared with one of them first, again and again as long as that joins them, so a group
+of thousands of near copies never turns into all its pairs.
 
 Words are cut at ASCII white space and A-Z is lower-cased. A document with fewer words than a shingle has one shingle,
 its whole text; one without words, or with null text, has none and is linked with nothing. Equal rows are one class.
@@ -36,7 +38,7 @@ CHUNKS, WIDTH, BITS = 8, 5, 16
 SYMBOLS = CHUNKS * WIDTH
 # Buckets up to this size are compared pair by pair at once; larger ones first with one central member.
 SMALL_BUCKET = 8
-# Rows of a large bucket per part that meets the whole bucket in one task.
+# Rows that share a shingle of their deltas, per part that meets them all in one task.
 PART_ROWS = 5_000
 
 _RNG = np.random.default_rng(20240229)
@@ -79,13 +81,6 @@ def signatures(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-# Bitmap of hashes: eight numbers of 64 bits.
-REST_WORDS = 8
-REST_BITS = (
-    f"transform(sequence(0, {REST_WORDS - 1}), w -> aggregate(filter(rest, e -> pmod(e, {REST_WORDS}) = w), 0L,"
-    f" (t, e) -> t | shiftleft(1L, cast(pmod(shiftright(e, 3), 64) as int))))"
-)
-
 SIGNED = "doc_id long, text_key long, n_shingles long, node long, signature array<int>"
 
 
@@ -168,10 +163,10 @@ def shingle_sets(df: DataFrame, shingle: int) -> DataFrame:
 
 
 def _compared(
-    pairs: DataFrame, classes: DataFrame, df: DataFrame, shingle: int, bitmaps: bool = False
+    pairs: DataFrame, classes: DataFrame, df: DataFrame, shingle: int, deltas: bool = False
 ) -> DataFrame:
     """`(a, b, n_a, n_b, common)`: the pairs with the sizes of their full sets and of what both hold, stored. With
-    `bitmaps`, also `rest`, a bitmap of what only `a` holds."""
+    `deltas`, also `delta`, what one of the two holds and the other does not."""
     pairs = store(pairs, "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     need = lookup(classes.join(nodes, "node", "left_semi").select("text_key", "first_id"))
@@ -186,9 +181,10 @@ def _compared(
     counts = both.select(
         "a", "b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"),
         F.size(F.array_intersect("set_a", "set_b")).alias("common"),
-        *([F.array_except("set_a", "set_b").alias("rest")] if bitmaps else []),
+        *([F.concat(F.array_except("set_a", "set_b"), F.array_except("set_b", "set_a")).alias("delta")]
+          if deltas else []),
     )
-    return store(counts.withColumn("rest", F.expr(REST_BITS)) if bitmaps else counts, "compared")
+    return store(counts, "compared")
 
 
 def _linked(compared: DataFrame, percent: int) -> DataFrame:
@@ -219,38 +215,82 @@ def _small_bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return x.join(y, met).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
-def _apart_pairs(live: DataFrame, percent: int) -> DataFrame:
-    """Pairs of rows of large buckets that stand in different components and can be links by exact bounds. Every row
-    knows what it shares with the bucket's pivot, which bounds what two rows can share: all that the smaller one shares
-    with the pivot, and, of what they hold besides, the bits that both bitmaps have and the hashes that share a bit.
-
-    The rows apart from the pivot are dealt over the parts of their bucket, and every part meets the whole bucket, so
-    a bucket of any size is spread over tasks. The bitmaps are plain columns, which keeps the compiled test short."""
-    words = [f"rest_{w}" for w in range(REST_WORDS)]
-    bits = [F.bit_count(F.get("rest", F.lit(w))) for w in range(REST_WORDS)]
-    live = store(live.select(
-        "key", "node", "root", "pivot_root", "n_shingles", "shared",
-        (F.col("n_shingles") - F.col("shared") - sum(bits[1:], bits[0])).alias("crowded"),
-        F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts"),
-        *[F.get("rest", F.lit(w)).alias(name) for w, name in enumerate(words)],
-    ), "apart")
+def _delta_index(placed: DataFrame, stars: DataFrame) -> DataFrame:
+    """`(pivot, shingle, node, n, n_delta, ahead, apart, held)`: the deltas of rows to their pivot, opened, where one
+    row at least stands apart from the pivot. `held` rows of the pivot have the shingle, two at least, one of them
+    apart. `ahead` counts the row's shingles from this one on, the rarest being first.
+
+    A link has `common >= percent / (100 + percent) * (n_a + n_b)`, so at most `(100 - percent) / (100 + percent)` of
+    `n_a + n_b` shingles are in one of the two only. A row that is not linked with the pivot has a delta beyond that,
+    which a second row can undo only by sharing a part of it."""
+    open_ = placed.filter("apart").select("pivot").distinct()
+    rows = stars.select(F.col("b").alias("pivot"), F.col("a").alias("node"), F.col("n_a").alias("n"), "delta")
+    rows = rows.join(open_, "pivot", "left_semi").join(placed.select("pivot", "node", "apart"), ["pivot", "node"])
+    opened = store(rows.select(
+        "pivot", "node", "n", "apart", F.size("delta").alias("n_delta"), F.explode("delta").alias("shingle"),
+    ), "deltas")
+    held = opened.groupBy("pivot", "shingle").agg(
+        F.count("*").alias("held"), F.max("apart").alias("any_apart")
+    ).filter("held > 1 and any_apart").drop("any_apart")
+    order = F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("order")
+    shared = opened.join(held, ["pivot", "shingle"]).groupBy("pivot", "node", "n", "n_delta", "apart").agg(order)
+    return store(
+        shared.select("*", F.size("order").alias("n_shared"), F.posexplode("order").alias("place", "one")).select(
+            "pivot", "one.shingle", "node", "n", "n_delta", (F.col("n_shared") - F.col("place")).alias("ahead"),
+            "apart", "one.held",
+        ), "index",
+    )
+
+
+def _may_link(percent: int) -> Column:
+    """Whether index rows `x` and `y` of one shingle can be a link that meets here first: as many shingles as both
+    deltas must share are still to come in both."""
+    sizes = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
+    deltas, both = F.col("x.n_delta") + F.col("y.n_delta"), F.col("x.n") + F.col("y.n")
+    need = deltas * (100 + percent) - both * (100 - percent)
+    reach = F.least("x.ahead", "y.ahead") * (2 * (100 + percent)) >= need
+    return (F.col("x.root") != F.col("y.root")) & (F.col("x.apart") | F.col("y.apart")) & sizes & reach
+
+
+def _ends() -> tuple[Column, Column]:
+    return F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
+
+
+def _centre_pairs(index: DataFrame, percent: int) -> DataFrame:
+    """Rows that share a shingle with others, each with the one of them that has most such shingles."""
+    busy = index.groupBy("pivot", "node").agg(F.count("*").alias("busy"))
+    centre = index.join(busy, ["pivot", "node"]).groupBy("pivot", "shingle").agg(
+        F.max(F.struct("busy", "node", "n", "n_delta", "ahead", "apart", "root")).alias("y")
+    ).select("pivot", "shingle", "y.*").alias("y")
+    x = index.alias("x")
+    met = (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.shingle") == F.col("y.shingle"))
+    return x.join(centre, met & _may_link(percent)).select(*_ends()).distinct()
+
+
+def _index_pairs(index: DataFrame, percent: int) -> DataFrame:
+    """All pairs of rows that share a shingle and can be a link. The rows that stand apart are dealt over the parts of
+    their shingle, and every part meets all its rows, so a shingle with any number of rows is spread over tasks."""
+    index = index.withColumn("parts", F.ceil(F.col("held") / PART_ROWS).cast("int"))
+    mine = index.filter("apart").withColumn("part", F.expr("pmod(xxhash64(node), parts)").cast("int"))
+    theirs = index.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
     # A stated number: the rows are few, their pairs are not, and the planner would merge them into few tasks.
-    tasks = int(live.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    mine = live.filter("root <> pivot_root").withColumn("part", F.expr("pmod(xxhash64(node), parts)").cast("int"))
-    theirs = live.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
-    x = mine.repartition(tasks, "key", "part").alias("x")
-    y = theirs.repartition(tasks, "key", "part").hint("merge").alias("y")
-    both = [F.bit_count(F.col(f"x.{name}").bitwiseAND(F.col(f"y.{name}"))) for name in words]
-    most = F.least("x.shared", "y.shared") + F.least("x.crowded", "y.crowded") + sum(both[1:], both[0])
-    sizes = F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * percent
-    # Two rows that are both apart from the pivot meet twice.
-    once = (F.col("y.root") == F.col("y.pivot_root")) | (F.col("x.node") < F.col("y.node"))
-    met = (
-        (F.col("x.key") == F.col("y.key")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.root") != F.col("y.root"))
-        & once & sizes & (most * (100 + percent) >= (F.col("x.n_shingles") + F.col("y.n_shingles")) * percent)
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = mine.repartition(tasks, "pivot", "shingle", "part").alias("x")
+    y = theirs.repartition(tasks, "pivot", "shingle", "part").alias("y")
+    met = F.lit(True)
+    for name in ("pivot", "shingle", "part"):
+        met = met & (F.col(f"x.{name}") == F.col(f"y.{name}"))
+    once = ~F.col("y.apart") | (F.col("x.node") < F.col("y.node"))
+    return x.join(y, met & once & _may_link(percent)).select(*_ends()).distinct()
+
+
+def _rooted(index: DataFrame, roots: DataFrame) -> DataFrame:
+    """The index rows whose shingle still joins different components, with their roots."""
+    rows = store(
+        index.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted"
     )
-    ends = F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
-    return x.join(y, met).select(*ends).distinct()
+    keys = rows.groupBy("pivot", "shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return rows.join(keys.filter("low <> high").select("pivot", "shingle"), ["pivot", "shingle"], "left_semi")
 
 
 def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -278,27 +318,27 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
     large = store(large.join(pivots.select("key", F.col("pivot.node").alias("pivot")), "key"), "large")
     stars = _compared(
         large.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(),
-        classes, df, shingle, bitmaps=True,
+        classes, df, shingle, deltas=True,
     )
     links = store(_linked(compared, percent).union(_linked(stars, percent)), "links")
     roots = materialize(components(links))
-    placed = large.select("key", "n", "node", "pivot").join(roots, "node", "left").withColumnRenamed("root", "own")
-    placed = placed.join(roots.toDF("pivot", "pivot_own"), "pivot", "left").select(
-        "key", "n", "node", "pivot", F.coalesce("own", "node").alias("root"),
-        F.coalesce("pivot_own", "pivot").alias("pivot_root"),
-    )
-    open_ = placed.filter("root <> pivot_root").select("key").distinct()
-    live = placed.join(open_, "key", "left_semi").join(sides.drop("signature"), "node").join(
-        stars.select(F.col("a").alias("node"), F.col("b").alias("pivot"), F.col("common").alias("with_pivot"), "rest"),
-        ["node", "pivot"], "left",
+    placed = stars.select(F.col("a").alias("node"), F.col("b").alias("pivot")).join(roots, "node", "left").select(
+        "node", "pivot", F.coalesce("root", "node").alias("root")
+    ).join(roots.toDF("pivot", "pivot_root"), "pivot", "left").select(
+        "node", "pivot", (F.col("root") != F.coalesce("pivot_root", "pivot")).alias("apart")
     )
-    # The pivot shares all it has with itself.
-    nothing = F.array_repeat(F.lit(0).cast("long"), REST_WORDS)
-    live = live.withColumns({
-        "shared": F.coalesce("with_pivot", "n_shingles"), "rest": F.coalesce("rest", nothing),
-    }).drop("with_pivot", "pivot")
-    apart = _compared(_apart_pairs(live, percent), classes, df, shingle)
-    links = links.union(_linked(apart, percent))
+    index = _delta_index(placed, stars)
+    met = None
+    while True:
+        index = _rooted(index.drop("root"), roots)
+        crowded = store(index.filter(F.col("held") > SMALL_BUCKET), "crowded")
+        before, met = met, crowded.count()
+        # A round that leaves more than half of the rows would be followed by others like it.
+        if not met or before is not None and 2 * met > before:
+            break
+        links = links.union(_linked(_compared(_centre_pairs(crowded, percent), classes, df, shingle), percent))
+        roots = materialize(components(links))
+    links = links.union(_linked(_compared(_index_pairs(index, percent), classes, df, shingle), percent))
     roots = materialize(components(links))
     rooted = classes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least_id")
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))

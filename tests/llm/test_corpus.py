@@ -377,6 +377,36 @@ def test_large_group_of_near_copies(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == dict(enumerate(roots))
 
 
+def test_large_groups_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """Twice the near copies need less than four times the comparisons, and a second group inside is found."""
+    counts = []
+    compared = minhash_join._compared
+
+    def counted(*args, **kwargs):
+        out = compared(*args, **kwargs)
+        counts[-1] += out.count()
+        return out
+
+    monkeypatch.setattr(minhash_join, "_compared", counted)
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(120)]
+    for size in (150, 300):
+        rows = []
+        for i in range(size):
+            own = list(words)
+            if i % 3 == 0:
+                own[::9] = [f"other{j}" for j in range(len(own[::9]))]
+            for place in rng.choice(120, rng.integers(0, 12), replace=False):
+                own[place] = f"x{i}_{place}"
+            rows.append(" ".join(own))
+        roots, _ = near_by_hand(rows, 2)
+        counts.append(0)
+        df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+        found = {r.doc_id: r.component_id for r in minhash_join.near_duplicates(df, 2).collect()}
+        assert found == dict(enumerate(roots))
+    assert counts[1] < 4 * counts[0]
+
+
 # Language model
 
 
