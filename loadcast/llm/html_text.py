@@ -2,10 +2,12 @@
 
 A page is cut at block-level tags into a flat list of texts. Each block is described by its words, its share of linked
 words, the same two of its neighbours, and whether it stands in an element for content or for boilerplate. The tree is
-fitted on the small labelled table below.
+fitted on the small labelled table below; pages without any element for content have a tree and more rows of their own.
 
 Classes, ids and roles mark boilerplate as whole names or as known compounds (`comment-list`, `site-footer`), so
-`has-sidebar` and `related-work` mark nothing. Headings and parts of an article have ids for links, which are not read.
+`has-sidebar` and `related-work` mark nothing. Headings and parts of an article have ids for links, which are not read
+unless they name a list of comments. Elements with a `hidden` attribute or `display:none` are boilerplate. A paragraph
+ends where the next block begins, so its own marks reach no further.
 A `main`, or an `article` with no unmarked article before it, takes back the marks of wrappers around it.
 
 Scripts, styles, comments, titles and other parts without readable text are skipped; the code of a script or style ends
@@ -43,6 +45,8 @@ BOILERPLATE = frozenset("nav footer aside form menu dialog button fieldset".spli
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # Of these, the ones that hold no main text even if an article stands in them.
 FIRM = BOILERPLATE - {"form"}
+# Elements that stand within a paragraph and do not end it.
+IN_PARAGRAPH = frozenset("button caption tbody td tfoot th thead tr".split())
 # Elements whose id can name a part of the page, as other ids are targets of links.
 NAMED = frozenset("div section ul ol table td".split())
 # Names in a class, id or role that mark boilerplate.
@@ -68,11 +72,20 @@ _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _MARK = "|".join(sorted(MARKS, key=len, reverse=True))
 # A mark by itself, or between a word for the place and words for the kind of box, with a number.
 _MARKED = re.compile(
-    rf"(?:(?:site|page|global|main|primary|secondary|top|bottom|post|entry|article|blog)-)?(?:{_MARK})(?:-(?:{_MARK}))*"
+    r"(?:(?:site|page|global|main|primary|secondary|top|bottom|post|entry|article|blog|reader|readers|user|users)-)?"
+    rf"(?:{_MARK})(?:-(?:{_MARK}))*"
     r"(?:-(?:area|articles|bar|block|box|button|buttons|container|icons|inner|item|items|form|links|list|posts|section|"
     r"slot|stories|thread|unit|widgets|wrap|wrapper))*(?:-?\d+(?:x\d+)?)?"
-    r"|(?:div-)?(?:comment|comments|cookie|footer|modal|popup|reply|sidebar)-(?:body|content|text|message)(?:-\d+)?"
+    r"|(?:div-)?(?:advert|comment|comments|cookie|footer|modal|popup|promo|reply|sidebar|sponsored)"
+    r"-(?:body|content|text|message)(?:-\d+)?"
+    r"|comments?list(?:-\d+)?"
 )
+# Ids that name a list of comments wherever they stand.
+_COMMENTS_ID = re.compile(
+    r"(?:blog|post|reader|readers|user|users)-comments|comments?-(?:area|form|list|section|thread|wrap|wrapper)"
+    r"|comments?list|disqus(?:-thread)?"
+)
+_UNSEEN = re.compile(r"display\s*:\s*none")
 _WORD_CUT = re.compile(r"[^a-z]+")
 _JOINT = re.compile(r"[-_]+")
 
@@ -121,6 +134,21 @@ LABELLED = (
     (20, 0.9, 3, 1.0, 30, 0.0, 0, 0, 0, 0), (2, 0.0, 5, 1.0, 25, 0.0, 0, 0, 0, 0),
 )
 
+# More blocks of pages that have no content element at all, where short blocks and headings belong to the text.
+PLAIN = (
+    (3, 0.0, 2, 0.0, 3, 0.0, 0, 0, 0, 1),
+    (2, 0.0, 0, 0.0, 40, 0.0, 0, 0, 1, 1), (4, 0.0, 0, 0.0, 6, 0.0, 0, 0, 1, 1),
+    (3, 0.0, 50, 0.0, 45, 0.0, 0, 0, 1, 1), (1, 0.0, 12, 0.0, 8, 0.0, 0, 0, 1, 1),
+    (2, 0.0, 2, 1.0, 30, 0.0, 0, 0, 1, 1), (5, 0.0, 1, 1.0, 4, 0.0, 0, 0, 1, 1),
+    (4, 0.0, 30, 0.0, 4, 0.0, 0, 0, 0, 1), (3, 0.0, 4, 0.0, 4, 0.0, 0, 0, 0, 1),
+    (5, 0.0, 3, 0.0, 50, 0.0, 0, 0, 0, 1), (2, 0.0, 3, 0.0, 2, 0.0, 0, 0, 0, 1),
+    (1, 0.0, 2, 0.0, 1, 0.0, 0, 0, 0, 1), (4, 0.0, 80, 0.0, 60, 0.0, 0, 0, 0, 1),
+    (6, 0.0, 5, 0.0, 7, 0.0, 0, 0, 0, 1), (3, 0.0, 40, 0.0, 30, 0.1, 0, 0, 0, 1),
+    (4, 0.0, 25, 0.0, 0, 0.0, 0, 0, 0, 1), (6, 0.0, 4, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (9, 0.0, 3, 0.0, 0, 0.0, 0, 0, 0, 1), (5, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (6, 0.3, 40, 0.0, 35, 0.0, 0, 0, 0, 1), (4, 0.0, 2, 0.0, 12, 0.0, 0, 0, 0, 1),
+)
+
 
 class Tree:
     """A binary decision tree by Gini impurity, in arrays of nodes."""
@@ -170,12 +198,22 @@ def fitted_tree() -> Tree:
     return Tree(rows[:, :-1], rows[:, -1])
 
 
+@lru_cache(maxsize=1)
+def plain_tree() -> Tree:
+    """The tree for pages without content elements. Every block of such a page is no main text within boilerplate."""
+    known = {r[:-1] for r in PLAIN}
+    plain = [*PLAIN, *(r for r in LABELLED if not r[6] and not r[7] and r[:-1] not in known)]
+    marked = [(*r[:6], inside, 1, r[8], 0) for r in plain for inside in (0, 1)]
+    rows = np.array([*plain, *marked, *(r for r in LABELLED if r[7])], float)
+    return Tree(rows[:, :-1], rows[:, -1], depth=10)
+
+
 def _standing(name: str, attributes: str, inside_content: bool, inside_article: bool) -> tuple[bool, bool]:
     """Whether an element is for content, and whether for boilerplate."""
     content, boiler = name in CONTENT, name in BOILERPLATE
     if name == "header":
         boiler = not inside_content
-    if attributes and "=" in attributes and name not in ("body", "head", "html"):
+    if attributes and name not in ("body", "head", "html"):
         values: dict[str, str] = {}
         for found in _ATTRIBUTE.findall(attributes):
             values.setdefault(found[0].lower(), (found[1] or found[2] or found[3]).lower())
@@ -183,6 +221,10 @@ def _standing(name: str, attributes: str, inside_content: bool, inside_article:
         words = {w for n in (*names, values.get("id", "")) for w in _WORD_CUT.split(n)}
         if name in NAMED and (not inside_content or name == "div" and not inside_article and "section" not in names):
             names += values.get("id", "").split()
+        elif _COMMENTS_ID.fullmatch(_JOINT.sub("-", values.get("id", ""))) and name not in HEADINGS:
+            boiler = True
+        hidden = values.get("hidden", "until-found") != "until-found"
+        boiler = boiler or hidden or bool(_UNSEEN.search(values.get("style", "")))
         if name != "main":
             boiler = boiler or any(_MARKED.fullmatch(_JOINT.sub("-", n)) for n in names)
         content = content or bool(words & CONTENT_MARKS) and not boiler
@@ -241,6 +283,12 @@ def page_blocks(source: str) -> list[tuple[str, int, float, bool, bool, bool]]:
         if links:
             linked_words += len(raw.split())
 
+    def leave(name: str) -> None:
+        nonlocal content, article, boiler, firm
+        last = ""
+        while last != name:
+            last, (content, article, boiler, firm) = stack.pop()
+
     while token := _TOKEN.search(source, place):
         if token.start() > place and not skip:
             add(source[place:token.start()])
@@ -278,10 +326,17 @@ def page_blocks(source: str) -> list[tuple[str, int, float, bool, bool, bool]]:
             flush()
             links = 0
             heading = name in HEADINGS and not closing
-        if name in VOID or name == "p" or attributes.endswith("/"):
+            if not closing and name not in IN_PARAGRAPH and any(s[0] == "p" for s in stack):
+                leave("p")
+        if name in VOID or attributes.endswith("/"):
             continue
         if not closing:
             is_content, is_boiler = _standing(name, attributes, content, article)
+            if name == "p":
+                # Plain paragraphs change nothing, so they need no place among the open elements.
+                is_content = False
+                if not is_boiler:
+                    continue
             if name in BLOCKS or is_boiler:
                 if name not in BLOCKS:
                     flush()
@@ -297,10 +352,7 @@ def page_blocks(source: str) -> list[tuple[str, int, float, bool, bool, bool]]:
         elif any(s[0] == name for s in stack):
             if name not in BLOCKS:
                 flush()
-            while True:
-                last, (content, article, boiler, firm) = stack.pop()
-                if last == name:
-                    break
+            leave(name)
     if place < len(source) and not skip:
         add(source[place:])
     flush()
@@ -310,12 +362,16 @@ def page_blocks(source: str) -> list[tuple[str, int, float, bool, bool, bool]]:
 def page_texts(pages: list[str | None]) -> list[str]:
     """The main text of every page."""
     blocks = [page_blocks(p) if p else [] for p in pages]
-    rows = []
+    rows, plain = [], []
     for page in blocks:
         around = [(0, 0.0), *((b[1], b[2]) for b in page), (0, 0.0)]
+        plain += [not any(b[3] and not b[4] for b in page)] * len(page)
         for i, (_, words, share, content, boiler, heading) in enumerate(page):
             rows.append((words, share, *around[i], *around[i + 2], content, boiler, heading))
-    chosen = iter(fitted_tree().predict(np.array(rows, float)).tolist()) if rows else iter(())
+    if not rows:
+        return [""] * len(pages)
+    table = np.array(rows, float)
+    chosen = iter(np.where(plain, plain_tree().predict(table), fitted_tree().predict(table)).tolist())
     return ["\n".join([b[0] for b in page if next(chosen)]) for page in blocks]
 
 

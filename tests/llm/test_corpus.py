@@ -620,6 +620,34 @@ CODE_PAGES = (
 )
 
 
+PARAGRAPH = "A paragraph of the text that is long enough to be told from a menu entry by its words alone."
+# Boilerplate by marks of paragraphs, of compounds and by hidden parts, and pages without any content element.
+PLAIN_PAGES = (
+    ("<article><p>one</p><p class='ad'>gone</p><p>two</p></article>", "one\ntwo"),
+    ("<article><p class=notice>gone<p>one<p class=comment>gone<div>two</div></article>", "one\ntwo"),
+    ("<article><p class=ad>gone <b>too</b><p>one</p></article>", "one"),
+    ("<article><p hidden>gone</p><div style='color:red; display: none'>gone</div><p>one</p></article>", "one"),
+    ("<article><p hidden='until-found'>one</p></article>", "one"),
+    ("<article>one<div class='reader-comments'><p>gone</p></div></article>", "one"),
+    ("<article>one<ol class='commentlist'><li>gone</ol></article>", "one"),
+    ("<article>one<div class='sponsored-content'><p>gone</p></div>two</article>", "one\ntwo"),
+    ("<article>one<div id='user-comments'><p>gone</p></div></article>", "one"),
+    ("<article><h2 id='comments-section'>Head</h2><p>one</p></article>", "Head\none"),
+    (f"<body><h1>Head</h1><p>{PARAGRAPH}</p><h2>Part</h2><p>Short one here.</p><p>{PARAGRAPH}</p></body>",
+     f"Head\n{PARAGRAPH}\nPart\nShort one here.\n{PARAGRAPH}"),
+    (f"<h1>Head</h1><p>{PARAGRAPH}</p><ul><li>first thing<li>second thing<li>third</ul><p>{PARAGRAPH}</p>",
+     f"Head\n{PARAGRAPH}\nfirst thing\nsecond thing\nthird\n{PARAGRAPH}"),
+    (f"<ul><li><a href=x>Home</a><li><a href=y>About us</a></ul><h1>Head</h1><p>{PARAGRAPH}</p><p>The end.</p>",
+     f"Head\n{PARAGRAPH}\nThe end."),
+)
+
+
+def test_paragraph_marks_and_pages_without_content_elements():
+    assert html_text.page_texts([p for p, _ in PLAIN_PAGES]) == [t for _, t in PLAIN_PAGES]
+    rows = np.array(html_text.PLAIN, float)
+    assert (html_text.plain_tree().predict(rows[:, :-1]) == rows[:, -1]).all()
+
+
 def test_code_in_pages_and_left_out_tags():
     assert html_text.page_texts([p for p, _ in CODE_PAGES]) == [t for _, t in CODE_PAGES]
     page = "<article>" + "<script><!--<script>a<b</script>" * 20000 + "kept"
