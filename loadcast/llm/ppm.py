@@ -7,9 +7,11 @@ empty context all remaining symbols are equally likely. Texts begin after, and e
 text holds.
 
 Probabilities depend on a context and its symbol only, so each distinct pair is scored once: counts are gathered over
-all documents, tries are built per last two context bytes, and the shorter contexts, at most 65,792 rows, are sent
-along. Documents are scored in blocks. A block asks for the pairs and words that it holds, and gets just their values,
-so no task needs the whole model.
+all documents, and contexts that end in the same three bytes are scored in one task together with others, so that the
+pairs of a task stay near a stated number. Three bytes leave 256 ** 3 pairs at most, which bounds the largest task too.
+What follows the two last bytes comes along as a table, the shorter contexts, at most 65,792 rows, with the code.
+Documents are scored in blocks. A block asks for the pairs and words that it holds, and gets just their values, so no
+task needs the whole model.
 
 The base score is a word model with one added to every count: words are cut at ASCII white space, A-Z is lower-cased,
 and one end follows every text. Null text is empty, with the end as its only token. A null doc_id has no checksum
@@ -36,8 +38,8 @@ SYMBOLS = 256
 TOKEN_BIT = np.uint64(1 << 63)
 # Key that stands for the end of a text among the words.
 END_TOKEN = -1
-# Text bytes per block, and keys that a task holds before it hands them on.
-BLOCK_BYTES, HELD_KEYS = 32 << 20, 3_000_000
+# Text bytes per block, keys that a task holds before it hands them on, and keys scored together on average.
+BLOCK_BYTES, HELD_KEYS, SCORED_KEYS = 32 << 20, 3_000_000, 500_000
 
 
 def grams(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -190,20 +192,28 @@ def log_probabilities(pairs: np.ndarray, levels: list[Contexts]) -> np.ndarray:
 
 
 def gram_scores(counts: DataFrame) -> DataFrame:
-    """`(key, value)`: log10 of the symbol after its context, for every gram of `(key, n)`."""
+    """`(key, value)`: log10 of the symbol after its context, for every gram of `(key, n)`, each of which is one row."""
     low = counts.groupBy(F.col("key").bitwiseAND(0xFFFF).alias("key")).agg(F.sum("n").alias("n"))
     rows = low.collect()
     pairs = np.array([r.key for r in rows], np.int64)
     shared_pairs, shared_counts = _summed(pairs, np.array([r.n for r in rows], np.int64))
 
-    def run(group: pa.Table) -> pa.Table:
+    def run(group: pa.Table, seconds: pa.Table) -> pa.Table:
         keys, n = _summed(group.column("key").to_numpy(), group.column("n").to_numpy())
         levels = [Contexts(*shorter(shared_pairs, shared_counts, k)) for k in range(2)]
-        levels += [Contexts(*shorter(keys, n, k)) for k in range(2, ORDER + 1)]
+        levels.append(Contexts(*_summed(seconds.column("pair").to_numpy(), seconds.column("n").to_numpy())))
+        levels += [Contexts(*shorter(keys, n, k)) for k in range(3, ORDER + 1)]
         return pa.table({"key": keys, "value": log_probabilities(keys, levels)})
 
-    near = F.shiftright("key", 8).bitwiseAND(0xFFFF)
-    return counts.select("key", "n", near.alias("near")).groupBy("near").applyInArrow(run, "key long, value double")
+    parts = max(1, math.ceil(counts.count() / SCORED_KEYS))
+    pair = F.col("key").bitwiseAND(0xFFFFFF)
+    third = F.shiftright("key", 8).bitwiseAND(0xFFFFFF)
+    grouped = counts.select("key", "n", F.pmod(F.xxhash64(third), F.lit(parts)).alias("part"))
+    seconds = counts.groupBy(pair.alias("pair")).agg(F.sum("n").alias("n"))
+    seconds = seconds.withColumn("near", F.shiftright("pair", 8))
+    wanted = grouped.select("part", F.shiftright("key", 8).bitwiseAND(0xFFFF).alias("near")).distinct()
+    seconds = wanted.join(seconds, "near").select(F.col("part").alias("place"), "pair", "n")
+    return grouped.groupBy("part").cogroup(seconds.groupBy("place")).applyInArrow(run, "key long, value double")
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -212,7 +222,7 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score
 def _score_block(docs: pa.Table, values: pa.Table, total: int, kinds: int) -> pa.Table:
     key = values.column("key").to_numpy()
     order = np.argsort(key)
-    key, value = key[order], values.column("value").to_numpy()[order].astype(np.float64)
+    key, value = key[order], values.column("value").to_numpy()[order]
     del values, order
     words_end = int(np.searchsorted(key, 0))
     word_keys, word_counts, gram_keys, gram_logs = key[:words_end], value[:words_end], key[words_end:], value[words_end:]
@@ -268,10 +278,9 @@ def score_documents(df: DataFrame, block: Column, out_of_fold: Column) -> DataFr
         counts.filter(F.col("key") < 0).select("key", F.col("n").cast("double"))
     )
     # A key can come from a block more than once if several tasks read the block.
-    asked = keys.select("block", "key").join(store(values, "values"), "key")
-    asked = asked.select("block", "key", F.col("value").cast("float").alias("value"))
+    asked = keys.select("block", "key").join(values, "key").select("block", "key", "value")
     last = docs.select("block").distinct().select(
-        "block", F.lit(END_TOKEN).cast("long").alias("key"), F.lit(float(ends)).cast("float").alias("value")
+        "block", F.lit(END_TOKEN).cast("long").alias("key"), F.lit(float(ends)).alias("value")
     )
     asked = asked.union(last)
     result = docs.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(

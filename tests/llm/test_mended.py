@@ -1,9 +1,13 @@
-"""Words that a polynomial hash cannot tell apart, vectors at the ends of the range of doubles, and token totals."""
+"""Words that a polynomial hash cannot tell apart, vectors at the ends of the range of doubles, contexts in many parts,
+counts beyond single precision, and token totals."""
 
 import hashlib
+import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -81,6 +85,31 @@ def test_vectors_at_the_ends_of_the_range(spark):
     }
 
 
+def test_contexts_in_many_parts_give_the_same_scores(spark, sf_dir, monkeypatch):
+    docs = table(spark, sf_dir, "documents").filter("doc_id < 60")
+    found = []
+    for keys in (1 << 40, 200):
+        monkeypatch.setattr(ppm, "SCORED_KEYS", keys)
+        rows = ppm.score_documents(docs, F.col("doc_id") % 3, ppm.held_out()).orderBy("doc_id").collect()
+        found.append([tuple(r) for r in rows])
+    assert len(found[0]) == 60
+    for a, b in zip(*found, strict=True):
+        assert a[:-1] == b[:-1] and a[-1] == pytest.approx(b[-1], rel=1e-12)
+
+
+def test_word_counts_beyond_single_precision():
+    n = (1 << 24) + 1
+    data = np.frombuffer(b"w", np.uint8)
+    (word,), _ = ppm.tokens(data, np.array([0, 1]))
+    grams, _ = ppm.grams(data, np.array([0, 1]))
+    docs = pa.table({"doc_id": [1], "held_out": [True], "text": ["w"]})
+    keys = [int(word), ppm.END_TOKEN, *grams.tolist()]
+    values = pa.table({"key": keys, "value": [float(n), 0.0, *[-0.1] * len(grams)]})
+    row = ppm._score_block(docs, values, n, 1).to_pylist()[0]
+    assert row["base_score"] == math.log10(n + 1) - 2 * math.log10(n + 2)
+    assert row["score"] == -0.2 and row["n_known"] == 1 and row["n_tokens"] == 2
+
+
 def test_token_totals(spark, sf_dir):
     library = Tokenizer.from_file(bpe.TOKENIZER)
     pieces = rollups.byte_encoding("byte_bpe_50k.tiktoken")
