@@ -33,6 +33,13 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give freed memory of this Python worker back to the system. Workers are reused from stage to stage, and what
+    their allocators keep would add to the memory of the executor."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 # Text columns as byte arrays
 
 

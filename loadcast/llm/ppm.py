@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import LOWER, WORD_BYTES, store, text_chunks, word_hash, word_spans
+from loadcast.llm.common import LOWER, WORD_BYTES, release_memory, store, text_chunks, word_hash, word_spans
 
 ORDER = 5
 EDGE = 0xFF
@@ -118,9 +118,14 @@ def count_keys(rows: DataFrame) -> DataFrame:
                 parts = held.pop(block)
                 if parts:
                     yield out(block, parts)
-        for block, parts in held.items():
+        while held:
+            block, parts = held.popitem()
             if parts:
-                yield out(block, parts)
+                batch = out(block, parts)
+                del parts
+                yield batch
+        batch = None
+        release_memory()
 
     return rows.select("block", "trained", "text").mapInArrow(run, "block int, key long, n long")
 
@@ -203,7 +208,10 @@ def gram_scores(counts: DataFrame) -> DataFrame:
         levels = [Contexts(*shorter(shared_pairs, shared_counts, k)) for k in range(2)]
         levels.append(Contexts(*_summed(seconds.column("pair").to_numpy(), seconds.column("n").to_numpy())))
         levels += [Contexts(*shorter(keys, n, k)) for k in range(3, ORDER + 1)]
-        return pa.table({"key": keys, "value": log_probabilities(keys, levels)})
+        scored = pa.table({"key": keys, "value": log_probabilities(keys, levels)})
+        del levels, n
+        release_memory()
+        return scored
 
     parts = max(1, math.ceil(counts.count() / SCORED_KEYS))
     pair = F.col("key").bitwiseAND(0xFFFFFF)
@@ -243,6 +251,8 @@ def _score_block(docs: pa.Table, values: pa.Table, total: int, kinds: int) -> pa
             columns["n_known"].append(np.add.reduceat((counts > 0).astype(np.int64), heads))
             columns["n_tokens"].append(np.diff(rows) + 1)
     merged = {c: np.concatenate(v) if v else np.zeros(0) for c, v in columns.items()}
+    del key, value, word_keys, word_counts, gram_keys, gram_logs
+    release_memory()
     return pa.table([
         docs.column("doc_id"), docs.column("held_out"), pa.array(merged["n_tokens"], pa.int64()),
         pa.array(merged["n_known"], pa.int64()), pa.array(merged["base_score"], pa.float64()),
