@@ -12,6 +12,8 @@ from loadcast.session import BROADCAST_ROWS, lookup, materialize
 from loadcast.sources.tables import store
 
 COARSE_SLOTS = 4096
+# Quantiles rank at most this many rows at once where narrower slots can still part them, and the levels of slots.
+RANKED_ROWS, LEVELS = 200_000, 5
 
 
 def _matches(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -110,43 +112,64 @@ def running_total(
 def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, points: Sequence[float]) -> DataFrame:
     """Linear-interpolated quantiles per group (at least one group column) as `(group…, point, quantile)`.
 
-    A first pass counts values in `COARSE_SLOTS` equal slots per group, which tells in which slots the
-    wanted ranks fall. Only the values of those slots are then counted and ranked, so nothing but a few
-    thousandths of a smooth column is shuffled. Should one slot hold most values, the ranking still
-    spreads it: equal values are counted as one and the rest is cut into ranges.
+    A first pass counts values in `COARSE_SLOTS` equal slots per group, which tells in which slots the wanted ranks
+    fall. While those with different values hold more than `RANKED_ROWS` rows and a level still sets some aside, each
+    is cut into as many slots again, now from the lowest to the highest value that it really holds: after far outliers
+    the second level follows the bulk of the column. Only the values of the last slots are counted and ranked, so next
+    to nothing is shuffled. Should one slot still hold most values, the ranking spreads it: equal values are counted as
+    one and the rest is cut into ranges.
     """
     by, x = list(group), F.col(value)
-    there = df.filter(x.isNotNull())
-    spans = lookup(there.groupBy(*by).agg(F.count("*").alias("_total"), F.min(x).alias("_lo"), F.max(x).alias("_hi")))
-    share = F.coalesce(F.try_divide(x - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
-    slot = F.least(F.floor(share * COARSE_SLOTS), F.lit(COARSE_SLOTS - 1)).alias("_slot")
-    placed = there.join(spans, by).select(*by, value, slot)
-
-    ahead = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    slots = (
-        placed.groupBy(*by, "_slot")
-        .agg(F.count("*").alias("_in_slot"))
-        .withColumn("_ahead", F.coalesce(F.sum("_in_slot").over(ahead), F.lit(0)))
-    )
-    ranks = spans.select(*by, "_total", F.explode(F.array(*[F.lit(float(p)) for p in points])).alias("point")).withColumn(
-        "_at", (F.col("_total") - 1) * F.col("point")
-    )
+    slots_of = [*by, "_path"]
+    there = df.filter(x.isNotNull()).select(*by, value, F.lit(0).cast("long").alias("_path"))
+    wanted, held = None, None
+    for _ in range(LEVELS):
+        spans = lookup(
+            there.groupBy(*slots_of).agg(F.count("*").alias("_total"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+        )
+        if wanted is None:
+            wanted = _wanted_ranks(spans, by, points)
+        share = F.coalesce(F.try_divide(x - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
+        slot = F.least(F.floor(share * COARSE_SLOTS), F.lit(COARSE_SLOTS - 1))
+        placed = there.join(spans, slots_of).select(*slots_of, value, slot.alias("_slot"))
+        ahead = Window.partitionBy(*slots_of).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+        slots = (
+            placed.groupBy(*slots_of, "_slot")
+            .agg(F.count("*").alias("_in_slot"), (F.min(x) < F.max(x)).alias("_mixed"))
+            .withColumn("_before", F.coalesce(F.sum("_in_slot").over(ahead), F.lit(0)))
+        )
+        inside = (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_in_slot"))
+        path = (F.col("_path") * COARSE_SLOTS + F.col("_slot")).alias("_path")
+        wanted = lookup(wanted.join(slots, slots_of).filter(inside).select(
+            *by, path, "point", "_share", "_is_low", (F.col("_rank") - F.col("_before")).alias("_rank"),
+            "_in_slot", "_mixed",
+        ))
+        needed = wanted.select(*slots_of, "_in_slot", "_mixed").distinct()
+        there = placed.select(*by, path, value).join(lookup(needed.select(*slots_of)), slots_of, "left_semi")
+        # Slots of equal values need no parting, as those are counted as one.
+        before, held = held, needed.agg(F.sum(F.when(F.col("_mixed"), F.col("_in_slot")))).first()[0] or 0
+        wanted = wanted.drop("_in_slot", "_mixed")
+        if held <= RANKED_ROWS or held == before:
+            break
+
+    counted = there.groupBy(*slots_of, value).agg(F.count("*").alias("_n"))
+    ranked = running_total(counted, slots_of, [value], "_n")
+    hit = (F.col("_rank") >= F.col("before")) & (F.col("_rank") < F.col("before") + F.col("_n"))
+    found = ranked.join(wanted, slots_of).filter(hit)
+    lower, upper = F.max(F.when(F.col("_is_low"), x)), F.max(F.when(~F.col("_is_low"), x))
+    return found.groupBy(*by, "point").agg((lower + F.max("_share") * (upper - lower)).alias("quantile"))
+
+
+def _wanted_ranks(spans: DataFrame, by: list[str], points: Sequence[float]) -> DataFrame:
+    """`(group…, _path, point, _share, _is_low, _rank)`: the two ranks between which each quantile lies."""
+    ranks = spans.select(
+        *by, "_path", "_total", F.explode(F.array(*[F.lit(float(p)) for p in points])).alias("point")
+    ).withColumn("_at", (F.col("_total") - 1) * F.col("point"))
     low = F.floor("_at")
-    wanted = ranks.select(
-        *by, "point", (F.col("_at") - low).alias("_share"),
+    return ranks.select(
+        *by, "_path", "point", (F.col("_at") - low).alias("_share"),
         F.inline(F.array(
             F.struct(F.lit(True).alias("_is_low"), low.alias("_rank")),
             F.struct(F.lit(False).alias("_is_low"), F.least(low + 1, F.col("_total") - 1).alias("_rank")),
         )),
     )
-    inside = (F.col("_rank") >= F.col("_ahead")) & (F.col("_rank") < F.col("_ahead") + F.col("_in_slot"))
-    located = lookup(wanted.join(slots, by).filter(inside).drop("_in_slot"))
-
-    needed = lookup(located.select(*by, "_slot").distinct())
-    counted = placed.join(needed, [*by, "_slot"], "left_semi").groupBy(*by, "_slot", value).agg(F.count("*").alias("_n"))
-    ranked = running_total(counted, [*by, "_slot"], [value], "_n")
-    start = F.col("_ahead") + F.col("before")
-    hit = (F.col("_rank") >= start) & (F.col("_rank") < start + F.col("_n"))
-    found = ranked.join(located, [*by, "_slot"]).filter(hit)
-    lower, upper = F.max(F.when(F.col("_is_low"), x)), F.max(F.when(~F.col("_is_low"), x))
-    return found.groupBy(*by, "point").agg((lower + F.max("_share") * (upper - lower)).alias("quantile"))

@@ -177,8 +177,10 @@ WIDE = """wide AS (
     0.1::DOUBLE AS tenth
   FROM features
 )"""
+SPIKED = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "max_temp", "min_temp", "spike")
 AUTO = f"""{OBS},
-long AS (SELECT 'max_temp' AS "column", max_temp AS x FROM obs UNION ALL SELECT 'min_temp', min_temp FROM obs),
+spiked AS (SELECT *, CASE WHEN l_orderkey = 7 THEN 10000.0 ELSE max_temp END AS spike FROM obs),
+long AS ({" UNION ALL ".join(f"""SELECT '{c}' AS "column", CAST({c} AS DOUBLE) AS x FROM spiked""" for c in SPIKED)}),
 sized AS (
   SELECT "column", min(x) AS lo, max(x) AS hi,
     CAST(ceil((max(x) - min(x)) / least(

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadcast.config import Config, EncoderSpec
-from loadcast.operators import metrics, profile
+from loadcast.operators import metrics, profile, ranking
 from loadcast.operators.encoders import (
     OneHot, Ordinal, SparseOneHot, apply_encoders, encode, load_encoders, save_encoders,
 )
@@ -243,6 +243,59 @@ def test_kde(spark):
     assert np.allclose(curve["x"], grid) and np.allclose(curve["density"], wanted)
 
 
+def test_kde_by_area_with_far_values_and_small_parts(spark, monkeypatch):
+    monkeypatch.setattr(profile, "HELD_CELLS", 50)
+    monkeypatch.setattr(profile, "MAX_HELD_KEYS", 0)
+    frame = sample()
+    frame.loc[5, "x"] = 1e9
+    frame["none"] = np.nan
+    df = spark.createDataFrame(frame).repartition(3)
+    curves = profile.kde(df, ["x", "y", "none"], grid=40, keys=["area"]).toPandas()
+    assert len(curves) == 2 * 2 * 40
+    for (area, column), curve in curves.groupby(["area", "column"]):
+        x = frame.loc[frame["area"] == area, column].dropna().to_numpy()
+        h = x.std(ddof=1) * len(x) ** -0.2
+        grid = np.linspace(x.min(), x.max(), 40)
+        wanted = np.exp(-0.5 * ((grid[:, None] - x) / h) ** 2).sum(axis=1) / (len(x) * h * math.sqrt(2 * math.pi))
+        curve = curve.sort_values("point")
+        assert np.allclose(curve["x"], grid) and np.allclose(curve["density"], wanted, rtol=1e-9, atol=1e-18)
+    assert profile.kde(df.filter("z > 5"), ["x"]).isEmpty()
+
+
+def test_kde_cells_are_as_exact_as_doubles():
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(size=5000), [300.0]])
+    curve = profile._Curve(x.min(), x.max(), 0.2, 200)
+    for part in np.array_split(x, 7):
+        curve.add(part)
+    curve.lay()
+    wanted = np.exp(-0.5 * ((curve.spots[:, None] - x) / 0.2) ** 2).sum(axis=1)
+    assert np.abs(curve.mass - wanted).max() < 1e-12 * wanted.max()
+
+
+@pytest.mark.parametrize("far", [0, 1, 3])
+def test_quantiles_with_far_values_rank_few_rows(spark, monkeypatch, far):
+    monkeypatch.setattr(ranking, "RANKED_ROWS", 100)
+    ranked = []
+    plain = ranking.running_total
+
+    def watched(df, *rest):
+        ranked.append(df.count())
+        return plain(df, *rest)
+
+    monkeypatch.setattr(ranking, "running_total", watched)
+    x = np.random.default_rng(2).uniform(0, 1, 20000)
+    x[:far] = 10.0 ** (12 * np.arange(1, far + 1))
+    df = spark.createDataFrame(pd.DataFrame({"g": "a", "x": x})).repartition(4)
+    points = (0.0, 0.25, 0.5, 0.999, 1.0)
+    got = {r.point: r.quantile for r in ranking.exact_quantiles(df, ["g"], "x", points).collect()}
+    assert got == pytest.approx({p: np.quantile(x, p) for p in points}, rel=1e-12)
+    assert ranked[0] <= 100
+    same = spark.createDataFrame(pd.DataFrame({"g": "a", "x": [7.0] * 500 + [9.0]}))
+    assert ranking.exact_quantiles(same, ["g"], "x", (0.5,)).first().quantile == 7.0
+    assert ranking.exact_quantiles(same.filter("x < 0"), ["g"], "x", (0.5,)).isEmpty()
+
+
 def test_constant_columns_have_no_correlation(spark):
     df = spark.range(5000, numPartitions=4).selectExpr("0.1D AS a", "1D / 3 AS b", "sin(id) AS c", "cos(id) AS d")
     rows = {(r.x, r.y): r.r for r in profile.correlation_pairs(df).collect()}
