@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import OneHotEncoder
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadcast.config import Config, EncoderSpec
 from loadcast.operators.ranking import running_total
@@ -18,6 +19,19 @@ MAPPING = "encoder string, step int, column string, category string, index long"
 UNSEEN, MISSING = -1, -2
 # Categories that become columns of their own.
 MOST_COLUMNS = 2000
+VECTOR = T.StructType([T.StructField("vector", VectorUDT())])
+
+
+def sparse_one(place: Column, size: int) -> Column:
+    """A sparse vector of `size` places with a 1 at `place`, or without any if that is beyond them."""
+    inside = place < size
+    vector = F.struct(
+        F.lit(0).alias("type"), F.lit(size).alias("size"),
+        F.when(inside, F.array(place)).otherwise(F.array()).alias("indices"),
+        F.when(inside, F.array(F.lit(1.0))).otherwise(F.array()).alias("values"),
+    )
+    # No cast leads from a struct to a vector; reading JSON by a schema does.
+    return F.from_json(F.to_json(F.struct(vector.alias("vector"))), VECTOR)["vector"]
 
 
 @dataclass(frozen=True)
@@ -80,7 +94,8 @@ class SparseOneHotModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Each encoded column gives way to a sparse vector with a 1 at the place of its category; an unseen category
-        has no 1. Places are joined to the rows, and the vectors are made by MLlib's own encoder."""
+        has no 1. Places are joined to the rows. The vector's length is its only metadata: MLlib's own encoder names
+        every place there, on the driver."""
         result = df
         for column in self.columns:
             size = self.sizes[column]
@@ -88,12 +103,9 @@ class SparseOneHotModel:
                 F.col("category").alias("_category"), F.col("index").alias("_index")
             ))
             joined = result.join(codes, result[column].cast("string").eqNullSafe(codes["_category"]), "left")
-            placed = joined.withColumn("_place", F.coalesce(F.col("_index"), F.lit(size)).cast("double"))
-            # With the last place kept for unseen categories and then dropped, those have no 1.
-            encoder = OneHotEncoder(inputCol="_place", outputCol="_vector", dropLast=True, handleInvalid="keep")
-            widest = df.sparkSession.createDataFrame([(float(max(size, 1) - 1),)], "_place double")
-            coded = encoder.fit(widest).transform(placed)
-            result = coded.withColumn(column, F.col("_vector")).select(*df.columns)
+            place, width = F.coalesce(F.col("_index"), F.lit(size)), max(size, 1)
+            vector = sparse_one(place, width).alias(column, metadata={"ml_attr": {"num_attrs": width}})
+            result = joined.select(*[vector if c == column else F.col(f"`{c}`") for c in df.columns])
         return result
 
 

@@ -5,12 +5,13 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
 from loadcast.config import Config, EncoderSpec
 from loadcast.operators import metrics, profile, ranking
 from loadcast.operators.encoders import (
-    OneHot, Ordinal, SparseOneHot, apply_encoders, encode, load_encoders, save_encoders,
+    OneHot, Ordinal, SparseOneHot, SparseOneHotModel, apply_encoders, encode, load_encoders, save_encoders,
 )
 from loadcast.operators.split import chrono_split, parts, target_first
 from loadcast.sources.tables import read_matrix, read_matrix_names, write_matrix
@@ -144,6 +145,18 @@ def test_sparse_one_hot(spark):
     assert SparseOneHot(("c",)).fit(df.limit(0)).transform(df.limit(0)).isEmpty()
 
 
+def test_sparse_one_hot_keeps_no_name_per_place(spark):
+    """The plan holds the vector's length, not an attribute for each of its places."""
+    places = spark.range(3).selectExpr("'c' AS column", "CAST(id AS STRING) AS category", "id AS index")
+    model = SparseOneHotModel(("c",), places, {"c": 2_000_000_000})
+    df = spark.createDataFrame([("2", 1), ("x", 2), (None, 3)], "c string, k int")
+    out = model.transform(df)
+    assert out.schema["c"].metadata == {"ml_attr": {"num_attrs": 2_000_000_000}}
+    found = {r.k: r.c for r in out.collect()}
+    assert found[1] == SparseVector(2_000_000_000, [2], [1.0])
+    assert found[2] == found[3] == SparseVector(2_000_000_000, [], [])
+
+
 def test_too_many_categories_become_no_columns(spark, monkeypatch):
     monkeypatch.setattr("loadcast.operators.encoders.MOST_COLUMNS", 2)
     df = spark.createDataFrame([("a",), ("b",), (None,)], "c string")
