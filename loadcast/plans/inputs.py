@@ -6,6 +6,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -155,11 +156,12 @@ def write_weather_files(spark: SparkSession, sf_dir: str, observed: DataFrame |
     remark = F.when(F.dayofmonth("date") % 2 == 0, '"注意\n""2"", 続き"').otherwise("")
     opening = ["地点", "", "東京", ",".join(names), "品質", "均質"]
 
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = opening
         for batch in batches:
-            # No character of this encoding holds a line-end byte, so a batch can be encoded at once.
-            yield pd.DataFrame({"raw": "\n".join([*head, *batch["line"]]).encode(ENCODING).split(b"\n")})
+            # All lines of a batch are one text, which ends in the line end that the writer adds.
+            text = "\n".join([*head, *batch.column(0).to_pylist()])
+            yield pa.RecordBatch.from_arrays([pa.array([text.encode(ENCODING)], pa.binary())], ["raw"])
             head = []
 
     # The second column of the same name must be ignored by the reader.
@@ -173,7 +175,7 @@ def write_weather_files(spark: SparkSession, sf_dir: str, observed: DataFrame |
         F.coalesce("weather", F.lit("")),
     )
     source = obs(spark, sf_dir) if observed is None else observed
-    raw = source.select(line.alias("line")).mapInPandas(lines, "raw binary")
+    raw = source.select(line.alias("line")).mapInArrow(lines, "raw binary")
     raw.select(F.col("raw").cast("string").alias("value")).write.text(path)
     return path
 

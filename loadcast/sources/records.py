@@ -2,9 +2,10 @@
 
 Files are read in splits. A split cannot tell whether its first line stands inside a quoted field of the split before,
 so each split of a cut file is first run through for both cases: what it ends in if it begins outside, and if it begins
-inside. A split thereby keeps, flips or sets the state, and a running combination in file order gives every split's true
-beginning. The second run cuts records; what is left open at a border becomes pieces that are put together by their
-order in the file. Files that are not cut need no first run.
+inside, and which lines at its borders then belong to records of several splits. A split thereby keeps, flips or sets
+the state, and a running combination in file order gives every split's true beginning, and with it the pieces that are
+put together by their order in the file. The second run cuts the other records. Files that are not cut need no first
+run.
 
 Quotes count at the beginning of a field and, doubled, inside a quoted one; anywhere else they are plain characters. No
 Shift-JIS character holds a quote, comma or line-end byte, so lines are cut before they are decoded. Line ends inside a
@@ -15,13 +16,14 @@ field become one line feed. A field that is never closed gives an error row, and
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import groupby
+from operator import itemgetter
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadcast.session import BROADCAST_ROWS, materialize
@@ -67,12 +69,22 @@ def cut_fields(text: str, skip_space: bool = False) -> list[str]:
     return [f.lstrip(" ") for f in fields] if skip_space else fields
 
 
+def _cut_all(texts: list[str], skip_space: bool) -> list[list[str]]:
+    """`cut_fields` of every text; one reader takes all texts with quotes, each of which is a whole record."""
+    quoted = [text for text in texts if '"' in text]
+    rows = list(csv.reader(quoted, skipinitialspace=skip_space))
+    if skip_space or len(rows) < len(quoted):
+        return [cut_fields(text, skip_space) for text in texts]
+    found = iter(rows)
+    return [next(found) if '"' in text else text.split(",") for text in texts]
+
+
 def decode_fields(records: list[bytes], skip_space: bool = False) -> tuple[list[list[str] | None], list[str | None]]:
     """Fields and errors per record; a batch is decoded at once unless one of its records is broken."""
     try:
         # No record holds this separator of two line ends.
         texts = b"\n\r\n".join(records).decode(ENCODING).split("\n\r\n") if records else []
-        return [cut_fields(text, skip_space) for text in texts], [None] * len(texts)
+        return _cut_all(texts, skip_space), [None] * len(texts)
     except UnicodeDecodeError:
         fields, errors = [], []
         for record in records:
@@ -117,131 +129,256 @@ class Layout:
         found = [names.index(name) if name in names else None for name in self.columns.values()]
         return "" if None in found else ",".join(map(str, found))
 
-    def rows(self, source: str, numbers: list[int | None], records: list[bytes], spots: str) -> pa.RecordBatch:
-        """Wanted columns of records; blank ones are left out."""
+    def rows(self, source: str, numbers: list[int | None] | None, records: list[bytes], spots: str) -> pa.RecordBatch:
+        """Wanted columns of records, whose numbers may be unknown; blank ones are left out."""
         fields, errors = decode_fields(records)
-        kept = [i for i, f in enumerate(fields) if f != [""]]
-        places = [int(s) for s in spots.split(",")] if spots else [None] * len(self.columns)
-        columns = [
-            [f[place] if f is not None and place is not None and place < len(f) else None for f in map(fields.__getitem__, kept)]
-            for place in places
-        ]
+        blank = [i for i, f in enumerate(fields) if f == [""]]
+        if blank:
+            gone = set(blank)
+            kept = [i for i in range(len(fields)) if i not in gone]
+            fields, errors = [fields[i] for i in kept], [errors[i] for i in kept]
+            numbers = numbers and [numbers[i] for i in kept]
         arrays = [
-            pa.array([source] * len(kept), pa.string()), pa.array([numbers[i] for i in kept], pa.int64()),
-            *(pa.array(c, pa.string()) for c in columns), pa.array([not spots] * len(kept), pa.bool_()),
-            pa.array([errors[i] for i in kept], pa.string()),
+            pa.repeat(pa.scalar(source, pa.string()), len(fields)),
+            pa.array(numbers, pa.int64()) if numbers else pa.nulls(len(fields), pa.int64()),
+            *(pa.array(c, pa.string()) for c in self._picked(fields, [int(s) for s in spots.split(",")] if spots else [])),
+            pa.repeat(pa.scalar(not spots), len(fields)), pa.array(errors, pa.string()),
         ]
         return pa.RecordBatch.from_arrays(arrays, ["source", "line_no", *(f"_{k}" for k in self.columns), "_absent", "error"])
 
+    def _picked(self, fields: list[list[str] | None], places: list[int]) -> list[Sequence[str | None]]:
+        """The wanted columns; a field that a record does not have is null."""
+        if not places or not fields:
+            return [[None] * len(fields) for _ in self.columns]
+        try:
+            picked = list(map(itemgetter(*places), fields))
+            return list(zip(*picked)) if len(places) > 1 else [picked]
+        except (IndexError, TypeError):
+            return [[f[place] if f is not None and place < len(f) else None for f in fields] for place in places]
+
     def broken(self, source: str, number: int | None, error: str) -> pa.RecordBatch:
         row = {"source": source, "line_no": number, **{f"_{k}": None for k in self.columns}, "_absent": False, "error": error}
         kinds = [pa.string(), pa.int64(), *[pa.string()] * len(self.columns), pa.bool_(), pa.string()]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds)], list(row))
 
 
-PIECES = "source string, start long, role int, line_no long, piece binary, spots string"
-
-
 class _Block:
-    """A run through one split: the rows of its records, and the pieces of records that cross its borders."""
+    """A run through one split: the rows of the records that stand wholly in it."""
 
     def __init__(self, layout: Layout, source: str, start: int, whole: bool, inside: bool, spots: str | None):
-        self.layout, self.source, self.start, self.whole = layout, source, start, whole
+        self.layout, self.source, self.whole = layout, source, whole
         self.inside, self.spots = inside, spots
+        # Lines have numbers in the first split only.
+        self.line_no = 0 if start == 0 else None
         # The record that is open: whether an earlier split opened it, its first line, its lines and their bytes.
         self.inherited, self.since, self.lines, self.size = inside, None, [], 0
-        self.line_no = 0
-        self.numbers: list[int | None] = []
+        self.numbers: list[int] = []
         self.records: list[bytes] = []
 
-    def take(self, lines: pa.Array) -> Iterator[tuple[bool, pa.RecordBatch]]:
-        """Batches of rows, and of pieces where the flag is set."""
-        beginning = self.start == 0
-        plain = not self.inside and not pc.any(pc.match_substring(lines, '"')).as_py()
-        if plain and not (beginning and self.line_no <= max(self.layout.header_line, *self.layout.skip)):
-            self.records = lines.to_pylist()
-            numbers = range(self.line_no, self.line_no + len(lines)) if beginning else [None] * len(lines)
-            self.numbers = list(numbers)
-            self.line_no += len(lines)
-        else:
-            for line in lines.to_pylist():
-                yield from self._line(line, self.line_no if beginning else None)
-                self.line_no += 1
+    def take(self, lines: pa.Array) -> Iterator[pa.RecordBatch]:
+        quoted = pc.match_substring(lines, '"')
+        texts = lines.to_pylist()
+        opening = self._opening(len(texts))
+        plain = not opening and not self.inside and not pc.any(quoted).as_py()
+        if not plain and max(map(len, texts), default=0) >= RECORD_BYTES:
+            opening = len(texts)
+        for text in texts[:opening]:
+            yield from self._line(text)
+        yield from self._lines(texts[opening:], np.flatnonzero(quoted.to_numpy(zero_copy_only=False)[opening:]).tolist())
         if self.records:
-            yield False, self.layout.rows(self.source, self.numbers, self.records, self.spots or "")
+            yield self.layout.rows(self.source, self.numbers or None, self.records, self.spots or "")
             self.numbers, self.records = [], []
 
-    def _line(self, line: bytes, number: int | None) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    def _opening(self, n: int) -> int:
+        """How many of the next lines may be the header or lines that are no data."""
+        last = max(self.layout.header_line, *self.layout.skip)
+        return 0 if self.line_no is None else min(max(last + 1 - self.line_no, 0), n)
+
+    def _lines(self, texts: list[bytes], quoted: list[int]) -> Iterator[pa.RecordBatch]:
+        """Lines below the header, none of them too long: only those with quotes are looked at one by one."""
+        done, base = 0, self.line_no
+        for i in quoted:
+            if self.inside:
+                if not ends_inside(texts[i], True):
+                    self._grow(texts[done:i + 1])
+                    yield from self._close()
+                    done = i + 1
+            elif ends_inside(texts[i], False):
+                self._keep(texts[done:i], done, base)
+                self._open(None if base is None else base + i)
+                done = i
+        if self.inside:
+            self._grow(texts[done:])
+        else:
+            self._keep(texts[done:], done, base)
+        if base is not None:
+            self.line_no = base + len(texts)
+
+    def _line(self, line: bytes) -> Iterator[pa.RecordBatch]:
+        inside = ends_inside(line, self.inside)
+        if not self.inside:
+            self._open(self.line_no)
+        self.inside = inside
+        self._grow([line])
+        if self.line_no is not None:
+            self.line_no += 1
         if not self.inside:
-            self.inherited, self.since, self.lines, self.size = False, number, [], 0
-        self.inside = ends_inside(line, self.inside)
-        self.size += len(line) + 1
+            yield from self._close()
+
+    def _keep(self, records: list[bytes], first: int, base: int | None) -> None:
+        self.records += records
+        if base is not None:
+            self.numbers += range(base + first, base + first + len(records))
+
+    def _open(self, number: int | None) -> None:
+        self.inside, self.inherited, self.since, self.lines, self.size = True, False, number, [], 0
+
+    def _grow(self, lines: list[bytes]) -> None:
+        self.size += sum(map(len, lines)) + len(lines)
         if self.size <= RECORD_BYTES:
-            self.lines.append(line)
-        if self.inside:
-            return
+            self.lines += lines
+
+    def _close(self) -> Iterator[pa.RecordBatch]:
+        self.inside = False
         if self.inherited:
-            yield True, self._piece(TAIL)
-        elif self.size > RECORD_BYTES:
-            yield False, self.layout.broken(self.source, self.since, TOO_LONG)
+            return
+        if self.size > RECORD_BYTES:
+            yield self.layout.broken(self.source, self.since, TOO_LONG)
         elif self.since is not None and self.since == self.layout.header_line:
             self.spots = self.layout.spots(decode_fields([b"\n".join(self.lines)])[0][0])
         elif self.since is None or self.since not in self.layout.skip:
-            self.numbers.append(self.since)
-            self.records.append(b"\n".join(self.lines))
+            self._keep([b"\n".join(self.lines)], 0, self.since)
 
-    def finish(self) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    def finish(self) -> Iterator[pa.RecordBatch]:
         if self.inside and self.whole:
-            yield False, self.layout.broken(self.source, self.since, UNCLOSED)
-        elif self.inside:
-            yield True, self._piece(THROUGH if self.inherited else OPEN)
-
-    def _piece(self, role: int) -> pa.RecordBatch:
-        text = b"\n".join(self.lines) if self.size <= RECORD_BYTES else None
-        values = (self.source, self.start, role, self.since if role == OPEN else None, text, self.spots or "")
-        kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.string())
-        names = ["source", "start", "role", "line_no", "piece", "spots"]
-        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
+            yield self.layout.broken(self.source, self.since, UNCLOSED)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bool, pa.Array]]:
     """Runs of lines of one split: its key (source, start and more), whether it is a new one, and the lines."""
     current = None
     for batch in batches:
-        width = batch.num_columns - 1
-        keys = list(zip(*(batch.column(i).to_pylist() for i in range(width))))
-        for key, run in groupby(range(len(keys)), keys.__getitem__):
-            rows = list(run)
-            yield key, key[:2] != current, batch.column(width).slice(rows[0], len(rows))
+        width, rows = batch.num_columns - 1, batch.num_rows
+        changed = [pc.not_equal(c.slice(1), c.slice(0, max(rows - 1, 0))) for c in batch.columns[:2]]
+        heads = np.flatnonzero(pc.or_(*changed).to_numpy(zero_copy_only=False)) + 1
+        edges = [0, *heads.tolist(), rows] if rows else []
+        for a, b in zip(edges, edges[1:]):
+            key = tuple(batch.column(i)[a].as_py() for i in range(width))
+            yield key, key[:2] != current, batch.column(width).slice(a, b - a)
             current = key[:2]
 
 
-def _scout(cut: DataFrame, layout: Layout) -> DataFrame:
-    """For every split what it ends in from either beginning, and the columns' positions in the first one."""
+class _Side:
+    """A split as seen from one of its two beginnings: its state, the piece that closes the record of an earlier split,
+    and the piece of a record that is open."""
+
+    def __init__(self, inside: bool):
+        self.inside = self.inherited = inside
+        self.head: bytes | None = None
+        self.since, self.lines, self.size = None, [], 0
+
+    def take(self, lines: pa.Array, quoted: list[int], texts: list[bytes], number: int, other: list[bool] | None = None):
+        """The states after each line with quotes. Ends early where the other side is outside as well: from there on
+        both are the same."""
+        states, begin = [], 0
+        for i, text in zip(quoted, texts):
+            before, self.inside = self.inside, ends_inside(text, self.inside)
+            if before and not self.inside and self.inherited:
+                self._grow(lines.slice(begin, i + 1 - begin))
+                self.head, self.inherited = self.piece(), False
+            elif self.inside and not before:
+                begin, self.since, self.lines, self.size = i, number + i, [], 0
+            states.append(self.inside)
+            if other is not None and not self.inside and not other[len(states) - 1]:
+                return None
+        if self.inside:
+            self._grow(lines.slice(begin))
+        return states
+
+    def _grow(self, lines: pa.Array) -> None:
+        self.size += (pc.sum(pc.binary_length(lines)).as_py() or 0) + len(lines)
+        if self.size <= RECORD_BYTES:
+            self.lines += lines.to_pylist()
+
+    def piece(self) -> bytes | None:
+        return b"\n".join(self.lines) if self.size <= RECORD_BYTES else None
+
+
+SCOUTED = (
+    "source string, start long, outside boolean, inside boolean, spots string, own string, line_no long, closed boolean, "
+    "head binary, open_outside binary, open_inside binary"
+)
+
+
+class _Scout:
+    """A run through one split from both beginnings at once."""
+
+    KINDS = (
+        pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.binary(),
+        pa.binary(), pa.binary(),
+    )
+
+    def __init__(self, layout: Layout, source: str, start: int):
+        self.layout, self.key, self.line_no = layout, (source, start), 0
+        self.outside, self.inside, self.merged = _Side(False), _Side(True), False
+        # Positions by the header's line, and by the whole record that begins with it, which is searched from line 0.
+        self.spots, self.own = None, None
+        self.searched, self.seen, self.began, self.record, self.open = start == 0, 0, 0, b"", False
+
+    def take(self, lines: pa.Array) -> None:
+        if self.searched:
+            self._header(lines)
+        quoted = np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False))
+        texts = lines.take(pa.array(quoted)).to_pylist()
+        states = self.outside.take(lines, quoted.tolist(), texts, self.line_no)
+        if not self.merged:
+            self.merged = self.inside.take(lines, quoted.tolist(), texts, self.line_no, states) is None
+        self.line_no += len(lines)
+
+    def _header(self, lines: pa.Array) -> None:
+        at = self.layout.header_line
+        if self.line_no <= at < self.line_no + len(lines):
+            self.spots = self.layout.spots(decode_fields([lines[at - self.line_no].as_py()])[0][0])
+        for line in (scalar.as_py() for scalar in lines):
+            self.began, self.record = (self.began, self.record + b"\n" + line) if self.open else (self.seen, line)
+            self.open = ends_inside(line, self.open)
+            self.seen += 1
+            if self.seen <= at:
+                continue
+            whole = self.began == at and len(self.record) < RECORD_BYTES
+            if whole and self.open:
+                continue
+            if whole:
+                self.own = self.layout.spots(decode_fields([self.record])[0][0])
+            self.searched = False
+            return
+
+    def result(self) -> pa.RecordBatch:
+        a, b = self.outside, self.outside if self.merged else self.inside
+        values = (
+            *self.key, a.inside, b.inside, self.spots, self.own, a.since if self.key[1] == 0 else None,
+            not self.inside.inherited, self.inside.piece() if self.inside.inherited else self.inside.head, a.piece(), b.piece(),
+        )
+        names = [part.split()[0] for part in SCOUTED.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, self.KINDS)], names)
 
-    def result(key: tuple, outside: bool, inside: bool, spots: str | None) -> pa.RecordBatch:
-        kinds = (pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.string())
-        columns = [pa.array([v], k) for v, k in zip((*key, outside, inside, spots), kinds)]
-        return pa.RecordBatch.from_arrays(columns, ["source", "start", "outside", "inside", "spots"])
+
+def _scout(cut: DataFrame, layout: Layout) -> DataFrame:
+    """For every split and either beginning what it ends in and the pieces at its borders, and the columns' positions in
+    the first one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = None
+        scout = None
         for key, fresh, lines in _runs(batches):
             if fresh:
-                if state is not None:
-                    yield result(*state)
-                state, line_no = [key, False, True, None], 0
-            at = layout.header_line - line_no
-            if key[1] == 0 and 0 <= at < len(lines):
-                state[3] = layout.spots(decode_fields([lines[at].as_py()])[0][0])
-            line_no += len(lines)
-            for line in pc.filter(lines, pc.match_substring(lines, '"')).to_pylist():
-                state[1:3] = ends_inside(line, state[1]), ends_inside(line, state[2])
-        if state is not None:
-            yield result(*state)
-
-    schema = "source string, start long, outside boolean, inside boolean, spots string"
-    return cut.select("source", "start", "raw").mapInArrow(run, schema)
+                if scout is not None:
+                    yield scout.result()
+                scout = _Scout(layout, *key)
+            scout.take(lines)
+        if scout is not None:
+            yield scout.result()
+
+    return cut.select("source", "start", "raw").mapInArrow(run, SCOUTED)
 
 
 def _beginnings(scouted: DataFrame) -> DataFrame:
@@ -266,6 +403,24 @@ def _beginnings(scouted: DataFrame) -> DataFrame:
     )
 
 
+def _pieces(scouted: DataFrame, marks: DataFrame) -> DataFrame:
+    """`(source, start, role, line_no, piece, spots)` of the records that cross borders, as the true beginnings tell."""
+    torn = marks.filter("torn").select("source", "start", "begins_inside", F.col("spots").alias("_spots"))
+    placed = scouted.join(torn, ["source", "start"])
+    begun, none = F.col("begins_inside"), F.lit(None).cast("long")
+
+    def piece(role: Column, line_no: Column, text: str) -> Column:
+        return F.struct(role.alias("role"), line_no.alias("line_no"), F.col(text).alias("piece"))
+
+    listed = F.array(
+        F.when(begun, piece(F.when(F.col("closed"), TAIL).otherwise(THROUGH), none, "head")),
+        F.when(begun & F.col("closed") & F.col("inside"), piece(F.lit(OPEN), none, "open_inside")),
+        F.when(~begun & F.col("outside"), piece(F.lit(OPEN), F.col("line_no"), "open_outside")),
+    )
+    spots = F.coalesce("own", "_spots", F.lit(""))
+    return placed.select("source", "start", spots.alias("spots"), F.inline(F.filter(listed, lambda p: p.isNotNull())))
+
+
 def _put_together(pieces: DataFrame, layout: Layout) -> DataFrame:
     """Records that cross borders: an opening piece, whole splits, and the piece that closes it."""
     order = Window.partitionBy("source").orderBy("start", "role")
@@ -289,22 +444,22 @@ def _put_together(pieces: DataFrame, layout: Layout) -> DataFrame:
     return records.select("source", "line_no", "spots", "error", "text").mapInArrow(run, layout.schema)
 
 
-def _cut(raw: DataFrame, layout: Layout, pieces: bool) -> DataFrame:
-    """The rows of records within splits, or the pieces of the others."""
+def _cut(raw: DataFrame, layout: Layout) -> DataFrame:
+    """The rows of records within splits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = None
         for (source, start, whole, inside, spots), fresh, lines in _runs(batches):
             if fresh:
                 if block is not None:
-                    yield from (batch for kind, batch in block.finish() if kind == pieces)
+                    yield from block.finish()
                 block = _Block(layout, source, start, whole, bool(inside), spots)
-            yield from (batch for kind, batch in block.take(lines) if kind == pieces)
+            yield from block.take(lines)
         if block is not None:
-            yield from (batch for kind, batch in block.finish() if kind == pieces)
+            yield from block.finish()
 
     columns = raw.select("source", "start", "whole", "begins_inside", "spots", "raw")
-    return columns.mapInArrow(run, PIECES if pieces else layout.schema)
+    return columns.mapInArrow(run, layout.schema)
 
 
 def read_records(spark: SparkSession, path: str, layout: Layout, pattern: str = "*.csv") -> DataFrame:
@@ -325,11 +480,12 @@ def read_records(spark: SparkSession, path: str, layout: Layout, pattern: str =
     )
     unmarked = {"begins_inside": F.lit(False), "spots": F.lit(None).cast("string")}
     if lengths.filter(F.col("length") > _least_cut(spark)).isEmpty():
-        return _cut(raw.withColumns(unmarked), layout, pieces=False)
-    marks = materialize(_beginnings(_scout(raw.filter("NOT whole"), layout)))
+        return _cut(raw.withColumns(unmarked), layout)
+    scouted = materialize(_scout(raw.filter("NOT whole"), layout))
+    marks = materialize(_beginnings(scouted.select("source", "start", "outside", "inside", "spots")))
     parts = -(-marks.count() // BROADCAST_ROWS)
     if not parts:
-        return _cut(raw.withColumns(unmarked), layout, pieces=False)
+        return _cut(raw.withColumns(unmarked), layout)
     # Lines must not be shuffled, so marks are broadcast; of very many, in parts of whole files.
     found = []
     for part in range(parts):
@@ -337,9 +493,9 @@ def read_records(spark: SparkSession, path: str, layout: Layout, pattern: str =
             return df.filter(F.pmod(F.xxhash64("source"), F.lit(parts)) == part) if parts > 1 else df
 
         marked = mine(raw).join(F.broadcast(mine(marks)), ["source", "start"], "left")
-        found.append(_cut(marked, layout, pieces=False))
-        if not mine(marks).filter("torn").isEmpty():
-            found.append(_put_together(_cut(marked.filter("torn"), layout, pieces=True), layout))
+        found.append(_cut(marked, layout))
+    if not marks.filter("torn").isEmpty():
+        found.append(_put_together(_pieces(scouted, marks), layout))
     whole = found[0]
     for more in found[1:]:
         whole = whole.unionByName(more)
@@ -360,7 +516,7 @@ def records_of(files: DataFrame, layout: Layout) -> DataFrame:
         for batch in batches:
             for source, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 block = _Block(layout, source, 0, True, False, None)
-                yield from (out for _, out in block.take(pa.array(content.splitlines(), pa.binary())))
-                yield from (out for _, out in block.finish())
+                yield from block.take(pa.array(content.splitlines(), pa.binary()))
+                yield from block.finish()
 
     return files.select("source", "content").mapInArrow(run, layout.schema)

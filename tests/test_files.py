@@ -4,6 +4,7 @@ import io
 import itertools
 import zipfile
 
+import pyarrow as pa
 import pytest
 
 from loadcast.functions import dates
@@ -149,6 +150,57 @@ def test_unclosed_and_long_fields_are_errors(spark, tmp_path, small_splits, monk
         assert report == [("open.csv", "unclosed quote", 1)]
 
 
+def test_cut_files_are_read_twice(spark, tmp_path, small_splits):
+    """Records over borders come from the first run through the splits: no third one reads the files again."""
+    rows = [f'2024/1/{i % 28 + 1},{i},9,1,"晴\n""{i}"""' for i in range(400)]
+    (tmp_path / "w.csv").write_bytes(weather_csv(rows))
+    small_splits(997)
+    got = files.read_weather(spark, str(tmp_path), strict=True)
+    assert sorted((r.max_temp, r.weather) for r in got.collect()) == [(float(i), f'晴\n"{i}"') for i in range(400)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1, plan
+
+
+def test_header_over_lines_in_a_cut_file(spark, tmp_path, small_splits):
+    """The columns of a record over a border are those of the header's whole record, as for the other records."""
+    header = '"備\n考",' + HEADER
+    rows = [f'x,2024/1/{i % 28 + 1},{i},9,1,"晴\n{i}"' for i in range(60)]
+    (tmp_path / "w.csv").write_bytes(weather_csv(rows, header=header))
+    found = {}
+    for size in (150, 1 << 27):
+        small_splits(size)
+        got = files.read_weather(spark, str(tmp_path))
+        found[size] = sorted((r.max_temp is None, r.max_temp or 0, r.weather or "", r.error or "") for r in got.collect())
+    assert [r for r in found[1 << 27] if not r[3]] == [(False, float(i), f"晴\n{i}", "") for i in range(60)]
+
+
+def test_sides_of_a_split():
+    """Any cut of a text, in batches of any size, gives the pieces that a plain reading gives."""
+    text = b'a,"b\n""c"", d",e\nf,g\n"h\n\n\ni",j\nk"l,"\n"\nm,n\n"o'
+    lines = text.split(b"\n")
+    for a, b, step in itertools.product(range(len(lines)), range(1, len(lines) + 1), (1, 2, 99)):
+        part = lines[a:b]
+        if not part:
+            continue
+        scout = records._Scout(files.WEATHER_LAYOUT, "s", 7)
+        for k in range(0, len(part), step):
+            scout.take(pa.array(part[k:k + step], pa.binary()))
+        found = scout.result().to_pylist()[0]
+        for inside, ends, rest in ((False, "outside", "open_outside"), (True, "inside", "open_inside")):
+            state, held, head = inside, [], None
+            for line in part:
+                held = [*held, line] if state else [line]
+                state = records.ends_inside(line, state)
+                if not state and inside and head is None:
+                    head = b"\n".join(held)
+            assert found[ends] == state
+            if inside:
+                assert found["closed"] == (head is not None)
+                assert found["head"] == (b"\n".join(held) if head is None else head)
+            if state and not (inside and head is None):
+                assert found[rest] == b"\n".join(held)
+
+
 def test_open_ends_of_lines():
     for line, skip in itertools.product(("".join(c) for n in range(6) for c in itertools.product('",a ', repeat=n)), (False, True)):
         for inside in (False, True):
