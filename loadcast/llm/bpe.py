@@ -20,14 +20,17 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from loadcast.llm.common import CHUNK_BYTES, same_bytes, word_hash
+from loadcast.llm.common import same_bytes, tidily, word_hash
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 # Distinct fragments that a worker keeps; the cache starts anew beyond them.
-CACHE_FRAGMENTS = 1 << 20
+CACHE_FRAGMENTS = 1 << 18
+# Characters that are encoded at once; a longer text is a step of its own. A step takes about 70 bytes for each.
+RUN_CHARACTERS = 1 << 18
 SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
 NO_MERGE = np.int32(2**31 - 1)
 # Below this code point no character combines with another, so composing a text changes nothing.
@@ -276,13 +279,14 @@ def encoder(path: str) -> ForcedBoundaryBPE:
     return ForcedBoundaryBPE(path)
 
 
-def encoded_runs(texts: Sequence[str | None], path: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First row, ids and offsets of runs of rows that hold about one chunk of text each."""
+def encoded_runs(column: pa.Array, path: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, ids and offsets of runs of rows that hold about `RUN_CHARACTERS` each. Only a run's texts become
+    Python strings at a time."""
     bpe, first, size = encoder(path), 0, 0
-    for row, text in enumerate(texts):
-        size += len(text or "")
-        if size >= CHUNK_BYTES or row + 1 == len(texts):
-            yield first, *bpe.encode(texts[first:row + 1])
+    for row, length in enumerate(pc.utf8_length(column).to_pylist()):
+        size += length or 0
+        if size >= RUN_CHARACTERS or row + 1 == len(column):
+            yield first, *bpe.encode(column.slice(first, row + 1 - first).to_pylist())
             first, size = row + 1, 0
 
 
@@ -295,13 +299,12 @@ def map_encoded(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
             kept = batch.select(list(range(len(keep))))
-            for first, ids, offsets in encoded_runs(texts, tokenizer):
+            for first, ids, offsets in encoded_runs(batch.column(len(keep)), tokenizer):
                 columns = make(kept.slice(first, len(offsets) - 1), ids, offsets, encoder(tokenizer))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
 
-    return df.select(*keep, text).mapInArrow(run, schema)
+    return df.select(*keep, text).mapInArrow(tidily(run), schema)
 
 
 _ARROW = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "integer": pa.int32(), "double": pa.float64()}

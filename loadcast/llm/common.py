@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -40,6 +40,17 @@ def release_memory() -> None:
         pool.release_unused()
 
 
+def tidily(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """`run` for `mapInArrow`, with freed memory given back before it and after its last batch is gone."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
+        yield from run(batches)
+        release_memory()
+
+    return tidy
+
+
 # Text columns as byte arrays
 
 
@@ -101,7 +112,8 @@ _POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS["up"]) < n:
-        size = max(n, 1 << 21)
+        # A worker keeps them, so no more than the next power of two.
+        size = max(1 << n.bit_length(), 1 << 17)
         for name, base in (("up", HASH_BASE), ("down", HASH_INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadcast.llm.common import (
-    LOWER, WORD_BYTES, components, mix, store, text_chunks, word_hash, word_spans,
+    LOWER, WORD_BYTES, components, mix, store, text_chunks, tidily, word_hash, word_spans,
 )
 from loadcast.session import lookup, materialize
 
@@ -110,7 +110,7 @@ def sign_table(df: DataFrame, shingle: int) -> DataFrame:
                 ], names=["doc_id", "text_key", "n_shingles", "node", "signature"])
 
     rows = df.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
-    return rows.mapInArrow(run, SIGNED)
+    return rows.mapInArrow(tidily(run), SIGNED)
 
 
 def _chunk_keys(classes: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def _chunk_keys(classes: DataFrame) -> DataFrame:
                 pa.array(np.repeat(batch.column(0).to_numpy(), SYMBOLS)),
             ], names=["key", "spot", "node"])
 
-    return classes.select("node", "signature").mapInArrow(run, "key long, spot int, node long")
+    return classes.select("node", "signature").mapInArrow(tidily(run), "key long, spot int, node long")
 
 
 def shingle_sets(df: DataFrame, shingle: int) -> DataFrame:
@@ -159,7 +159,7 @@ def shingle_sets(df: DataFrame, shingle: int) -> DataFrame:
                     [pa.array(nodes, pa.int64()), _lists(flat, ends, pa.int64())], names=["node", "shingles"]
                 )
 
-    return df.select("text").mapInArrow(run, "node long, shingles array<long>")
+    return df.select("text").mapInArrow(tidily(run), "node long, shingles array<long>")
 
 
 def _compared(

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadcast.llm.common import (
-    WORD_BYTES, byte_set, line_spans, mix, text_chunks, word_hash, word_spans,
+    WORD_BYTES, byte_set, line_spans, mix, text_chunks, tidily, word_hash, word_spans,
 )
 
 # Labelled documents that the trees are fitted on, chosen by a hash of the id; the bound does not grow with the data.
@@ -188,7 +188,7 @@ def _measure(df: DataFrame, keep: list[str], schema: str, make) -> DataFrame:
                 names, columns = make(*statistics(data, offsets))
                 yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, columns)], names=[*keep, *names])
 
-    return df.select(*keep, "text").mapInArrow(run, schema)
+    return df.select(*keep, "text").mapInArrow(tidily(run), schema)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Trees | None:
@@ -241,4 +241,4 @@ def keep_good(docs: DataFrame, trees: Trees | None, threshold: float = THRESHOLD
                     good &= trees.score(features) >= threshold
                 yield batch.slice(first, end - first).filter(pa.array(good))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidily(run), docs.schema)

@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from loadcast.llm import bpe, collision_knn, minhash_join, ppm, quality, rollups
+from loadcast.llm import bpe, collision_knn, common, minhash_join, ppm, quality, rollups
 from loadcast.llm.common import same_bytes, table, word_hash
 from loadcast.llm.queries import op2_token_counts
 
@@ -127,3 +127,30 @@ def test_token_totals(spark, sf_dir):
     for r in op2_token_counts(spark, sf_dir).collect():
         got[r.source, r.lang, r.tokenizer, "docs"], got[r.source, r.lang, r.tokenizer, "tokens"] = r.n_docs, r.n_tokens
     assert got == dict(wanted)
+
+
+def test_texts_are_encoded_by_short_runs(monkeypatch):
+    """A batch's texts become Python strings run by run, and a run holds little more than its limit."""
+    sizes = []
+    bpe_encoder = bpe.encoder(bpe.TOKENIZER)
+    whole = bpe_encoder.encode
+    monkeypatch.setattr(bpe_encoder, "encode", lambda texts: sizes.append(sum(len(t or "") for t in texts)) or whole(texts))
+    texts = ["some words " * 2000, None, "", "é other words " * 3000] * 40
+    runs = list(bpe.encoded_runs(pa.array(texts), bpe.TOKENIZER))
+    assert max(sizes) <= 1 << 19 and sum(sizes) == sum(len(t or "") for t in texts)
+    assert [first for first, _, _ in runs][0] == 0 and sum(len(offsets) - 1 for _, _, offsets in runs) == len(texts)
+    ids = np.concatenate([ids for _, ids, _ in runs])
+    assert ids.tolist() == whole(texts)[0].tolist()
+
+
+def test_workers_give_memory_back(monkeypatch):
+    said = []
+    monkeypatch.setattr(common, "release_memory", lambda: said.append("released"))
+    run = common.tidily(lambda batches: (said.append(b) or b for b in batches))
+    assert list(run(iter([1, 2]))) == [1, 2] and said == ["released", 1, 2, "released"]
+
+
+def test_powers_of_a_short_text_are_few(monkeypatch):
+    monkeypatch.setattr(common, "_POWERS", {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)})
+    common.prefix_hash(np.arange(200_000) % 7)
+    assert 200_001 <= len(common._POWERS["up"]) <= 1 << 18
