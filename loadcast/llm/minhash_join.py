@@ -215,31 +215,58 @@ def _small_bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return x.join(y, met).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
-def _delta_index(placed: DataFrame, stars: DataFrame) -> DataFrame:
+def _can_be_first(percent: int) -> Column:
+    """Whether the shingle of an index row can be the rarest that the row shares with one it is linked with: as many
+    as any link must share are still to come.
+
+    Linked rows x and y differ in `d_x + d_y - 2 * shared <= rate * (n_x + n_y)` shingles, the rate being
+    `(100 - percent) / (100 + percent)`. As `shared <= d_y` and `n_y <= n_x * 100 / percent`, x must share
+    `d_x - n_x * (100 - percent) / percent` at least. One of the two stands apart, so its delta is beyond
+    `rate * (n + n_pivot)`; any delta is no smaller than the sizes differ. So a row that stands apart must share
+    `(d - rate * (n + n_pivot)) / 2` at least, and one that does not `(d - rate * (n - n_pivot)) / 2`."""
+    beside = F.when(F.col("apart"), F.col("n") + F.col("n_pivot")).otherwise(F.col("n") - F.col("n_pivot"))
+    by_size = F.col("n_delta") * percent - F.col("n") * (100 - percent)
+    by_pivot = F.col("n_delta") * (100 + percent) - beside * (100 - percent)
+    return (F.col("ahead") * percent >= by_size) & (F.col("ahead") * (2 * (100 + percent)) >= by_pivot)
+
+
+def _delta_index(placed: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
     """`(pivot, shingle, node, n, n_delta, ahead, apart, held)`: the deltas of rows to their pivot, opened, where one
-    row at least stands apart from the pivot. `held` rows of the pivot have the shingle, two at least, one of them
-    apart. `ahead` counts the row's shingles from this one on, the rarest being first.
+    row at least stands apart from the pivot. `ahead` counts the row's shared shingles from this one on, the rarest
+    being first; those that come too late to be the first shared with a linked row are left out. `held` rows of the
+    pivot are in the index under the shingle, two at least, one of them apart.
 
     A link has `common >= percent / (100 + percent) * (n_a + n_b)`, so at most `(100 - percent) / (100 + percent)` of
     `n_a + n_b` shingles are in one of the two only. A row that is not linked with the pivot has a delta beyond that,
     which a second row can undo only by sharing a part of it."""
     open_ = placed.filter("apart").select("pivot").distinct()
-    rows = stars.select(F.col("b").alias("pivot"), F.col("a").alias("node"), F.col("n_a").alias("n"), "delta")
+    rows = stars.select(
+        F.col("b").alias("pivot"), F.col("a").alias("node"), F.col("n_a").cast("long").alias("n"),
+        F.col("n_b").cast("long").alias("n_pivot"), "delta",
+    )
     rows = rows.join(open_, "pivot", "left_semi").join(placed.select("pivot", "node", "apart"), ["pivot", "node"])
     opened = store(rows.select(
-        "pivot", "node", "n", "apart", F.size("delta").alias("n_delta"), F.explode("delta").alias("shingle"),
+        "pivot", "node", "n", "n_pivot", "apart", F.size("delta").cast("long").alias("n_delta"),
+        F.explode("delta").alias("shingle"),
     ), "deltas")
-    held = opened.groupBy("pivot", "shingle").agg(
-        F.count("*").alias("held"), F.max("apart").alias("any_apart")
-    ).filter("held > 1 and any_apart").drop("any_apart")
     order = F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("order")
-    shared = opened.join(held, ["pivot", "shingle"]).groupBy("pivot", "node", "n", "n_delta", "apart").agg(order)
-    return store(
+    shared = opened.join(_held(opened), ["pivot", "shingle"]).groupBy(
+        "pivot", "node", "n", "n_pivot", "n_delta", "apart"
+    ).agg(order)
+    first = store(
         shared.select("*", F.size("order").alias("n_shared"), F.posexplode("order").alias("place", "one")).select(
-            "pivot", "one.shingle", "node", "n", "n_delta", (F.col("n_shared") - F.col("place")).alias("ahead"),
-            "apart", "one.held",
-        ), "index",
+            "pivot", "one.shingle", "node", "n", "n_pivot", "n_delta",
+            (F.col("n_shared") - F.col("place")).cast("long").alias("ahead"), "apart",
+        ).filter(_can_be_first(percent)).drop("n_pivot"), "first",
     )
+    return store(first.join(_held(first), ["pivot", "shingle"]), "index")
+
+
+def _held(rows: DataFrame) -> DataFrame:
+    """How many rows of a pivot hold a shingle, if two at least and one of them apart."""
+    return rows.groupBy("pivot", "shingle").agg(
+        F.count("*").alias("held"), F.max("apart").alias("any_apart")
+    ).filter("held > 1 and any_apart").drop("any_apart")
 
 
 def _may_link(percent: int) -> Column:
@@ -327,7 +354,7 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
     ).join(roots.toDF("pivot", "pivot_root"), "pivot", "left").select(
         "node", "pivot", (F.col("root") != F.coalesce("pivot_root", "pivot")).alias("apart")
     )
-    index = _delta_index(placed, stars)
+    index = _delta_index(placed, stars, percent)
     met = None
     while True:
         index = _rooted(index.drop("root"), roots)

@@ -407,6 +407,63 @@ def test_large_groups_are_not_compared_pair_by_pair(spark, monkeypatch):
     assert counts[1] < 4 * counts[0]
 
 
+def test_shingles_that_come_too_late_are_not_joined(spark, monkeypatch):
+    """Near copies that share many of their changes meet through the rarest ones only, and no link is lost."""
+    joined = []
+    centre_pairs = minhash_join._centre_pairs
+
+    def counted(index, percent):
+        joined.append(index.count())
+        return centre_pairs(index, percent)
+
+    monkeypatch.setattr(minhash_join, "_centre_pairs", counted)
+    rng = np.random.default_rng(11)
+    rows = []
+    for _ in range(300):
+        own = [f"w{i}" for i in range(120)]
+        for place in rng.choice(120, rng.integers(0, 26), replace=False):
+            own[place] = f"y{place}_{rng.integers(0, 2)}"
+        rows.append(" ".join(own))
+    roots, _ = near_by_hand(rows, 2)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in minhash_join.near_duplicates(df, 2).collect()}
+    assert found == dict(enumerate(roots))
+    assert joined and max(joined) < 30 * len(rows)
+
+
+@pytest.mark.parametrize("percent", [50, 80])
+def test_linked_rows_share_a_shingle_of_the_index(spark, percent):
+    """Rows of many distances and sizes around a pivot: all links of a row that stands apart are met."""
+    rng = np.random.default_rng(percent)
+    pivot = set(range(60))
+    sets = []
+    for i in range(120):
+        # Six families at growing distance from the pivot, each row a few shingles off its family.
+        far = 4 * (i % 6)
+        family = pivot - set(range(far)) | set(range(100 * far, 100 * far + far))
+        gone = rng.choice(sorted(family), rng.integers(0, 9), replace=False).tolist()
+        new = rng.choice(60, rng.integers(0, 9), replace=False).tolist()
+        sets.append(family - set(gone) | {100 + n for n in new})
+
+    def linked(one, other):
+        return 100 * len(one & other) >= percent * len(one | other)
+
+    apart = [not linked(pivot, s) for s in sets]
+    stars = spark.createDataFrame(
+        [(i, -1, len(s), 60, len(s & pivot), sorted(s ^ pivot)) for i, s in enumerate(sets)],
+        "a long, b long, n_a int, n_b int, common int, delta array<long>",
+    )
+    placed = spark.createDataFrame([(i, -1, a) for i, a in enumerate(apart)], "node long, pivot long, apart boolean")
+    index = minhash_join._delta_index(placed, stars, percent).withColumn("root", F.col("node"))
+    met = {(r.a, r.b) for r in minhash_join._index_pairs(index, percent).collect()}
+    wanted = {
+        (i, j) for j in range(len(sets)) for i in range(j)
+        if sets[i] != sets[j] and (apart[i] or apart[j]) and linked(sets[i], sets[j])
+    }
+    assert len(wanted) > 20 and wanted <= met
+    assert index.count() * 3 < sum(len(s ^ pivot) for s in sets) * 2
+
+
 # Language model
 
 
